@@ -1,0 +1,103 @@
+import datetime as dt
+import json
+
+import pytest
+
+from tillwise.operators.quality import CheckFailed
+from tillwise.plans import clickstream
+from tillwise.sources import clicks
+
+
+def click(kind, product="P1", when="2025-06-11T05:49:07"):
+    return {"event_type": kind, "product_id": product, "user_id": "U1", "timestamp": when}
+
+
+CLICKS = [
+    click("purchase"),
+    click("purchase"),
+    click("view"),
+    click(None),
+    click("view", "P2"),
+    click("purchase", "P2", "2025-06-12T00:00:00"),
+    click("view", when=""),
+    click("view", when=None),
+    click("view", when="2025-06-11T05:49:07.123"),
+    click("purchase", when="2025-06-11T06:00:00"),
+]
+BOUGHT = [("2025-06-11", "P1", 3), ("2025-06-12", "P2", 1)]
+OTHER = [("2025-06-11", "P1", 2), ("2025-06-11", "P2", 1)]
+
+
+@pytest.fixture
+def names(spark):
+    tables = ("clicks_a", "clicks_b")
+    yield tables
+    for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("layout", ["array", "lines"])
+def test_counts_from_either_layout(spark, tmp_path, layout):
+    path = tmp_path / "clicks.json"
+    text = json.dumps([None, *CLICKS, None], indent=2) if layout == "array" else "\n".join(map(json.dumps, CLICKS))
+    path.write_text(text)
+    events, bad = clickstream.read_events(spark, str(path), layout)
+    # A bad record does not take the rest of the file with it.
+    assert events.count() == 7 and bad.count() == 3
+    assert rows(clickstream.purchase_counts(events)) == BOUGHT
+    assert rows(clickstream.not_purchased_counts(events)) == OTHER
+    bought, other = clickstream.split_counts(clickstream.both_counts(events))
+    assert rows(bought) == BOUGHT and rows(other) == OTHER
+
+
+def test_event_date_on_a_table(spark):
+    df = clickstream.with_event_date(
+        spark.createDataFrame([tuple(c.values()) for c in CLICKS], "event_type STRING, product_id STRING, user_id STRING, timestamp STRING")
+    )
+    assert df.count() == 8
+    assert df.filter("event_date = DATE '2025-06-11'").count() == 6
+
+
+@pytest.mark.parametrize("append", [False, True])
+def test_both_tables(spark, tmp_path, names, append):
+    path = tmp_path / "clicks.json"
+    path.write_text(json.dumps(CLICKS))
+    events, _ = clickstream.read_events(spark, str(path))
+    for _ in range(2):
+        clickstream.write_counts(events, *names, str(tmp_path / "t"), append=append, abandoned=append)
+    times = 2 if append else 1
+    assert rows(spark.table(names[0])) == sorted(BOUGHT * times)
+    assert rows(spark.table(names[1])) == sorted(OTHER * times)
+    assert spark.table(names[1]).columns[-1] == ("abandoned_count" if append else "not_purchased_count")
+
+
+def test_missing_product_fails_the_load(spark, tmp_path, names):
+    path = tmp_path / "clicks.json"
+    path.write_text(json.dumps([click("purchase", None)]))
+    events, _ = clickstream.read_events(spark, str(path))
+    with pytest.raises(Exception, match="null in required column product_id"):
+        clickstream.write_counts(events, *names, str(tmp_path / "t"))
+
+
+def test_trends_and_day_check(spark, tmp_path, names):
+    good = [json.dumps(c) for c in CLICKS[:6]]
+    lines = spark.createDataFrame([(x,) for x in good], "value STRING")
+    for _ in range(2):
+        clickstream.append_trends(lines, names[0], str(tmp_path / "t"))
+    table = spark.table(names[0])
+    assert dict(table.dtypes)["event_date"] == "date" and table.count() == 4
+    clickstream.check_day(table, dt.date(2025, 6, 11))
+    with pytest.raises(CheckFailed):
+        clickstream.check_day(table, dt.date(2025, 6, 13))
+    with pytest.raises(CheckFailed):
+        clickstream.check_day(table)
+
+
+def test_strict_count_fails_on_a_bad_date_of_any_type(spark):
+    lines = spark.createDataFrame([(json.dumps(c),) for c in (click("purchase"), click("view", when="x"))], "value STRING")
+    with pytest.raises(Exception, match="bad event timestamp"):
+        clickstream.strict_purchase_counts(clicks.parse_strict(lines)).collect()

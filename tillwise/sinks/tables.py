@@ -85,4 +85,8 @@ def load_partitioned(
     create_table(df.sparkSession, name, schema, location, partition_by)
     keys = [F.col(partition_by), *[F.col(c) for c in cluster_by]]
     ready = conform(df, schema, not_null).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    ready.write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(name)
+    # By path, since only there the static mode can be asked for: every old partition must go, also
+    # in a session that is set to overwrite only the partitions it writes.
+    writer = ready.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(partition_by).parquet(location)
+    df.sparkSession.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")

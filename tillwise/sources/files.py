@@ -58,16 +58,15 @@ def read_json(
 def read_json_array(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Array files of **flat** objects, split over many tasks whatever their size.
 
-    The text source splits large files at the closing brace, so every piece is one record. A record
-    with a brace inside a string does not survive that; its pieces arrive in `_corrupt_record`
-    rather than being dropped, and `read_json(multi_line=True)` reads such a file.
+    The text source splits large files at the closing brace, so every piece is one record; null
+    elements are skipped. A record with a brace inside a string does not survive that; its pieces
+    arrive in `_corrupt_record` rather than being dropped, and `read_json(multi_line=True)` reads
+    such a file.
     """
     pieces = spark.read.option("lineSep", "}").text(path)
-    body = F.regexp_replace("value", r"^[\s,\[]+", "")
+    body = F.regexp_replace("value", r"^(?:[\s,\[\]]|null)+", "")
     record = F.when(body.startswith("{"), F.concat(body, F.lit("}"))).otherwise(body)
-    return parse_json(
-        pieces.select(record.alias("value")).filter(~F.col("value").rlike(r"^[\s\]]*$")), schema
-    )
+    return parse_json(pieces.select(record.alias("value")).filter(F.col("value") != ""), schema)
 
 
 def parse_json(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
