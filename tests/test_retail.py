@@ -93,6 +93,16 @@ def test_run_stops_on_no_data_and_on_unsafe_output(spark, tmp_path, lines):
     assert len(retail.read_transactions(spark, lines).collect()) == 8
 
 
+def test_run_with_inferred_schema(spark, tmp_path):
+    path = tmp_path / "sales.json"
+    path.write_text(json.dumps(SALES, indent=1))
+    report = retail.run_daily_sales(spark, str(path), str(tmp_path / "o"), "array", schema=None)
+    assert (report.status, report.kept, report.groups) == ("written", 7, 4)
+    broken = tmp_path / "broken.json"
+    broken.write_text("nothing here")
+    assert retail.run_daily_sales(spark, str(broken), str(tmp_path / "p"), schema=None).status == "no data"
+
+
 def test_unknown_layout(spark):
     with pytest.raises(ValueError, match="layout"):
         retail.read_transactions(spark, "x", "xml")

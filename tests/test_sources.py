@@ -107,10 +107,12 @@ def test_inferred_json(spark, tmp_path):
     assert types["quantity"] == "bigint" and types["price"] == "double"
 
 
-def test_json_arrays_written_per_task(spark, tmp_path):
+def test_json_arrays_written_per_chunk(spark, tmp_path):
     df = spark.range(1000).select("id", F.lit("x").alias("v")).repartition(3)
-    write_json_arrays(df, str(tmp_path / "arrays"))
-    back = files.read_json(spark, str(tmp_path / "arrays"), "id BIGINT, v STRING", multi_line=True)
+    folder = str(tmp_path / "arrays")
+    write_json_arrays(df, folder, F.floor(F.col("id") / 300), "id")
+    assert len(list((tmp_path / "arrays").glob("chunk=*/*.txt"))) == 4
+    back = files.read_json(spark, folder, "id BIGINT, v STRING", multi_line=True)
     assert back.agg(F.sum("id"), F.count_if(files.is_corrupt())).first()[:] == (499500, 0)
 
 

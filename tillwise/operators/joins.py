@@ -37,6 +37,7 @@ def skew_join(
     *,
     spread: Sequence[str] | None = None,
     null_safe: bool = False,
+    keys_from: DataFrame | None = None,
     hot: HotKeys | None = None,
 ) -> DataFrame:
     """Inner or left join of a large `left` to a `right` with few rows per key.
@@ -44,7 +45,8 @@ def skew_join(
     `on` holds column names, or `(left, right)` pairs of differently named columns; a shared name
     comes out once. `spread` names left columns whose hash splits a hot key (default: all columns
     but the key; it must tell the rows of one key apart). It is a hash rather than a random number so
-    that a task re-run after a lost executor sends each row to the same place.
+    that a task re-run after a lost executor sends each row to the same place. `keys_from` is a frame
+    to sample instead of `left`: the table that brings the key, if `left` is itself a join.
     A right side below Spark's broadcast threshold is left to Spark, which then needs no shuffle.
     """
     if how not in ("inner", "left"):
@@ -66,7 +68,7 @@ def skew_join(
 
     lhash, rhash = _key_hashes(left, right, lkeys, rkeys)
     if hot is None:
-        hot = HotKeys() if fits_broadcast(right) else find_hot_keys(left, lhash)
+        hot = HotKeys() if fits_broadcast(right) else find_hot_keys(left if keys_from is None else keys_from, lhash)
     if hot.ways <= 1 or not hot.hashes:
         joined = left.join(right, matches(), how)
     else:

@@ -30,7 +30,7 @@ def sales_display(
     with_product = skew_join(sales, products, "product_id", spread=spread)
     joined = skew_join(
         with_product, with_customer.select("order_id", "order_date", "customer_name"), "order_id",
-        spread=spread,
+        spread=spread, keys_from=sales,
     )
     return joined.select(
         "sales_id", "order_date", "customer_name", "product_name", "description", "category",

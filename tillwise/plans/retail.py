@@ -91,14 +91,19 @@ def run_daily_sales(
     output: str,
     layout: str = "lines",
     complete: Sequence[str] | None = TRANSACTION_KEYS,
+    schema: str | None = TRANSACTIONS,
 ) -> SalesReport:
     """Read, aggregate and write one Parquet folder in a single job, counting rows on the way."""
     check_output(output, [source])
-    raw = read_transactions(spark, source, layout)
+    raw = read_transactions(spark, source, layout, schema)
+    if raw.columns == [CORRUPT]:
+        return SalesReport("no data")
     try:
         require_rows(raw.drop(CORRUPT), source)
     except EmptyInput:
         return SalesReport("no data")
+    if CORRUPT not in raw.columns:
+        raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
     seen, kept, out = Observation("read"), Observation("kept"), Observation("groups")
     counted = observe_counts(raw, seen, corrupt=F.count_if(is_corrupt())).drop(CORRUPT)
     priced = observe_counts(

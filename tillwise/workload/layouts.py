@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.operators.cleaning import drop_blank_rows
@@ -71,27 +69,21 @@ def _order_lines(spark, sf_dir) -> str:
     return folder
 
 
-def bracketed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One JSON array per task: bracket before the first record, commas between, bracket at the end."""
-    lead = "["
-    for batch in batches:
-        if len(batch):
-            batch.loc[1:, "value"] = "," + batch.loc[1:, "value"]
-            batch.loc[0, "value"] = lead + batch.loc[0, "value"]
-            lead = ","
-            yield batch
-    yield pd.DataFrame({"value": ["[]" if lead == "[" else "]"]})
-
-
-def write_json_arrays(df: DataFrame, folder: str) -> None:
-    """Text files that each hold one array, a record per line."""
-    records = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    records.mapInPandas(bracketed, "value STRING").write.text(folder)
+def write_json_arrays(df: DataFrame, folder: str, chunk: Column, key: str) -> None:
+    """Text files that each hold one array, a record per line: one file per `chunk`, which must be
+    small whatever the size of the table (here a range of a unique key)."""
+    in_file = W.partitionBy("chunk").orderBy(key)
+    records = df.select(F.to_json(F.struct(*df.columns)).alias("r"), chunk.alias("chunk"), key)
+    opening = F.when(F.row_number().over(in_file) == 1, "[").otherwise(",")
+    closing = F.when(F.lead("r").over(in_file).isNull(), "]").otherwise("")
+    lines = records.select(F.concat(opening, "r", closing).alias("value"), "chunk")
+    lines.write.partitionBy("chunk").text(folder)
 
 
 def _order_arrays(spark, sf_dir) -> str:
     folder = shared_dir(spark, "order-arrays")
-    write_json_arrays(table(spark, sf_dir, "orders").select(*_ORDER_COLUMNS), folder)
+    orders = table(spark, sf_dir, "orders").select(*_ORDER_COLUMNS)
+    write_json_arrays(orders, folder, F.floor(F.col("o_orderkey") / 10000), "o_orderkey")
     return folder
 
 
@@ -102,12 +94,12 @@ def json_lines(spark, sf_dir):
 
 @query(_ORDERS_SQL)
 def json_multiline(spark, sf_dir):
-    return read_json(spark, _order_arrays(spark, sf_dir), _ORDERS, multi_line=True).drop(CORRUPT)
+    return read_json(spark, _order_arrays(spark, sf_dir), _ORDERS, multi_line=True).drop(CORRUPT, "chunk")
 
 
 @query(_ORDERS_SQL)
 def json_flat_array(spark, sf_dir):
-    return read_json_array(spark, _order_arrays(spark, sf_dir), _ORDERS).drop(CORRUPT)
+    return read_json_array(spark, _order_arrays(spark, sf_dir), _ORDERS).drop(CORRUPT, "chunk")
 
 
 _INFERRED_SQL = """
@@ -124,7 +116,7 @@ def json_inferred(spark, sf_dir):
 
 @query(_INFERRED_SQL)
 def json_multiline_inferred(spark, sf_dir):
-    return read_json(spark, _order_arrays(spark, sf_dir), multi_line=True)
+    return read_json(spark, _order_arrays(spark, sf_dir), multi_line=True).drop("chunk")
 
 
 @query("SELECT p_partkey, p_name, p_brand, p_retailprice FROM part")

@@ -12,10 +12,10 @@ from tillwise.workload.registry import query, table
 
 
 def _transactions(spark, sf_dir):
-    """Line items as transactions: supplier = store, return flag and status = category."""
+    """Line items as transactions: supplier = store, return flag = category."""
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("store_id"),
-        F.concat("l_returnflag", F.lit("-"), "l_linestatus").alias("category_id"),
+        F.col("l_suppkey").alias("store_id"),
+        F.col("l_returnflag").alias("category_id"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_shipdate").alias("timestamp"),
@@ -23,8 +23,7 @@ def _transactions(spark, sf_dir):
 
 
 @query("""
-SELECT cast(l_suppkey AS varchar) AS store_id, l_returnflag || '-' || l_linestatus AS category_id,
-       cast(l_shipdate AS date) AS transaction_date,
+SELECT l_suppkey AS store_id, l_returnflag AS category_id, cast(l_shipdate AS date) AS transaction_date,
        cast(sum(cast(l_quantity * l_extendedprice AS decimal(18,2))) AS double) AS total_sales
 FROM lineitem GROUP BY 1, 2, 3
 """)
@@ -39,22 +38,16 @@ def retail_sales_daily(spark, sf_dir):
 
 
 @query("""
-SELECT cast(l_suppkey AS varchar) AS store_id, p_brand AS category_id,
-       cast(l_shipdate AS date) AS transaction_date,
+SELECT l_suppkey AS store_id, p_brand AS category_id, cast(l_shipdate AS date) AS transaction_date,
        cast(sum(cast(l_quantity * p_retailprice AS decimal(18,2))) AS double) AS total_sales
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3
 """)
 def retail_sales_by_brand(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_orderkey", "l_linenumber"
-    )
-    joined = skew_join(
-        lines, part, ("l_partkey", "p_partkey"),
-        spread=["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"],
-    )
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate", "l_quantity")
+    joined = skew_join(lines, part, ("l_partkey", "p_partkey"), spread=["l_suppkey", "l_shipdate"])
     rows = joined.select(
-        F.col("l_suppkey").cast("string").alias("store_id"),
+        F.col("l_suppkey").alias("store_id"),
         F.col("p_brand").alias("category_id"),
         F.col("l_shipdate").cast("date").alias("transaction_date"),
         (F.col("l_quantity") * F.col("p_retailprice")).alias("total_price"),
@@ -71,12 +64,8 @@ GROUP BY 1, 2
 def retail_sales_by_region(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_quantity", "l_orderkey", "l_linenumber"
-    )
-    joined = skew_join(
-        lines, part, ("l_partkey", "p_partkey"), spread=["l_orderkey", "l_linenumber", "l_suppkey"]
-    )
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_orderkey")
+    joined = skew_join(lines, part, ("l_partkey", "p_partkey"), spread=["l_suppkey", "l_orderkey"])
     # Per supplier and brand first: the supplier join then sees a bounded number of rows per key.
     per_supplier = joined.groupBy("l_suppkey", "p_brand").agg(
         F.sum(minor_units(F.col("l_quantity") * F.col("p_retailprice"))).alias("cents")
