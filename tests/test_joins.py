@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwise.operators import joins
-from tillwise.operators.joins import HotKeys, find_hot_keys, skew_join
+from tillwise.operators.joins import HotKeys, find_hot_keys, merge_join, skew_join
 
 
 @pytest.fixture
@@ -112,3 +112,24 @@ def test_self_join(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k INT, v STRING")
     right = df.select("k", "v").withColumnRenamed("v", "w")
     assert rows(df.join(right, "k").select("k", "v", "w")) == [(1, "a", "a"), (2, "b", "b")]
+
+
+def test_merge_takes_the_right_value(spark):
+    staff = spark.createDataFrame(
+        [("Ann", "HR", "old"), ("Bo", None, "old"), ("Cy", "IT", "old")], "name STRING, dept STRING, place STRING"
+    )
+    depts = spark.createDataFrame(
+        [("HR", "north", 1), (None, "nowhere", 0), ("Ops", "south", 2)], "dept STRING, place STRING, heads INT"
+    )
+    columns = ["name", "dept", "place", "heads"]
+    assert rows(merge_join(staff, depts, "dept", columns, null_safe=True)) == [
+        ("Ann", "HR", "north", 1), ("Bo", None, "nowhere", 0),
+    ]
+    assert rows(merge_join(staff, depts, "dept", columns)) == [("Ann", "HR", "north", 1)]
+
+
+def test_salt_does_not_change_when_a_task_runs_again(spark, no_broadcast):
+    left, right = facts(spark), dims(spark)
+    salted = skew_join(left, right, ("k", "d"), hot=hot_hashes(spark))
+    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "rand" not in plan and "monotonically" not in plan and "spark_partition_id" not in plan

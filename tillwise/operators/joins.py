@@ -77,7 +77,8 @@ def skew_join(
             # Null keys match nothing, so they can go anywhere.
             is_hot |= F.greatest(*[F.col(k).isNull() for k in lkeys], F.lit(False))
         by = list(spread) if spread else [c for c in left.columns if c not in lkeys]
-        salt = F.pmod(F.xxhash64(*by), F.lit(hot.ways)).cast("int") if by else F.lit(0)
+        # The coalesce only tells the optimizer that a salt is never null.
+        salt = F.coalesce(F.pmod(F.xxhash64(*by), F.lit(hot.ways)), F.lit(0)).cast("int") if by else F.lit(0)
         copies = F.when(rhash.isin(*hot.hashes), F.sequence(F.lit(0), F.lit(hot.ways - 1)))
         salted_left = left.withColumn(_L, F.when(is_hot, salt).otherwise(F.lit(0)))
         salted_right = right.withColumn(_R, F.explode(F.coalesce(copies, F.array(F.lit(0)))))
@@ -85,6 +86,17 @@ def skew_join(
     return joined.drop(*renamed.values())
 
 
+def merge_join(
+    left: DataFrame, right: DataFrame, on: Key | Sequence[Key], columns: Sequence[str], **options
+) -> DataFrame:
+    """`skew_join`, then the named columns of the merged record; where both sides have a column, the
+    right one wins."""
+    pairs = [on] if isinstance(on, (str, tuple)) else on
+    keys = {k if isinstance(k, str) else k[0] for k in pairs}
+    beaten = [c for c in left.columns if c in right.columns and c not in keys]
+    return skew_join(left.drop(*beaten), right, on, **options).select(*columns)
+
+
 def find_hot_keys(df: DataFrame, key_hash: Column, sample: float = SAMPLE) -> HotKeys:
     """Keys that alone would make a shuffle partition at least twice the average one.
 

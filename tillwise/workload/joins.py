@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwise.operators.joins import skew_join
+from tillwise.operators.joins import merge_join, skew_join
 from tillwise.plans.employees import enrich
 from tillwise.workload.registry import query, table
 
@@ -23,8 +23,10 @@ def join_nullsafe(spark, sf_dir):
     places = table(spark, sf_dir, "nation").select(
         F.nullif("n_nationkey", F.lit(3)).alias("department"), F.col("n_name").alias("location")
     )
-    joined = skew_join(people, places, ("_dep", "department"), null_safe=True, spread=["c_custkey"])
-    return joined.select("name", "c_custkey", "department", "location")
+    return merge_join(
+        people, places, ("_dep", "department"), ["name", "c_custkey", "department", "location"],
+        null_safe=True, spread=["c_custkey"],
+    )
 
 
 @query("""
@@ -92,5 +94,4 @@ def merge_select(spark, sf_dir):
     nations = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("nation"), F.col("n_name").alias("name")
     )
-    joined = skew_join(suppliers.drop("name"), nations, "nation", spread=["id"])
-    return joined.select("id", "name", "nation")
+    return merge_join(suppliers, nations, "nation", ["id", "name", "nation"], spread=["id"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -69,21 +69,24 @@ def _order_lines(spark, sf_dir) -> str:
     return folder
 
 
-def write_json_arrays(df: DataFrame, folder: str, chunk: Column, key: str) -> None:
-    """Text files that each hold one array, a record per line: one file per `chunk`, which must be
-    small whatever the size of the table (here a range of a unique key)."""
-    in_file = W.partitionBy("chunk").orderBy(key)
-    records = df.select(F.to_json(F.struct(*df.columns)).alias("r"), chunk.alias("chunk"), key)
+def write_json_arrays(df: DataFrame, folder: str, row_bits: int = 16) -> None:
+    """Text files that each hold one array, a record per line.
+
+    `df` must be a scan or a projection of one, whose row ids are the same if a task runs again. Files
+    are cut by row position, so their size (2^row_bits records) does not depend on any key."""
+    ids = df.select(F.to_json(F.struct(*df.columns)).alias("r"), F.monotonically_increasing_id().alias("id"))
+    # The low 33 bits of the id count the rows of a task, so a chunk never crosses two tasks.
+    chunked = ids.withColumn("chunk", F.shiftright("id", row_bits))
+    in_file = W.partitionBy("chunk").orderBy("id")
     opening = F.when(F.row_number().over(in_file) == 1, "[").otherwise(",")
-    closing = F.when(F.lead("r").over(in_file).isNull(), "]").otherwise("")
-    lines = records.select(F.concat(opening, "r", closing).alias("value"), "chunk")
+    closing = F.when(F.lead("id").over(in_file).isNull(), "]").otherwise("")
+    lines = chunked.select(F.concat(opening, "r", closing).alias("value"), "chunk")
     lines.write.partitionBy("chunk").text(folder)
 
 
 def _order_arrays(spark, sf_dir) -> str:
     folder = shared_dir(spark, "order-arrays")
-    orders = table(spark, sf_dir, "orders").select(*_ORDER_COLUMNS)
-    write_json_arrays(orders, folder, F.floor(F.col("o_orderkey") / 10000), "o_orderkey")
+    write_json_arrays(table(spark, sf_dir, "orders").select(*_ORDER_COLUMNS), folder)
     return folder
 
 
