@@ -19,9 +19,9 @@ def test_iso_date_accepts_fractions_and_refuses_garbage(spark):
 def test_click_date_is_exact(spark):
     got = apply(
         spark, dates.click_date, "2025-06-11T05:49:07", "2025-6-1T5:4:7", "2025-06-11T05:49:07.5",
-        "2025-06-11 05:49:07", "2025-02-30T00:00:00", "", None,
+        "2025-06-11 05:49:07", "2025-02-30T00:00:00", "2025-06-11T05:49:07\n", "", None,
     )
-    assert got == ["2025-06-11", "2025-06-01", None, None, None, None, None]
+    assert got == ["2025-06-11", "2025-06-01", None, None, None, None, None, None]
 
 
 @pytest.mark.parametrize("bad", ["2025-06-11", None])

@@ -129,14 +129,14 @@ def click(**kw):
 
 
 def test_tolerant_lines_keep_bad_ones_apart(spark):
-    lines = [click(), "[", '{"event_type": "view"', click(timestamp="2025-06-11"), click(timestamp=None), click(timestamp="")]
+    lines = [click(), "[", "123", f"[{click()}]", '{"event_type": "view"', click(timestamp="2025-06-11"), click(timestamp=None), click(timestamp="")]
     df = clicks.parse_tolerant(spark.createDataFrame([(x,) for x in lines], "value STRING"))
     assert clicks.accepted(df).count() == 1
     reasons = {(r.reject_reason, r.n) for r in clicks.rejected(df).groupBy("reject_reason").agg(F.count("*").alias("n")).collect()}
-    assert reasons == {("malformed json", 2), ("bad timestamp", 1), ("no timestamp", 2)}
+    assert reasons == {("malformed json", 4), ("bad timestamp", 1), ("no timestamp", 2)}
 
 
-@pytest.mark.parametrize("bad", ["[", '{"event_type": ', None])
+@pytest.mark.parametrize("bad", ["[", "123", "", '{"event_type": ', None])
 def test_strict_lines_fail(spark, bad):
     good = spark.createDataFrame([(click(extra=1),)], "value STRING")
     assert clicks.parse_strict(good).columns == ["event_type", "product_id", "user_id", "timestamp", "event_date"]

@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Layouts of the two timestamp texts (fields may have one digit, no fraction).
-CLICK_LAYOUT = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"
-WAREHOUSE_LAYOUT = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
-DAY_FIRST_LAYOUT = r"^(\d{1,2})-(\d{1,2})-(\d{4}) (\d{1,2}:\d{1,2}(?::\d{1,2})?)$"
+# Layouts of the timestamp texts (fields may have one digit, no fraction). `\z` is the
+# very end, where `$` would let a trailing line break pass.
+CLICK_LAYOUT = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}\z"
+WAREHOUSE_LAYOUT = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\z"
+DAY_FIRST_LAYOUT = r"^(\d{1,2})-(\d{1,2})-(\d{4}) (\d{1,2}:\d{1,2}(?::\d{1,2})?)\z"
 
 
 def _col(c: str | Column) -> Column:

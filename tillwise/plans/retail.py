@@ -64,12 +64,13 @@ def daily_sales(
     scale: int | None = None,
 ) -> DataFrame:
     """The whole chain: drop incomplete rows (`complete=None`: a null anywhere), total, date, sum."""
-    return sales_by(with_totals(drop_incomplete(transactions, complete)), scale=scale)
+    return sales_by(with_totals(drop_incomplete(transactions.drop(CORRUPT), complete)), scale=scale)
 
 
 def amount_sales(transactions: DataFrame, scale: int | None = None) -> DataFrame:
     """The same for transactions that carry an `amount` instead of quantity and price."""
-    dated = drop_incomplete(transactions).withColumn("transaction_date", iso_date("timestamp"))
+    complete = drop_incomplete(transactions.drop(CORRUPT))
+    dated = complete.withColumn("transaction_date", iso_date("timestamp"))
     return sales_by(dated, measure="amount", scale=scale)
 
 
