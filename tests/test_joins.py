@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwise.operators import joins
-from tillwise.operators.joins import HotKeys, find_hot_keys, merge_join, skew_join
+from tillwise.operators.joins import find_hot_keys, merge_join, skew_join
 
 
 @pytest.fixture
@@ -35,7 +35,7 @@ def dims(spark):
 
 def hot_hashes(spark):
     df = spark.createDataFrame([(1,), (None,)], "k BIGINT").select(F.xxhash64("k"))
-    return HotKeys(tuple(r[0] for r in df.collect()), 5)
+    return dict(zip((r[0] for r in df.collect()), (5, 3)))
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -64,11 +64,12 @@ def test_hot_key_is_spread(spark, no_broadcast):
 def test_hot_keys_found_in_sample(spark):
     left = facts(spark, 60000)
     hot = find_hot_keys(left, F.xxhash64("k"), sample=0.05)
-    assert set(hot.hashes) == set(hot_hashes(spark).hashes)
-    assert hot.ways == 3
+    assert set(hot) == set(hot_hashes(spark))
+    # A third and a sixth of the rows, four pieces for each eighth, rounded up to powers of two.
+    assert [hot[h] for h in hot_hashes(spark)] == [16, 8]
     even = spark.range(60000).select(F.xxhash64("id").alias("h"))
-    assert find_hot_keys(even, F.col("h"), sample=0.05) == HotKeys()
-    assert find_hot_keys(even.limit(0), F.col("h")) == HotKeys()
+    assert find_hot_keys(even, F.col("h"), sample=0.05) == {}
+    assert find_hot_keys(even.limit(0), F.col("h")) == {}
 
 
 def test_detection_runs_by_itself(spark, no_broadcast, monkeypatch):
@@ -88,7 +89,7 @@ def test_keys_of_different_types(spark, no_broadcast):
     left = facts(spark)
     right = dims(spark).select(F.col("d").cast("int").alias("d"), "name")
     text = left.select(F.xxhash64(F.col("k").cast("string"))).filter(F.col("k") == 1).first()[0]
-    got = skew_join(left, right, ("k", "d"), hot=HotKeys((text,), 4))
+    got = skew_join(left, right, ("k", "d"), hot={text: 4})
     assert rows(got) == rows(left.join(right, F.col("k") == F.col("d")))
 
 

@@ -7,28 +7,20 @@ only their right-hand rows. The sample chooses the plan, never the result.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SAMPLE = 0.001
 MIN_HITS = 10
+# Pieces per average partition: several small pieces spread more evenly than one large piece.
+PIECES = 4
 _L, _R = "_salt_left", "_salt_right"
 
 Key = str | tuple[str, str]
 
 
-@dataclass(frozen=True)
-class HotKeys:
-    """Hashes of hot keys (at most one per shuffle partition) and how many ways to split them."""
-
-    hashes: tuple[int, ...] = ()
-    ways: int = 1
-
-
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -38,7 +30,7 @@ def skew_join(
     spread: Sequence[str] | None = None,
     null_safe: bool = False,
     keys_from: DataFrame | None = None,
-    hot: HotKeys | None = None,
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Inner or left join of a large `left` to a `right` with few rows per key.
 
@@ -46,8 +38,10 @@ def skew_join(
     comes out once. `spread` names left columns whose hash splits a hot key (default: all columns
     but the key; it must tell the rows of one key apart). It is a hash rather than a random number so
     that a task re-run after a lost executor sends each row to the same place. `keys_from` is a frame
-    to sample instead of `left`: the table that brings the key, if `left` is itself a join.
-    A right side below Spark's broadcast threshold is left to Spark, which then needs no shuffle.
+    to sample instead of `left`: the table that brings the key, if `left` is itself a join. `hot` gives
+    known hot keys, as `find_hot_keys` returns them.
+    If either side is below Spark's broadcast threshold there is nothing to spread: a small right side
+    needs no shuffle, and a small left side has no task worth splitting.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
@@ -68,20 +62,19 @@ def skew_join(
 
     lhash, rhash = _key_hashes(left, right, lkeys, rkeys)
     if hot is None:
-        hot = HotKeys() if fits_broadcast(right) else find_hot_keys(left if keys_from is None else keys_from, lhash)
-    if hot.ways <= 1 or not hot.hashes:
+        keyed = left if keys_from is None else keys_from
+        small = fits_broadcast(right) or fits_broadcast(keyed)
+        hot = {} if small else find_hot_keys(keyed, lhash)
+    if not hot:
         joined = left.join(right, matches(), how)
     else:
-        is_hot = lhash.isin(*hot.hashes)
-        if how == "left" and not null_safe:
-            # Null keys match nothing, so they can go anywhere.
-            is_hot |= F.greatest(*[F.col(k).isNull() for k in lkeys], F.lit(False))
         by = list(spread) if spread else [c for c in left.columns if c not in lkeys]
+        lways, rways = _ways(lhash, hot), _ways(rhash, hot)
         # The coalesce only tells the optimizer that a salt is never null.
-        salt = F.coalesce(F.pmod(F.xxhash64(*by), F.lit(hot.ways)), F.lit(0)).cast("int") if by else F.lit(0)
-        copies = F.when(rhash.isin(*hot.hashes), F.sequence(F.lit(0), F.lit(hot.ways - 1)))
-        salted_left = left.withColumn(_L, F.when(is_hot, salt).otherwise(F.lit(0)))
-        salted_right = right.withColumn(_R, F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+        piece = F.coalesce(F.pmod(F.xxhash64(*by), lways), F.lit(0)).cast("int") if by else F.lit(0)
+        copies = F.when(rways > 1, F.sequence(F.lit(0), rways - 1)).otherwise(F.array(F.lit(0)))
+        salted_left = left.withColumn(_L, F.when(lways > 1, piece).otherwise(F.lit(0)))
+        salted_right = right.withColumn(_R, F.explode(copies))
         joined = salted_left.join(salted_right, matches() & (F.col(_L) == F.col(_R)), how).drop(_L, _R)
     return joined.drop(*renamed.values())
 
@@ -97,12 +90,12 @@ def merge_join(
     return skew_join(left.drop(*beaten), right, on, **options).select(*columns)
 
 
-def find_hot_keys(df: DataFrame, key_hash: Column, sample: float = SAMPLE) -> HotKeys:
-    """Keys that alone would make a shuffle partition at least twice the average one.
+def find_hot_keys(df: DataFrame, key_hash: Column, sample: float = SAMPLE) -> dict[int, int]:
+    """Hashes of keys that alone would make a shuffle partition at least twice the average one, and
+    into how many pieces to split each.
 
-    With P shuffle partitions a key counts as hot above a share of 1/P, so there are at most P.
-    Only the key column is read and only the sample is counted.
-    """
+    With P shuffle partitions a key counts as hot above a share of 1/P, so there are at most P. Null is
+    a key like any other. Only the key column is read and only the sample is counted."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     top = (
         df.select(key_hash.alias("h"))
@@ -115,10 +108,16 @@ def find_hot_keys(df: DataFrame, key_hash: Column, sample: float = SAMPLE) -> Ho
     )
     total = next((row.n for row in top if row.g), 0)
     hits = [row for row in top if not row.g and row.n >= MIN_HITS and row.n * parts > total]
-    if not hits:
-        return HotKeys()
-    ways = min(parts, max(2, math.ceil(hits[0].n / total * parts)))
-    return HotKeys(tuple(row.h for row in hits), ways)
+    # Powers of two, so that there are few different numbers of pieces.
+    return {row.h: 1 << (PIECES * row.n * parts // total).bit_length() for row in hits}
+
+
+def _ways(key_hash: Column, hot: Mapping[int, int]) -> Column:
+    """Number of pieces for the key of a row; 1 unless it is hot."""
+    cases = F
+    for ways in sorted(set(hot.values()), reverse=True):
+        cases = cases.when(key_hash.isin(*[h for h, w in hot.items() if w == ways]), F.lit(ways))
+    return cases.otherwise(F.lit(1))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
