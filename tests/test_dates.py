@@ -73,3 +73,27 @@ def test_zone_does_not_move_datetimes(spark):
 def test_null_is_not_an_error_in_projection(spark):
     df = spark.createDataFrame([(None,)], "t STRING").select(F.col("t"), dates.iso_date("t").alias("d"))
     assert df.first().d is None
+
+
+def test_click_date_against_the_standard_parser(spark):
+    """Damaged timestamps must be judged as Python judges them (but for its blank before a day)."""
+    base = ["2025-06-11T05:49:07", "2024-02-29T23:59:59", "2025-2-3T4:5:6", "1999-12-31T00:00:00"]
+    texts = set()
+    for text in base:
+        for i in range(len(text) + 1):
+            texts.add(text[:i])
+            texts.add(text[:i] + text[i + 1:])
+            for extra in "0159-:T.Z+":
+                texts.add(text[:i] + extra + text[i:])
+                texts.add(text[:i] + extra + text[i + 1:])
+    texts = sorted(texts)
+
+    def expected(text):
+        try:
+            return dt.datetime.strptime(text, "%Y-%m-%dT%H:%M:%S").date().isoformat()
+        except ValueError:
+            return None
+
+    got = apply(spark, dates.click_date, *texts)
+    wrong = {t: (g, expected(t)) for t, g in zip(texts, got) if g != expected(t)}
+    assert wrong == {}

@@ -134,6 +134,13 @@ def test_daily_table_from_folder(spark, tmp_path, name):
     assert spark.table(name).columns[-1] == "transaction_date" and spark.table(name).count() == 18
 
 
+def test_daily_table_may_not_cover_its_input(spark, tmp_path, name):
+    files.write_parquet(daily(spark), str(tmp_path / "t" / "agg"))
+    with pytest.raises(files.UnsafeOutput):
+        load_daily_folder(spark, f"{tmp_path}/t/agg", name, str(tmp_path / "t"))
+    assert spark.read.parquet(f"{tmp_path}/t/agg").count() == 18
+
+
 def test_hot_day_is_split_over_files(spark, tmp_path, name):
     hot = spark.range(40000).select(
         F.concat(F.lit("S"), F.col("id")).alias("store_id"),

@@ -143,3 +143,35 @@ def test_strict_lines_fail(spark, bad):
     line = click(timestamp=None) if bad is None else bad
     with pytest.raises(Exception):
         clicks.parse_strict(spark.createDataFrame([(line,)], "value STRING")).collect()
+
+
+def test_lines_against_the_standard_parser(spark):
+    """Texts made by damaging good lines in every position must be judged as Python judges them."""
+    base = [click(), click(timestamp=None), click(user_id=7, extra={"a": [1, {"b": "}"}]}), click(product_id="a\"b]}")]
+    texts = set(base)
+    for text in base[:3]:
+        for i in range(len(text) + 1):
+            texts.add(text[:i])
+            texts.add(text[:i] + text[i + 1:])
+            for extra in "{}[],'x1 ":
+                texts.add(text[:i] + extra + text[i:])
+    texts |= {f"{a}{sep}{b}" for a in base for b in base for sep in ("", ",", " ")}
+    texts |= {f"[{t}]" for t in base} | {f"{t}]" for t in base} | {f'{t},"x":{{}}' for t in base}
+    texts |= {"", "null", "1", '"x"', "{}", " {} ", "{'event_type': 'view'}"}
+
+    def fields(text):
+        try:
+            record = json.loads(text)
+        except ValueError:
+            return "bad"
+        if not isinstance(record, dict):
+            return "bad"
+        values = [record.get(k) for k in ("event_type", "product_id", "user_id", "timestamp")]
+        return [None if v is None else v if isinstance(v, str) else json.dumps(v) for v in values]
+
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "value STRING").select("value", F.col("value").alias("text"))
+    got = files.parse_json_lines(df, schemas.CLICK_EVENTS).collect()
+    assert len(got) == len(texts) > 2500
+    judged = {r.text: "bad" if r["_corrupt_record"] is not None else [r.event_type, r.product_id, r.user_id, r.timestamp] for r in got}
+    wrong = {t: (judged[t], fields(t)) for t in texts if judged[t] != fields(t)}
+    assert wrong == {}

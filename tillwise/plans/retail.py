@@ -12,6 +12,7 @@ from tillwise.functions.dates import iso_date
 from tillwise.functions.numbers import exact_sum
 from tillwise.operators.cleaning import drop_incomplete
 from tillwise.operators.quality import EmptyInput, observe_counts, require_rows, split_required
+from tillwise.session import shared_dir
 from tillwise.sinks.files import check_output, write_parquet
 from tillwise.sinks.tables import load_partitioned
 from tillwise.sources.files import CORRUPT, is_corrupt, read_json, read_json_array, read_parquet
@@ -123,19 +124,27 @@ def load_daily_table(
     sales: DataFrame, name: str, location: str, quarantine: str | None = None
 ) -> None:
     """Load daily sales into the day-partitioned table; rows without a store, category or day go to
-    the `quarantine` folder (without one, such a row fails the load)."""
-    good = sales
+    the `quarantine` folder (without one, such a row fails the load). With a quarantine the sums are
+    first written to a shared folder, since they are read once for either target."""
     if quarantine is not None:
-        good, bad = split_required(sales, DAILY_SALES_REQUIRED)
-        write_parquet(bad, quarantine)
-    load_partitioned(
-        good, name, DAILY_SALES, location, "transaction_date", ("store_id", "category_id"),
-        DAILY_SALES_REQUIRED,
-    )
+        stage = shared_dir(sales.sparkSession, "daily-sales")
+        write_parquet(sales, stage)
+        sales = read_parquet(sales.sparkSession, stage)
+    _load(sales, name, location, quarantine)
 
 
 def load_daily_folder(
     spark: SparkSession, folder: str, name: str, location: str, quarantine: str | None = None
 ) -> None:
     """As `load_daily_table`, from the Parquet folder or wildcard that `run_daily_sales` wrote."""
-    load_daily_table(read_parquet(spark, folder), name, location, quarantine)
+    _load(read_parquet(spark, folder), name, location, quarantine)
+
+
+def _load(sales: DataFrame, name: str, location: str, quarantine: str | None) -> None:
+    if quarantine is not None:
+        sales, bad = split_required(sales, DAILY_SALES_REQUIRED)
+        write_parquet(bad, quarantine)
+    load_partitioned(
+        sales, name, DAILY_SALES, location, "transaction_date", ("store_id", "category_id"),
+        DAILY_SALES_REQUIRED,
+    )

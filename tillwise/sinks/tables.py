@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.operators.quality import required
+from tillwise.sinks.files import check_output
 
 
 class SchemaMismatch(Exception):
@@ -82,6 +83,7 @@ def load_partitioned(
     share a task, a day that holds a third of all rows is split over many, and each file covers a
     narrow range of cluster values, so Parquet statistics can skip it. `schema` must end with the
     partition column."""
+    check_output(location, df.inputFiles())
     create_table(df.sparkSession, name, schema, location, partition_by)
     keys = [F.col(partition_by), *[F.col(c) for c in cluster_by]]
     ready = conform(df, schema, not_null).repartitionByRange(*keys).sortWithinPartitions(*keys)

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import click_day, click_day_strict
-from tillwise.sources.files import CORRUPT, is_corrupt, parse_json
+from tillwise.sources.files import CORRUPT, is_corrupt, parse_json_lines
 from tillwise.sources.schemas import CLICK_EVENTS
 
 
 def parse_tolerant(lines: DataFrame, column: str = "value") -> DataFrame:
     """Parse JSON lines and add `event_date` and `reject_reason` (null for a good record)."""
-    return label_rejects(parse_json(lines, CLICK_EVENTS, column))
+    return label_rejects(parse_json_lines(lines, CLICK_EVENTS, column))
 
 
 def label_rejects(events: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def rejected(events: DataFrame) -> DataFrame:
 
 def parse_strict(lines: DataFrame, column: str = "value") -> DataFrame:
     """Keep the four known fields and the date; any bad line or timestamp fails the job."""
-    others = [c for c in lines.columns if c != column]
-    parsed = F.from_json(column, CLICK_EVENTS, {"mode": "FAILFAST"})
-    events = lines.select(*others, parsed.alias("_parsed")).select(*others, "_parsed.*")
-    return events.withColumn("event_date", click_day_strict("timestamp"))
+    events = parse_json_lines(lines, CLICK_EVENTS, column)
+    broken = F.raise_error(F.concat(F.lit("bad json line: "), F.col(CORRUPT))).cast("date")
+    day = F.when(is_corrupt(), broken).otherwise(click_day_strict("timestamp"))
+    return events.withColumn("event_date", day).drop(CORRUPT)

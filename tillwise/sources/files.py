@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+STRICT_JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
 def read_csv(
@@ -70,12 +71,40 @@ def read_json_array(spark: SparkSession, path: str | list[str], schema: str) ->
 
 
 def parse_json(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
-    """Parse one JSON object per row; a malformed text goes to `_corrupt_record`."""
-    parsed = F.from_json(
-        column, with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
+    """Parse one JSON object per row; a malformed text, or one with a value of the wrong type, goes to
+    `_corrupt_record`. Text after the object is ignored, see `parse_json_lines`."""
+    options = {**STRICT_JSON, "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json(column, with_corrupt(schema), options)
+    others = [c for c in lines.columns if c != column]
+    return lines.select(*others, _once(parsed).alias("_parsed")).select(*others, "_parsed.*")
+
+
+def parse_json_lines(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
+    """As `parse_json` for fields that are all STRING, where text after the object is malformed too.
+
+    Spark's parser stops behind the first object, so two records that share a line would lose the
+    second. Each line is parsed as an array with an end mark behind it: whatever else is on the line
+    breaks the array or moves the mark."""
+    fields = T.StructType.fromDDL(schema)
+    marked = F.concat(F.lit("["), F.col(column), F.lit(',{"_end": ""}]'))
+    parsed = F.from_json(marked, T.ArrayType(T.StructType([*fields, T.StructField("_end", T.StringType())])), STRICT_JSON)
     others = [c for c in lines.columns if c != column]
-    return lines.select(*others, parsed.alias("_parsed")).select(*others, "_parsed.*")
+    staged = lines.select(*others, F.col(column).alias("_text"), parsed.alias("_parsed"))
+    first, second = F.try_element_at("_parsed", F.lit(1)), F.try_element_at("_parsed", F.lit(2))
+    whole = (F.size("_parsed") == 2) & first["_end"].isNull() & (second["_end"] == "")
+    record = F.when(whole, first)
+    judged = staged.select(*others, "_text", _once(record).alias("_record"))
+    return judged.select(
+        *others,
+        *[F.col("_record")[f.name].alias(f.name) for f in fields],
+        F.when(F.col("_record").isNull(), F.coalesce("_text", F.lit(""))).alias(CORRUPT),
+    )
+
+
+def _once(expensive: Column) -> Column:
+    """A value that filters on it do not compute again: Spark copies the expressions of a projection
+    into a filter above it, but not those of a generator."""
+    return F.explode(F.array(expensive))
 
 
 def with_corrupt(schema: str) -> T.StructType:
