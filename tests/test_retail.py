@@ -93,6 +93,15 @@ def test_run_stops_on_no_data_and_on_unsafe_output(spark, tmp_path, lines):
     assert len(retail.read_transactions(spark, lines).collect()) == 8
 
 
+@pytest.mark.parametrize("text, corrupt", [('{"store_id": "S1"}\n{"store_id": "S2"}', 0), ("garbage\nmore", 2)])
+def test_run_that_drops_every_row(spark, tmp_path, text, corrupt):
+    path = tmp_path / "sales.json"
+    path.write_text(text)
+    out = str(tmp_path / "o")
+    assert retail.run_daily_sales(spark, str(path), out) == retail.SalesReport("written", 2, corrupt)
+    assert spark.read.parquet(out).columns == ["store_id", "category_id", "transaction_date", "total_sales"]
+
+
 def test_run_with_inferred_schema(spark, tmp_path):
     path = tmp_path / "sales.json"
     path.write_text(json.dumps(SALES, indent=1))
