@@ -46,6 +46,17 @@ def test_load_customers(spark, tmp_path, names):
     assert spark.table(names[1]).first().last_update_ts == dt.date(2024, 5, 6)
 
 
+def test_load_into_two_databases(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text("a,b,c,d,e,f,g,h,i\n" + ",".join(x or "" for x in RAW) + "\n")
+    for layer in ("raw_layer", "insight_layer"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{tmp_path}/{layer}'")
+    customers.load_customers(spark, str(path), "raw_layer.customer", "insight_layer.customer", str(tmp_path / "t"))
+    assert spark.table("insight_layer.customer").count() == 1
+    for layer in ("raw_layer", "insight_layer"):
+        spark.sql(f"DROP DATABASE {layer} CASCADE")
+
+
 def test_other_layout_fails_and_keeps_the_old_table(spark, tmp_path, names):
     good, bad = tmp_path / "g.csv", tmp_path / "b.csv"
     good.write_text("h1,h2,h3,h4,h5,h6,h7,h8,h9\n" + ",".join(x or "" for x in RAW) + "\n")

@@ -183,3 +183,18 @@ def test_checks(spark):
     assert rows(good) == [(1, "a")] and rows(bad) == [(2, None)]
     assert "id: integer" in quality.schema_report(good)
     assert quality.day_count(spark.range(3).select(F.current_date().alias("d")), "d").first().n == 3
+
+
+def test_shared_dir_needs_a_setting_on_a_cluster():
+    class Unset:
+        conf = {}
+
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Unset, "x")

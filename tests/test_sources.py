@@ -37,6 +37,17 @@ def test_csv_inferred(spark, tmp_path):
     ]
 
 
+def test_warehouse_schema_forms():
+    assert schemas.from_compact("event_date:DATE, product_id:STRING, purchase_count:INTEGER") == schemas.TRENDS
+    fields = [
+        {"name": "event_date", "type": "STRING", "mode": "REQUIRED"},
+        {"name": "product_id", "type": "STRING", "mode": "REQUIRED"},
+        {"name": "purchase_count", "type": "INTEGER", "mode": "REQUIRED"},
+    ]
+    assert schemas.from_fields(fields) == (schemas.PURCHASES, schemas.PURCHASES_REQUIRED)
+    assert schemas.from_fields([{"name": "x", "type": "FLOAT64"}]) == ("x DOUBLE", ())
+
+
 def test_csv_renamed_by_position(spark, tmp_path):
     header = "cust_id,cust_name,start_ts,end_ts,create_ts,new_user_id,last_update_ts,last_update_user_id,client_id"
     path = write(tmp_path / "c.csv", header + "\nC1,Acme,s,e,c,u,l,v,007\n")
@@ -45,6 +56,12 @@ def test_csv_renamed_by_position(spark, tmp_path):
     assert df.first().client_id == "007"
 
 
+def test_csv_doubled_quotes_and_blanks(spark, tmp_path):
+    path = write(tmp_path / "q.csv", 'h1,h2,h3\n1,"say ""hi"", Bo",\n2,b,x\\"y\n')
+    df = files.read_csv(spark, path, "a STRING, b STRING, c STRING")
+    assert [tuple(r) for r in df.orderBy("a").collect()] == [("1", 'say "hi", Bo', None), ("2", "b", 'x\\"y')]
+
+
 def test_csv_typed_fails_on_bad_row(spark, tmp_path):
     good = write(tmp_path / "g.csv", "1,Sales\n2,IT\n")
     assert rows(files.read_csv(spark, good, schemas.DEPARTMENTS, header=False)) == [(1, "Sales"), (2, "IT")]

@@ -24,15 +24,15 @@ def read_csv(
 
     With a schema the header names are ignored, so a file whose header differs is renamed to the
     declared columns, and a row that does not fit fails the job (`mode="PERMISSIVE"` for nulls
-    instead). Quoted line breaks need `multi_line`; such a file is read by one task, so keep those
+    instead). In such files a quote inside a quoted field is doubled, as warehouses load them; inferred
+    files keep Spark's backslash. Quoted line breaks need `multi_line`; such a file is read by one task, so keep those
     files small and many.
     """
     reader = spark.read.option("header", header).option("sep", sep).option("multiLine", multi_line)
     if schema is None:
         return reader.option("inferSchema", True).option("mode", mode or "PERMISSIVE").csv(path)
-    return (
-        reader.schema(schema).option("enforceSchema", True).option("mode", mode or "FAILFAST").csv(path)
-    )
+    declared = reader.schema(schema).option("enforceSchema", True).option("escape", '"')
+    return declared.option("mode", mode or "FAILFAST").csv(path)
 
 
 def read_json(

@@ -41,3 +41,28 @@ NOT_PURCHASED_REQUIRED = ("event_date", "product_id", "not_purchased_count")
 ABANDONED = "event_date STRING, product_id STRING, abandoned_count BIGINT"
 ABANDONED_REQUIRED = ("event_date", "product_id", "abandoned_count")
 TRENDS = "event_date DATE, product_id STRING, purchase_count BIGINT"
+
+# Warehouse type -> Spark type.
+WAREHOUSE_TYPES = {
+    "STRING": "STRING",
+    "INTEGER": "BIGINT",
+    "INT64": "BIGINT",
+    "FLOAT": "DOUBLE",
+    "FLOAT64": "DOUBLE",
+    "BOOLEAN": "BOOLEAN",
+    "DATE": "DATE",
+    "DATETIME": "TIMESTAMP_NTZ",
+    "TIMESTAMP": "TIMESTAMP",
+}
+
+
+def from_compact(text: str) -> str:
+    """DDL of a schema written as `name:TYPE, name:TYPE`."""
+    pairs = [part.split(":") for part in text.split(",")]
+    return ", ".join(f"{name.strip()} {WAREHOUSE_TYPES[kind.strip().upper()]}" for name, kind in pairs)
+
+
+def from_fields(fields: list[dict[str, str]]) -> tuple[str, tuple[str, ...]]:
+    """DDL and required columns of a schema given as a list of name, type and mode."""
+    ddl = ", ".join(f"{f['name']} {WAREHOUSE_TYPES[f['type'].upper()]}" for f in fields)
+    return ddl, tuple(f["name"] for f in fields if f.get("mode", "NULLABLE").upper() == "REQUIRED")

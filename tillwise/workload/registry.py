@@ -31,3 +31,11 @@ def oracle_sql() -> dict[str, str]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def fresh_table(spark: SparkSession, name: str) -> str:
+    """A table name of this application, dropped if an earlier run made it."""
+    app = spark.sparkContext.applicationId.replace("-", "_")
+    full = f"tillwise_{name}_{app}"
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    return full

@@ -8,22 +8,14 @@ from tillwise.plans import clickstream, retail
 from tillwise.session import shared_dir
 from tillwise.sinks.tables import append_table, replace_table, truncate_table
 from tillwise.sources.files import read_table
-from tillwise.workload.registry import query, table
+from tillwise.workload.registry import fresh_table, query, table
 
 _SUPPLIER = "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE"
 
 
-def _fresh(spark, name: str) -> str:
-    """A table name of this application, dropped if an earlier run made it."""
-    app = spark.sparkContext.applicationId.replace("-", "_")
-    full = f"tillwise_{name}_{app}"
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    return full
-
-
 @query("SELECT * FROM supplier UNION ALL SELECT * FROM supplier")
 def table_append(spark, sf_dir):
-    name, place = _fresh(spark, "append"), shared_dir(spark, "append")
+    name, place = fresh_table(spark, "append"), shared_dir(spark, "append")
     for _ in range(2):
         append_table(table(spark, sf_dir, "supplier"), name, _SUPPLIER, place, ["s_suppkey"])
     return read_table(spark, name)
@@ -31,7 +23,7 @@ def table_append(spark, sf_dir):
 
 @query("SELECT * FROM supplier")
 def table_truncate(spark, sf_dir):
-    name, place = _fresh(spark, "truncate"), shared_dir(spark, "truncate")
+    name, place = fresh_table(spark, "truncate"), shared_dir(spark, "truncate")
     for _ in range(2):
         truncate_table(table(spark, sf_dir, "supplier"), name, _SUPPLIER, place, ["s_suppkey"])
     return read_table(spark, name)
@@ -40,7 +32,7 @@ def table_truncate(spark, sf_dir):
 @query("SELECT s_suppkey, s_acctbal * 2 AS doubled FROM supplier")
 def table_replace(spark, sf_dir):
     """The second version is computed from the first, under the same name."""
-    name, place = _fresh(spark, "replace"), shared_dir(spark, "replace")
+    name, place = fresh_table(spark, "replace"), shared_dir(spark, "replace")
     replace_table(table(spark, sf_dir, "supplier"), name, place)
     doubled = read_table(spark, name).select("s_suppkey", (F.col("s_acctbal") * 2).alias("doubled"))
     replace_table(doubled, name, place)
@@ -59,7 +51,7 @@ def partitioned_roundtrip(spark, sf_dir):
         F.col("ts").cast("date").alias("transaction_date"),
         F.col("value").alias("total_price"),
     )
-    name, place = _fresh(spark, "daily"), shared_dir(spark, "daily")
+    name, place = fresh_table(spark, "daily"), shared_dir(spark, "daily")
     retail.load_daily_table(retail.sales_by(rows, scale=2), name, place)
     return read_table(spark, name).select("store_id", "category_id", "transaction_date", "total_sales")
 
@@ -79,7 +71,7 @@ def clickstream_tables(spark, sf_dir):
         F.get_json_object("props", "$.k").alias("product_id"),
         F.col("ts").cast("date").alias("event_date"),
     )
-    bought, other = _fresh(spark, "purchases"), _fresh(spark, "others")
+    bought, other = fresh_table(spark, "purchases"), fresh_table(spark, "others")
     clickstream.write_counts(events, bought, other, shared_dir(spark, "clicks"))
     first = read_table(spark, bought).select(
         "event_date", "product_id", F.lit("purchase").alias("kind"), F.col("purchase_count").alias("n")
