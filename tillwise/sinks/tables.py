@@ -1,7 +1,10 @@
 """Catalog tables: append, truncate, replace, and the day-partitioned table.
 
-Tables take an explicit location so that they work in any warehouse. A null in a required column
-fails the write itself (Spark's Parquet tables accept nulls in NOT NULL columns)."""
+Tables take an explicit location so that they work in any warehouse. Truncating and replacing write
+a fresh folder next to that location and then point the name at it: a job that fails leaves the old
+rows in place (overwriting a folder would delete them first), the query may read the table it
+replaces, and open readers keep their files. Old folders are left for their owner to delete. A null
+in a required column fails the write itself (Spark's Parquet tables accept nulls in NOT NULL columns)."""
 
 from __future__ import annotations
 
@@ -13,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.operators.quality import required
-from tillwise.sinks.files import check_output
 
 
 class SchemaMismatch(Exception):
@@ -25,8 +27,10 @@ def create_table(
 ) -> None:
     """Create an empty Parquet table if there is none."""
     partition = f"PARTITIONED BY ({partition_by})" if partition_by else ""
-    place = location.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet {partition} LOCATION '{place}'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet {partition} "
+        f"LOCATION '{_quoted(location)}'"
+    )
 
 
 def conform(df: DataFrame, schema: str, not_null: Sequence[str] = ()) -> DataFrame:
@@ -51,21 +55,17 @@ def append_table(
 def truncate_table(
     df: DataFrame, name: str, schema: str, location: str, not_null: Sequence[str] = ()
 ) -> None:
-    """Replace all rows and keep the declared table, creating it at first use."""
-    create_table(df.sparkSession, name, schema, location)
-    conform(df, schema, not_null).write.mode("overwrite").insertInto(name)
+    """Replace all rows by rows of the declared schema, creating the table at first use."""
+    folder = _fresh_folder(location)
+    conform(df, schema, not_null).write.parquet(folder)
+    _point(df.sparkSession, name, schema, folder)
 
 
 def replace_table(df: DataFrame, name: str, location: str) -> None:
-    """Create or replace a table from a query, with whatever columns the query has.
-
-    The rows go to a fresh folder before the name moves over, so the query may read the table it
-    replaces, and a failed query leaves the old table as it was. Old folders stay for open readers."""
-    spark = df.sparkSession
-    version = f"{location.rstrip('/')}/version={uuid.uuid4().hex}"
-    df.write.parquet(version)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=version, source="parquet", schema=df.schema)
+    """Create or replace a table from a query, with whatever columns the query has."""
+    folder = _fresh_folder(location)
+    df.write.parquet(folder)
+    _point(df.sparkSession, name, ", ".join(f"`{c}` {t}" for c, t in df.dtypes), folder)
 
 
 def load_partitioned(
@@ -83,12 +83,32 @@ def load_partitioned(
     share a task, a day that holds a third of all rows is split over many, and each file covers a
     narrow range of cluster values, so Parquet statistics can skip it. `schema` must end with the
     partition column."""
-    check_output(location, df.inputFiles())
-    create_table(df.sparkSession, name, schema, location, partition_by)
+    folder = _fresh_folder(location)
     keys = [F.col(partition_by), *[F.col(c) for c in cluster_by]]
     ready = conform(df, schema, not_null).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    # By path, since only there the static mode can be asked for: every old partition must go, also
-    # in a session that is set to overwrite only the partitions it writes.
-    writer = ready.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(partition_by).parquet(location)
-    df.sparkSession.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    ready.write.partitionBy(partition_by).parquet(folder)
+    _point(df.sparkSession, name, schema, folder, partition_by)
+
+
+def _fresh_folder(location: str) -> str:
+    return f"{location.rstrip('/')}-{uuid.uuid4().hex}"
+
+
+def _point(
+    spark: SparkSession, name: str, schema: str, folder: str, partition_by: str | None = None
+) -> None:
+    """Let a table name show a folder. In one step if only the folder changes; otherwise the name is
+    dropped and created, and is missing for that moment."""
+    if partition_by is None and spark.catalog.tableExists(name):
+        want = [(f.name, f.dataType.simpleString()) for f in T.StructType.fromDDL(schema)]
+        if spark.table(name).dtypes == want:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(folder)}'")
+            return
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    create_table(spark, name, schema, folder, partition_by)
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def _quoted(path: str) -> str:
+    return path.replace("'", "\\'")
