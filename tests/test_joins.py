@@ -52,12 +52,11 @@ def test_salted_join_equals_plain_join(spark, no_broadcast, how, null_safe):
 
 def test_hot_key_is_spread(spark, no_broadcast):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    left, right = facts(spark), dims(spark)
-    got = skew_join(left, right, ("k", "d"), hot=hot_hashes(spark))
-    share = (
-        got.filter("k = 1").groupBy(F.spark_partition_id().alias("p")).count().collect()
-    )
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        got = skew_join(facts(spark), dims(spark), ("k", "d"), hot=hot_hashes(spark))
+        share = got.filter("k = 1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(share) > 1
 
 
@@ -129,8 +128,19 @@ def test_merge_takes_the_right_value(spark):
     assert rows(merge_join(staff, depts, "dept", columns)) == [("Ann", "HR", "north", 1)]
 
 
-def test_salt_does_not_change_when_a_task_runs_again(spark, no_broadcast):
+def test_salt_does_not_depend_on_chance_or_row_order(spark, no_broadcast):
     left, right = facts(spark), dims(spark)
     salted = skew_join(left, right, ("k", "d"), hot=hot_hashes(spark))
     plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "rand" not in plan and "monotonically" not in plan and "spark_partition_id" not in plan
+    assert "_salt" in plan and "rand" not in plan and "monotonically" not in plan
+
+
+def test_copies_of_one_row_are_split(spark, no_broadcast):
+    left = spark.range(0, 8000, 1, 8).select(F.lit(1).cast("bigint").alias("k"), F.lit("same").alias("x"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = skew_join(left, dims(spark), ("k", "d"), hot=hot_hashes(spark))
+        share = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(share) == 8000 and len(share) > 1

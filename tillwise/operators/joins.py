@@ -35,11 +35,12 @@ def skew_join(
     """Inner or left join of a large `left` to a `right` with few rows per key.
 
     `on` holds column names, or `(left, right)` pairs of differently named columns; a shared name
-    comes out once. `spread` names left columns whose hash splits a hot key (default: all columns
-    but the key; it must tell the rows of one key apart). It is a hash rather than a random number so
-    that a task re-run after a lost executor sends each row to the same place. `keys_from` is a frame
-    to sample instead of `left`: the table that brings the key, if `left` is itself a join. `hot` gives
-    known hot keys, as `find_hot_keys` returns them.
+    comes out once. `spread` names left columns that tell the rows of one key apart (default: all
+    columns but the key). A hot row goes to a piece by the hash of these columns and of the number of
+    its partition, so that copies of one row are split as well. Neither changes if a task runs again
+    after a lost executor, as a random number or a row position could. `keys_from` is a frame to sample
+    instead of `left`: the table that brings the key, if `left` is itself a join. `hot` gives known hot
+    keys, as `find_hot_keys` returns them.
     If either side is below Spark's broadcast threshold there is nothing to spread: a small right side
     needs no shuffle, and a small left side has no task worth splitting.
     """
@@ -68,10 +69,14 @@ def skew_join(
     if not hot:
         joined = left.join(right, matches(), how)
     else:
+        if how == "inner" and not null_safe:
+            # Stated here, since Spark does not push it below a partition number by itself.
+            left = left.dropna(subset=lkeys)
         by = list(spread) if spread else [c for c in left.columns if c not in lkeys]
         lways, rways = _ways(lhash, hot), _ways(rhash, hot)
         # The coalesce only tells the optimizer that a salt is never null.
-        piece = F.coalesce(F.pmod(F.xxhash64(*by), lways), F.lit(0)).cast("int") if by else F.lit(0)
+        mixed = F.pmod(F.xxhash64(*by, F.spark_partition_id()), lways)
+        piece = F.coalesce(mixed, F.lit(0)).cast("int")
         copies = F.when(rways > 1, F.sequence(F.lit(0), rways - 1)).otherwise(F.array(F.lit(0)))
         salted_left = left.withColumn(_L, F.when(lways > 1, piece).otherwise(F.lit(0)))
         salted_right = right.withColumn(_R, F.explode(copies))

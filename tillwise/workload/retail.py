@@ -11,6 +11,10 @@ from tillwise.plans import reports, retail
 from tillwise.workload.registry import query, table
 
 
+# Tells line items apart; only read where a hot key has to be split.
+_LINE_ID = ("l_orderkey", "l_linenumber")
+
+
 def _transactions(spark, sf_dir):
     """Line items as transactions: supplier = store, return flag = category."""
     return table(spark, sf_dir, "lineitem").select(
@@ -44,8 +48,10 @@ FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3
 """)
 def retail_sales_by_brand(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
-    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate", "l_quantity")
-    joined = skew_join(lines, part, ("l_partkey", "p_partkey"), spread=["l_suppkey", "l_shipdate"])
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", *_LINE_ID
+    )
+    joined = skew_join(lines, part, ("l_partkey", "p_partkey"), spread=[*_LINE_ID, "l_suppkey"])
     rows = joined.select(
         F.col("l_suppkey").alias("store_id"),
         F.col("p_brand").alias("category_id"),
@@ -64,8 +70,8 @@ GROUP BY 1, 2
 def retail_sales_by_region(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_orderkey")
-    joined = skew_join(lines, part, ("l_partkey", "p_partkey"), spread=["l_suppkey", "l_orderkey"])
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", *_LINE_ID)
+    joined = skew_join(lines, part, ("l_partkey", "p_partkey"), spread=[*_LINE_ID, "l_suppkey"])
     # Per supplier and brand first: the supplier join then sees a bounded number of rows per key.
     per_supplier = joined.groupBy("l_suppkey", "p_brand").agg(
         F.sum(minor_units(F.col("l_quantity") * F.col("p_retailprice"))).alias("cents")
@@ -139,7 +145,7 @@ JOIN part ON l_partkey = p_partkey
 def sales_display(spark, sf_dir):
     return reports.sales_display(
         _sales(spark, sf_dir), _orders(spark, sf_dir), _customers(spark, sf_dir),
-        _products(spark, sf_dir), spread=["sales_id", "quantity"],
+        _products(spark, sf_dir), spread=["sales_id", "product_id", "quantity"],
     )
 
 
