@@ -84,14 +84,20 @@ def test_small_right_side_is_left_to_spark(spark):
     assert "_salt" not in got._jdf.queryExecution().toString()
 
 
-def test_keys_of_different_types(spark, no_broadcast):
+def test_integer_keys_of_different_width(spark, no_broadcast):
     left = facts(spark)
     right = dims(spark).select(F.col("d").cast("int").alias("d"), "name")
-    text = left.select(F.xxhash64(F.col("k").cast("string"))).filter(F.col("k") == 1).first()[0]
-    got = skew_join(left, right, ("k", "d"), hot={text: 4})
+    got = skew_join(left, right, ("k", "d"), hot=hot_hashes(spark))
+    assert "_salt" in got._jdf.queryExecution().toString()
     assert rows(got) == rows(left.join(right, F.col("k") == F.col("d")))
 
 
+def test_other_keys_must_have_one_type(spark):
+    right = dims(spark).select(F.col("d").cast("string").alias("d"), "name")
+    with pytest.raises(ValueError, match="one type"):
+        skew_join(facts(spark), right, ("k", "d"))
+
+
 def test_shared_key_name_comes_out_once(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k INT, x STRING")
     right = spark.createDataFrame([(1, "p"), (1, "q")], "k INT, y STRING")
@@ -144,3 +150,26 @@ def test_copies_of_one_row_are_split(spark, no_broadcast):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(share) == 8000 and len(share) > 1
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_nan_and_negative_zero_match_as_in_a_plain_join(spark, no_broadcast, how):
+    nan = float("nan")
+    zeros = [(-0.0, i) for i in range(4, 40)]
+    left = spark.createDataFrame([(nan, 1), (1.0, 2), (None, 3), *zeros], "k DOUBLE, x INT")
+    right = spark.createDataFrame([(nan, "n"), (1.0, "o"), (None, "z"), (0.0, "0")], "d DOUBLE, y STRING")
+    hot = {r[0]: 4 for r in left.select(F.xxhash64("k")).distinct().collect()}
+    got = skew_join(left, right, ("k", "d"), how, hot=hot).select("x", "y")
+    assert rows(got) == rows(left.join(right, F.col("k") == F.col("d"), how).select("x", "y"))
+    assert got.filter("y = 'n'").count() == 1 and got.filter("y = '0'").count() == 36
+
+
+def test_salted_join_pushes_the_null_filter_down(spark, no_broadcast):
+    path = "/root/testdata/sf0.001"
+    left = spark.read.parquet(f"{path}/lineitem.parquet").select("l_partkey", "l_orderkey")
+    right = spark.read.parquet(f"{path}/part.parquet").select("p_partkey", "p_brand")
+    salted = skew_join(left, right, ("l_partkey", "p_partkey"), hot={1: 4})
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "_salt_left" in plan
+    assert "PushedFilters: [IsNotNull(l_partkey)]" in plan
+    assert "PushedFilters: [IsNotNull(p_partkey)]" in plan

@@ -16,6 +16,7 @@ SAMPLE = 0.001
 MIN_HITS = 10
 # Pieces per average partition: several small pieces spread more evenly than one large piece.
 PIECES = 4
+INTEGERS = {"tinyint", "smallint", "int", "bigint"}
 _L, _R = "_salt_left", "_salt_right"
 
 Key = str | tuple[str, str]
@@ -71,7 +72,8 @@ def skew_join(
     else:
         if how == "inner" and not null_safe:
             # Stated here, since Spark does not push it below a partition number by itself.
-            left = left.dropna(subset=lkeys)
+            for k in lkeys:
+                left = left.filter(F.col(k).isNotNull())
         by = list(spread) if spread else [c for c in left.columns if c not in lkeys]
         lways, rways = _ways(lhash, hot), _ways(rhash, hot)
         # The coalesce only tells the optimizer that a salt is never null.
@@ -137,11 +139,16 @@ def _broadcast_limit(spark: SparkSession) -> int:
 
 
 def _key_hashes(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[str]):
-    """The same hash of the key on either side; keys of different types are hashed as text."""
+    """Hashes that are equal on both sides whenever the keys are. That needs keys of one type, or
+    integers of any width: a text and a number may be equal and still hash differently."""
     ltypes, rtypes = dict(left.dtypes), dict(right.dtypes)
     lcols, rcols = [], []
     for l, r in zip(lkeys, rkeys):
-        same = ltypes[l] == rtypes[r]
-        lcols.append(F.col(l) if same else F.col(l).cast("string"))
-        rcols.append(F.col(r) if same else F.col(r).cast("string"))
+        lcol, rcol = F.col(l), F.col(r)
+        if ltypes[l] != rtypes[r]:
+            if not {ltypes[l], rtypes[r]} <= INTEGERS:
+                raise ValueError(f"cast the keys to one type first: {l} {ltypes[l]}, {r} {rtypes[r]}")
+            lcol, rcol = lcol.cast("bigint"), rcol.cast("bigint")
+        lcols.append(lcol)
+        rcols.append(rcol)
     return F.xxhash64(*lcols), F.xxhash64(*rcols)
