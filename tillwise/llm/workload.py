@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import licenses, mixing, url_filter
+from tillwise.llm import fingerprint, licenses, mixing, quality, toxicity, url_filter
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -128,3 +128,19 @@ SELECT doc_id, text_licence, notices FROM documents LEFT JOIN found USING (doc_i
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return licenses.scan(docs, licenses.known_licences(spark))
+
+
+@_register()
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rules(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@_register()
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@_register()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(docs, _table(spark, sf_dir, "labels", "doc_id", "toxic"))
