@@ -27,6 +27,7 @@ FOLDS, HELD_OUT = 4, 2
 TRAIN_ROWS = 20_000  # bound of the labelled sample that the lexicon and the logistic are fitted on
 STEMS = range(3, 9)  # lengths of word beginnings
 SUPPORT, PRECISION = 8, 0.85  # least distinct toxic surroundings, and their share of all surroundings
+SPECIAL = 0.95  # a longer stem replaces a shorter one if it keeps this share of its surroundings
 THRESHOLD = 0.3
 
 # The words of the closed classes.
@@ -195,9 +196,17 @@ def learn_insults(train: DataFrame) -> dict[str, float]:
         .collect()  # bounded by the sample
     )
     kept: dict[str, float] = {}
+    covered: set[str] = set()
+    support = {row.stem: row.bad for row in found}
     for row in sorted(found, key=lambda r: (len(r.stem), r.stem)):
-        if not any(s in kept for s in stems(row.stem.rstrip("*")) if s != row.stem):
-            kept[row.stem] = math.log((row.bad + 0.5) / (row.good + 0.5))
+        if any(s in covered for s in stems(row.stem.rstrip("*")) if s != row.stem):
+            continue
+        # the most special stem that still stands for nearly all of its surroundings
+        begin = row.stem.rstrip("*")
+        special = [s for s, n in support.items() if s.startswith(begin) and n >= SPECIAL * row.bad]
+        best = max(special, key=lambda s: (len(s.rstrip("*")), not s.endswith("*"), s))
+        kept[best] = max(kept.get(best, 0.0), math.log((row.bad + 0.5) / (row.good + 0.5)))
+        covered.add(row.stem)
     return kept
 
 

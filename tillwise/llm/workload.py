@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import fingerprint, licenses, mixing, quality, toxicity, url_filter
+from tillwise.llm import fingerprint, licenses, mixing, ngram_join, quality, toxicity, url_filter
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -144,3 +144,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return toxicity.score(docs, _table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+@_register()
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(_table(spark, sf_dir, "documents", "doc_id", "text"), words=3, num=90, den=100)
