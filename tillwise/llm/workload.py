@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import fingerprint, licenses, mixing, ngram_join, quality, toxicity, url_filter
+from tillwise.llm import (
+    fingerprint, licenses, line_dedup, mixing, ngram_join, pieces, quality, toxicity, url_filter,
+)
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -149,3 +151,27 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register()
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(_table(spark, sf_dir, "documents", "doc_id", "text"), words=3, num=90, den=100)
+
+
+@_register()
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    rest = line_dedup.dedup(docs)
+    return rest.select(
+        "doc_id",
+        "removed_lines",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+@_register()
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text").withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    encoded = pieces.encode(docs, keep=("doc_id", "text_sha256"))
+    counted = encoded.withColumns(
+        {"n_tokens": F.size("ids").cast("long"), "ids_sha256": F.sha2(F.to_json("ids"), 256)}
+    )
+    return pieces.decoded(counted).select(
+        "doc_id", "n_tokens", "ids_sha256", (F.sha2("text", 256) == F.col("text_sha256")).alias("round_trip")
+    )
