@@ -165,8 +165,8 @@ def written(text: str) -> str:
 
 
 def cuts(text: str, low: int, high: int) -> tuple[int, int]:
-    """First and last point in low..high that every path goes through; high + 1 and -1 if none."""
-    found = [m.start() for m in re.compile(f"(?<!{BLANK}){BLANK}").finditer(text, max(low, 1), high + 1)]
+    """First and last point from `low` to before `high` that every path goes through; high + 1 and -1 if none."""
+    found = [m.start() for m in re.compile(f"(?<!{BLANK}){BLANK}").finditer(text, max(low, 1), high)]
     return (found[0], found[-1]) if found else (high + 1, -1)
 
 
