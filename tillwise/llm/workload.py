@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import (
-    fingerprint, licenses, line_dedup, mixing, ngram_join, pieces, quality, toxicity, url_filter,
+    fingerprint, licenses, line_dedup, mixing, ngram_join, ngram_model, pieces, quality, toxicity, url_filter,
 )
 
 _QUERIES: dict = {}
@@ -175,3 +175,8 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.decoded(counted).select(
         "doc_id", "n_tokens", "ids_sha256", (F.sha2("text", 256) == F.col("text_sha256")).alias("round_trip")
     )
+
+
+@_register()
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_model.score(_table(spark, sf_dir, "documents", "doc_id", "text"))
