@@ -37,6 +37,8 @@ SPELLINGS = (
     ("v3", "version 3"),
 )
 
+SMALL = 20_000  # known texts (some 100 bytes each) up to which their digests are broadcast; beyond, a shuffle join
+
 COPYRIGHT = r"(^|\n)[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
 NOT_TEXT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F ‐-‟]+"
 
@@ -132,7 +134,10 @@ def scan(docs: DataFrame, licences: DataFrame) -> DataFrame:
     null ids count as one id. Extra columns are not looked at. An empty licence table finds nothing.
     """
     known = digests(licences)
-    longest = known.agg(F.max("known_length")).first()[0] or 0
+    size = known.agg(F.max("known_length").alias("longest"), F.count(F.lit(1)).alias("n")).first()
+    longest = size.longest or 0
+    if size.n <= SMALL:
+        known = F.broadcast(known)
     # a rewritten word is at most twice as long or half as long as before
     fits = F.length("canonical").between(1, 2 * longest)
     # below a generator, so that filters above it do not compute the expression again
