@@ -1,0 +1,97 @@
+import math
+import tempfile
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import rows
+
+from tillwise.llm import ngram_model as lm
+from tillwise.llm.elias_fano import EliasFano
+
+
+def tokens(text):
+    return [*(text or "").encode().lower().split(), None]
+
+
+def brute(texts):
+    """(held_out, n_tokens, n_known, N, base, score) per row."""
+    held = [zlib.crc32(b"" if d is None else str(d).encode()) % 7 == 2 for d, _ in texts]
+    words, pairs, docs = Counter(), Counter(), 0
+    for (_, t), out in zip(texts, held):
+        if not out:
+            docs += 1
+            words.update(tokens(t))
+            pairs.update(zip(["", *tokens(t)], tokens(t)))
+    n, v = sum(words.values()), len(words)
+    for (d, t), out in zip(texts, held):
+        score = 0.0
+        for u, w in zip(["", *tokens(t)], tokens(t)):
+            lower = (words[w] + 1) / (n + v + 1)
+            score += math.log10((pairs[u, w] + lm.MASS * lower) / ((words[u] if u != "" else docs) + lm.MASS))
+        base = sum(math.log10((words[w] + 1) / (n + v + 1)) for w in tokens(t))
+        yield d, out, len(tokens(t)), sum(words[w] > 0 for w in tokens(t)), n, base, score
+
+
+def check(spark, texts):
+    got = [tuple(r) for r in lm.score(spark.createDataFrame(texts, "doc_id long, text string")).collect()]
+    want = list(brute(texts))
+    assert len(got) == len(want)
+    order = lambda r: (r[0] is None, r[0] or 0, r[2], round(r[5], 6))
+    for g, w in zip(sorted(got, key=order), sorted(want, key=order)):
+        assert g[:5] == w[:5]
+        assert g[5] == pytest.approx(w[5], rel=1e-12)
+        # a shard takes V for its own words times the number of shards; a step is 1 / 2048
+        assert abs(g[6] - w[6]) < 0.03 * g[2]
+
+
+def test_scores_as_brute_force(spark):
+    rng = __import__("random").Random(2)
+    check(spark, [(i, rows.words(rng, rng.randrange(0, 300), 900)) for i in range(200)])
+
+
+def test_special_rows(spark):
+    check(spark, [(r.doc_id, r.text) for r in rows.special(spark).collect()])
+    assert lm.score(rows.empty(spark)).collect() == []
+
+
+def test_one_word_holds_a_third(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SAMPLE", 1.0)
+    rng = __import__("random").Random(4)
+    texts = [(i, " ".join(f"hot r{rng.randrange(4000)} q{rng.randrange(4000)}" for _ in range(80))) for i in range(120)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    routing = lm.routing_for(df)
+    assert routing.split(np.array([lm.word_hash(b"hot")], np.uint64))[0] > 2
+    check(spark, texts)
+
+
+def test_training_only_in_held_out_fold(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
+    got = lm.score(spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string")).collect()
+    assert all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in got)
+
+
+def test_model_beats_unigrams_on_held_out_copies(spark):
+    rng = __import__("random").Random(9)
+    stems = [rows.words(rng, 60, 2000) for _ in range(12)]
+    texts = [(i, rng.choice(stems)) for i in range(150)]
+    got = [r for r in lm.score(spark.createDataFrame(texts, "doc_id long, text string")).collect() if r.held_out]
+    assert got and sum(r.score for r in got) > 0.8 * sum(r.base_score for r in got)
+
+
+@pytest.mark.parametrize(("n", "top"), [(0, 1), (1, 5), (5, 5), (1000, 1000), (1000, 10**6), (5000, 2**62), (3000, 2**57), (70_000, 2**40)])
+def test_elias_fano(n, top):
+    rng = np.random.default_rng(n)
+    values = np.unique(rng.integers(0, top, n).astype(np.uint64)) if n else np.zeros(0, np.uint64)
+    with tempfile.TemporaryDirectory() as folder:
+        levels = EliasFano(values, folder, "x")
+        asked = np.concatenate([values, values + np.uint64(1), rng.integers(0, top + 5, 500).astype(np.uint64)])
+        assert (levels.successor(asked) == np.searchsorted(values, asked)).all()
+        found = levels.find(asked)
+        assert ((found >= 0) == np.isin(asked, values)).all()
+        if n:
+            assert (levels.get(np.arange(len(values))) == values).all()
+            assert (values[found[found >= 0]] == asked[found >= 0]).all()
+        if n == 70_000:  # two bits and the low bits of each value, and samples
+            assert levels.bytes() < len(values) * (levels.low_bits + 3) / 8 * 1.1

@@ -1,0 +1,89 @@
+import os
+import random
+
+import numpy as np
+import pytest
+import rows
+import sentencepiece
+
+from tillwise.llm import pieces as pc
+
+pytestmark = pytest.mark.skipif(not os.path.exists(pc.MODEL), reason="no vocabulary file")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=pc.MODEL)
+
+
+@pytest.fixture(scope="module")
+def units():
+    return pc.Units(pc.Vocabulary.load())
+
+
+def texts(seed=1, n=120):
+    rng = random.Random(seed)
+    alphabet = "aabcdeehiinorsttu  éçß漢\n\t.,|01 "
+    return [
+        "", " ", "a", "  a  b" * 50, "x" * 300, "the" * 200, "thelyingstation" * 40, " " * 77 + "a", "ähé漢字 \n\n\tq" * 40, "🙂🙂 \U0001f469‍🔬",
+        *("".join(rng.choices(alphabet, k=rng.randrange(1, 400))) for _ in range(n)),
+    ]
+
+
+def ids_of(units, text):
+    return np.frombuffer(units.ids(pc.written(text)), np.int32)
+
+
+def test_as_the_library(library, units):
+    for text in texts():
+        ids = ids_of(units, text)
+        assert ids.tolist() == library.encode(text)
+        assert pc.decode(ids, units.vocabulary) == text
+
+
+@pytest.mark.parametrize("size", [16, 17, 40, 333])
+def test_scan_as_one_piece(units, size):
+    longest = units.vocabulary.longest
+    for text in texts(2, 60):
+        written, chunks = pc.written(text), []
+        for at in range(0, len(written), size):
+            low = min(at, longest)
+            part = written[at - low : at - low + size + 2 * longest]
+            chunks.append(pc.Chunk(part, low, low + min(size, len(written) - at), at + size >= len(written), units))
+        if not chunks:
+            continue
+        matrices = [c.matrix() for c in chunks]
+        path = pc.boundary_states(matrices)
+        assert b"".join(c.ids(a, b) for c, a, b in zip(chunks, path, path[1:])) == units.ids(written)
+        # any grouping of the products gives the same total
+        left, right = matrices[0], matrices[-1]
+        for m in matrices[1:]:
+            left = pc.multiply(left, m)
+        for m in matrices[-2::-1]:
+            right = pc.multiply(m, right)
+        assert left == pytest.approx(right) and np.isfinite(left).all()
+
+
+def test_long_units_are_walked(units):
+    v = units.vocabulary
+    rng = random.Random(3)
+    for _ in range(100):
+        text = "".join(rng.choices("theinganostr漢", k=rng.randrange(1, 120)))
+        assert pc.trace(text, v.walk(text, 0, len(text)), 0, len(text)) == v.merged(text)
+
+
+def test_giants_and_special_rows(spark, library):
+    df = rows.special(spark)
+    got = pc.encode(df, chunk=64, keep=("doc_id", "text")).collect()
+    assert len(got) == df.count()
+    assert all(r.ids == library.encode(r.text or "") for r in got)
+    back = pc.decoded(pc.encode(df, chunk=64, keep=("doc_id", "lang", "n_chars")).withColumnRenamed("n_chars", "n"))
+    assert back.columns == ["doc_id", "lang", "n", "text"]
+    assert sorted(r.text for r in back.collect()) == sorted(r.text or "" for r in df.collect())
+    assert pc.encode(rows.empty(spark)).collect() == [] == pc.decoded(pc.encode(rows.empty(spark))).collect()
+
+
+def test_text_without_blanks_over_many_chunks(spark, library):
+    text = "thelyingstationerthe" * 300 + "漢" + "a" * 50
+    df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    assert [r.ids for r in pc.encode(df, chunk=100).collect()] == [library.encode(text)] * 2

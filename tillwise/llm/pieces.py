@@ -385,7 +385,7 @@ def encode(docs: DataFrame, path: str = MODEL, chunk: int = CHUNK, keep: tuple[s
         .groupBy("giant")
         .agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda s: s["ids"])).alias("ids"))
     )
-    return small.unionByName(giants.drop("text").join(ids, "giant").select(*keep, "ids"))
+    return small.unionByName(giants.select("giant", *keep).join(ids, "giant").select(*keep, "ids"))
 
 
 def decoded(encoded: DataFrame, path: str = MODEL) -> DataFrame:
