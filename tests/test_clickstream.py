@@ -101,3 +101,27 @@ def test_strict_count_fails_on_a_bad_date_of_any_type(spark):
     lines = spark.createDataFrame([(json.dumps(c),) for c in (click("purchase"), click("view", when="x"))], "value STRING")
     with pytest.raises(Exception, match="bad event timestamp"):
         clickstream.strict_purchase_counts(clicks.parse_strict(lines)).collect()
+
+
+def test_odd_array_files_lose_no_click(spark, tmp_path):
+    odd = [{**click("purchase"), "user_id": "u}1"}, {**click("purchase"), "device": {"os": "x"}}, click("purchase"), 5, None]
+    (tmp_path / "odd.json").write_text(json.dumps(odd))
+    events, bad = clickstream.read_events(spark, str(tmp_path / "odd.json"))
+    assert rows(clickstream.purchase_counts(events)) == [("2025-06-11", "P1", 3)]
+    assert [r.reject_reason for r in bad.collect()] == ["malformed json"]
+
+
+def test_multi_line_layout(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([None, *CLICKS, {**click("purchase"), "user_id": "u}1"}]))
+    events, bad = clickstream.read_events(spark, str(tmp_path / "a.json"), "multi_line")
+    assert events.count() == 8 and bad.count() == 3
+
+
+def test_load_counts_keeps_its_rejects(spark, tmp_path, names):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps([*CLICKS, "junk", {**click("purchase"), "user_id": "}"}]))
+    for _ in range(2):
+        report = clickstream.load_counts(spark, str(tmp_path / "in"), *names, str(tmp_path / "t"), str(tmp_path / "bad"))
+    assert report == {"accepted": 8, "no timestamp": 2, "bad timestamp": 1, "malformed json": 1}
+    assert rows(spark.table(names[0])) == [("2025-06-11", "P1", 4), ("2025-06-12", "P2", 1)]
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 4

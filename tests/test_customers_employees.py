@@ -39,16 +39,16 @@ def test_one_source_column_gives_date_and_datetime(spark):
 
 def test_load_customers(spark, tmp_path, names):
     path = tmp_path / "c.csv"
-    path.write_text("cust_id,cust_name,a,b,c,new_user_id,d,e,f\n" + ",".join(x or "" for x in RAW) + "\n")
+    path.write_text("cust_id,cust_name,a,b,c,new_user_id,d,e,f\n" + ",".join(x or STAMP for x in RAW) + "\n")
     for _ in range(2):
         customers.load_customers(spark, str(path), names[0], names[1], str(tmp_path / "t"))
-    assert rows(spark.table(names[0])) == [RAW]
+    assert rows(spark.table(names[0])) == [tuple(x or STAMP for x in RAW)]
     assert spark.table(names[1]).first().last_update_ts == dt.date(2024, 5, 6)
 
 
 def test_load_into_two_databases(spark, tmp_path):
     path = tmp_path / "c.csv"
-    path.write_text("a,b,c,d,e,f,g,h,i\n" + ",".join(x or "" for x in RAW) + "\n")
+    path.write_text("a,b,c,d,e,f,g,h,i\n" + ",".join(x or STAMP for x in RAW) + "\n")
     for layer in ("raw_layer", "insight_layer"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{tmp_path}/{layer}'")
     customers.load_customers(spark, str(path), "raw_layer.customer", "insight_layer.customer", str(tmp_path / "t"))
@@ -59,7 +59,7 @@ def test_load_into_two_databases(spark, tmp_path):
 
 def test_other_layout_fails_and_keeps_the_old_table(spark, tmp_path, names):
     good, bad = tmp_path / "g.csv", tmp_path / "b.csv"
-    good.write_text("h1,h2,h3,h4,h5,h6,h7,h8,h9\n" + ",".join(x or "" for x in RAW) + "\n")
+    good.write_text("h1,h2,h3,h4,h5,h6,h7,h8,h9\n" + ",".join(x or STAMP for x in RAW) + "\n")
     bad.write_text("h1,h2,h3,h4,h5,h6,h7,h8,h9\nC2,X,01-01-2024 08:00,,,u,,v,1\n")
     customers.load_customers(spark, str(good), names[0], names[1], str(tmp_path / "t"))
     with pytest.raises(Exception, match="bad datetime: 01-01-2024 08:00"):
@@ -93,3 +93,20 @@ def test_load_employees(spark, tmp_path, names):
     dep.write_text("10,HR\n")
     employees.load_employees(spark, str(emp), str(dep), str(tmp_path / "t"), *names)
     assert spark.table(names[2]).select(F.col("FullName"), F.col("DepartmentName")).first()[:] == ("Ann.Lee", "HR")
+
+
+def test_empty_timestamp_fails_the_typed_load(spark, tmp_path):
+    from tillwise.plans.customers import typed_customers
+    from tillwise.sources.files import read_csv
+    from tillwise.sources.schemas import CUSTOMER_RAW
+
+    path = tmp_path / "c.csv"
+    path.write_text("a,b,c,d,e,f,g,h,i\nC1,Acme,,2024-01-01 00:00:00,2024-01-01 00:00:00,u,2024-01-01 00:00:00,v,1\n")
+    raw = read_csv(spark, str(path), CUSTOMER_RAW)
+    assert raw.first().start_ts == ""
+    try:
+        typed_customers(raw).collect()
+    except Exception as failed:
+        assert "bad datetime" in str(failed)
+    else:
+        raise AssertionError("an empty timestamp passed")

@@ -173,3 +173,35 @@ def test_salted_join_pushes_the_null_filter_down(spark, no_broadcast):
     assert "_salt_left" in plan
     assert "PushedFilters: [IsNotNull(l_partkey)]" in plan
     assert "PushedFilters: [IsNotNull(p_partkey)]" in plan
+
+
+def test_small_files_of_one_key_are_not_a_small_left_side(spark, tmp_path, monkeypatch):
+    from tillwise.operators import joins
+
+    monkeypatch.setattr(joins, "SMALL_LEFT", 20_000)
+    spark.range(60_000).selectExpr("cast(1 as bigint) as k", "id % 3 as v").write.parquet(str(tmp_path / "l"))
+    left = spark.read.parquet(str(tmp_path / "l"))
+    assert joins.fits_broadcast(left) and not joins.few_rows(left)
+    hot = joins.find_hot_keys(left, F.xxhash64("k"))
+    assert len(hot) == 1 and joins.find_hot_keys(left, F.xxhash64("k")) == hot
+
+
+def test_sample_size_does_not_grow_with_the_table(spark, tmp_path):
+    from tillwise.operators import joins
+
+    df = spark.range(10**12).selectExpr("id % 10 as k")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = joins.SAMPLE_PER_PARTITION * parts / joins.estimated_rows(df)
+    assert 10**12 * share < 10 * joins.SAMPLE_PER_PARTITION * parts
+
+
+def test_key_that_is_hot_on_both_sides(spark, no_broadcast, monkeypatch):
+    from tillwise.operators import joins
+
+    monkeypatch.setattr(joins, "MOST_REPEATED", 100)
+    left = spark.range(9000).selectExpr("if(id % 3 = 0, -1, id) as k", "id as row")
+    right = spark.range(300).selectExpr("if(id < 60, -1, id) as d", "id as name")
+    hot = joins.find_hot_keys(left, F.xxhash64("k"), 1.0)
+    assert max(hot.values()) >= 8 and joins._affordable(hot, right, F.xxhash64("d")) == {}
+    want = left.join(right, F.col("k") == F.col("d"))
+    assert rows(skew_join(left, right, ("k", "d"))) == rows(want)

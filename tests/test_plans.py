@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as driver
+from tillwise import workload
 from pyspark.sql import functions as F
 from tillwise.operators import dedup, ranking
 
 SF = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
+# The text operators have tests of their own.
+QUERIES = workload.queries()
 
 
 def plan(df):

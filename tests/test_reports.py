@@ -49,3 +49,21 @@ def test_top_customers_by_sales_needs_the_quantity(star):
     assert rows(reports.top_customers_by_sales(sales, orders, customers)) == [(2, "Bo", 400.0, 10)]
     both = reports.top_customers_by_sales(sales, orders, customers, min_quantity=7)
     assert rows(both) == [(1, "Ann", 751.0, 7), (2, "Bo", 400.0, 10)]
+
+
+def test_prices_are_not_rounded_before_they_are_multiplied(spark):
+    sales = spark.createDataFrame([(1, 1, 1, 1000), (2, 1, 2, 1000)], "sales_id INT, order_id INT, product_id INT, quantity INT")
+    products = spark.createDataFrame([(1, "A", 0.125), (2, "B", 0.124)], "product_id INT, product_name STRING, price DOUBLE")
+    assert rows(reports.top_products(sales, products)) == [(1, "A", 125.0), (2, "B", 124.0)]
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        reports.top_products(sales, products, scale=2).collect()
+
+
+def test_small_line_totals_add_up(spark):
+    sales = spark.createDataFrame([(1, 1, 0.004)] * 1000, "order_id INT, quantity INT, price DOUBLE")
+    orders = spark.createDataFrame([(1, 7)], "order_id INT, customer_id INT")
+    customers = spark.createDataFrame([(7, "Gil")], "customer_id INT, customer_name STRING")
+    assert rows(reports.top_customers_by_sales(sales, orders, customers))[0][2] == pytest.approx(4.0)
+    assert rows(reports.top_customers_by_sales(sales, orders, customers, scale=3)) == [(7, "Gil", 4.0, 1000)]
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        reports.top_customers_by_sales(sales, orders, customers, scale=2).collect()

@@ -222,3 +222,49 @@ def test_shared_dir_needs_a_setting_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Unset, "x")
+
+
+def test_output_guard_sees_through_spellings(spark, tmp_path, monkeypatch):
+    """Relative, dotted, blank-holding and aliased paths leave the input alive."""
+    monkeypatch.chdir(tmp_path)
+    folder = tmp_path / "rel" / "x y"
+    spark.range(3).toDF("id").write.parquet(str(folder))
+    df = spark.read.parquet(str(folder))
+    link = tmp_path / "link"
+    link.symlink_to(tmp_path / "rel")
+    for output in ("rel", "rel/../rel", f"{tmp_path}/a/../rel/x y", str(folder).replace(" ", "%20"), f"file://{folder}", str(link), "rel/x y/in"):
+        with pytest.raises(files.UnsafeOutput):
+            files.write_parquet(df, output)
+        assert spark.read.parquet(str(folder)).count() == 3
+    for output, source in (("s3a://b/in/x", "s3://b/in"), ("S3://b/a/../in", "s3n://b/in"), ("s3://b", "s3a://b/in/*.json")):
+        with pytest.raises(files.UnsafeOutput):
+            files.check_output(output, [source])
+    files.write_parquet(df, str(tmp_path / "rel2"))
+    assert files.scan_roots(df.join(spark.range(3), "id")) == [f"file:{folder}"]
+
+
+def test_replace_across_partitioning(spark, tmp_path, name):
+    place = str(tmp_path / "t")
+    schema = "id INT, v STRING, day STRING"
+    old = spark.createDataFrame([(1, "old", "d1"), (2, "old", "d2")], schema)
+    new = spark.createDataFrame([(3, "new", "d3")], schema)
+    tables.load_partitioned(old, name, schema, place, "day", ["id"])
+    assert spark.table(name).count() == 2
+    tables.replace_table(new, name, place)
+    assert rows(spark.table(name)) == [(3, "new", "d3")]
+    tables.load_partitioned(old, name, schema, place, "day", ["id"])
+    tables.truncate_table(new, name, schema, place)
+    assert rows(spark.table(name)) == [(3, "new", "d3")]
+    tables.load_partitioned(old, name, schema, place, "day", ["id"])
+    assert spark.table(name).count() == 2 and spark.table(name).filter("day = 'd2'").count() == 1
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+
+
+def test_old_folders_go_by_request(spark, tmp_path, name):
+    place = str(tmp_path / "t")
+    for i in range(4):
+        tables.truncate_table(spark.createDataFrame([(i, "x")], PLACE), name, PLACE, place)
+    (tmp_path / "t-other").mkdir()
+    assert len(list(tmp_path.iterdir())) == 5
+    assert len(tables.remove_old_folders(spark, name, place, keep=1)) == 2
+    assert rows(spark.table(name)) == [(3, "x")] and len(list(tmp_path.iterdir())) == 3

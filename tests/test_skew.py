@@ -5,11 +5,13 @@ Broadcasts are off and the whole key column is sampled, so that joins take their
 import pytest
 
 import __spark_entry__ as driver
+from tillwise import workload
 from compare import TABLES, connect, differences
 from tillwise.operators import joins
 
 SF = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
+# The text operators have tests of their own.
+QUERIES = workload.queries()
 
 # One in three rows gets the hot key; events and documents also hold copies of one row.
 SKEWED = {

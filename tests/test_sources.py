@@ -59,7 +59,7 @@ def test_csv_renamed_by_position(spark, tmp_path):
 def test_csv_doubled_quotes_and_blanks(spark, tmp_path):
     path = write(tmp_path / "q.csv", 'h1,h2,h3\n1,"say ""hi"", Bo",\n2,b,x\\"y\n')
     df = files.read_csv(spark, path, "a STRING, b STRING, c STRING")
-    assert [tuple(r) for r in df.orderBy("a").collect()] == [("1", 'say "hi", Bo', None), ("2", "b", 'x\\"y')]
+    assert [tuple(r) for r in df.orderBy("a").collect()] == [("1", 'say "hi", Bo', ""), ("2", "b", 'x\\"y')]
 
 
 def test_csv_typed_fails_on_bad_row(spark, tmp_path):
@@ -104,13 +104,40 @@ def test_flat_array_splits_one_file_over_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-def test_flat_array_keeps_what_it_cannot_read(spark, tmp_path):
-    records = [sale(1), sale(2, store_id="a}b"), sale(3)]
-    path = write(tmp_path / "brace.json", json.dumps(records))
-    df = read_transactions(spark, path, "flat_array").cache()
-    assert rows(df.filter(~files.is_corrupt()).select("transaction_id")) == [("T1",), ("T3",)]
-    assert not df.filter(files.is_corrupt()).isEmpty()
-    assert read_transactions(spark, path, "array").filter("store_id = 'a}b'").count() == 1
+def test_array_reader_is_complete(spark, tmp_path):
+    """Braces in strings, nested and extra fields, nulls, junk and wrong types, in one of two files."""
+    folder = tmp_path / "two files %20"
+    folder.mkdir()
+    odd = [sale(1), sale(2, store_id="a}b"), sale(3, device={"os": "x", "n": [{"a": 1}]}), None, 5, sale(4, store_id='q"},{"x'), sale(5, price="no")]
+    write(folder / "odd.json", json.dumps(odd) + "\n")
+    write(folder / "flat.json", json.dumps([sale(6), None, sale(7)], indent=2))
+    df = read_transactions(spark, str(folder), "flat_array")
+    good = df.filter(~files.is_corrupt())
+    assert rows(good.select("transaction_id")) == [("T1",), ("T2",), ("T3",), ("T4",), ("T6",), ("T7",)]
+    assert rows(good.select("store_id").distinct()) == [("S1",), ("a}b",), ('q"},{"x',)]
+    bad = sorted(r["_corrupt_record"] for r in df.filter(files.is_corrupt()).collect())
+    assert bad[0] == "5" and '"no"' in bad[1] and len(bad) == 2
+
+
+def test_array_reader_recovers_behind_junk(spark, tmp_path):
+    path = write(tmp_path / "junk.json", '[5, ' + json.dumps(sale(1)) + ', oops, ' + json.dumps(sale(2)) + ',{"cut": ')
+    df = read_transactions(spark, path, "flat_array")
+    assert rows(df.filter(~files.is_corrupt()).select("transaction_id")) == [("T1",), ("T2",)]
+    assert df.filter(files.is_corrupt()).count() == 3
+
+
+def test_array_reader_keeps_partition_columns(spark, tmp_path):
+    for part in "ab":
+        (tmp_path / f"p={part}").mkdir()
+        write(tmp_path / f"p={part}" / "x.json", json.dumps([sale(1, store_id="}" if part == "a" else "s")]))
+    df = files.read_json_array(spark, str(tmp_path), schemas.TRANSACTIONS)
+    assert rows(df.select("p", "store_id")) == [("a", "}"), ("b", "s")]
+
+
+def test_parse_json_lines_takes_texts_only(spark):
+    lines = spark.createDataFrame([('{"a": "1"}',)], "value STRING")
+    with pytest.raises(ValueError, match="STRING fields only"):
+        files.parse_json_lines(lines, "a INT")
 
 
 @pytest.mark.parametrize("layout", ["array", "flat_array"])
@@ -124,11 +151,11 @@ def test_inferred_json(spark, tmp_path):
     assert types["quantity"] == "bigint" and types["price"] == "double"
 
 
-def test_json_arrays_written_per_chunk(spark, tmp_path):
+def test_json_arrays_are_one_file_per_task(spark, tmp_path):
     df = spark.range(0, 1000, 1, 2).select("id", F.lit("x").alias("v"))
     folder = str(tmp_path / "arrays")
-    write_json_arrays(df, folder, 8)
-    assert len(list((tmp_path / "arrays").glob("chunk=*/*.txt"))) == 4
+    write_json_arrays(df, folder)
+    assert len(list((tmp_path / "arrays").glob("*.txt"))) == 2
     back = files.read_json(spark, folder, "id BIGINT, v STRING", multi_line=True)
     assert back.agg(F.sum("id"), F.count_if(files.is_corrupt())).first()[:] == (499500, 0)
 

@@ -62,15 +62,12 @@ def warehouse_datetime(c: str | Column) -> Column:
 
 def mixed_datetime(c: str | Column) -> Column:
     """Datetime of a column that mixes ISO texts with `dd-MM-yyyy HH:mm`; null if neither fits."""
-    c = _col(c)
-    swapped = F.when(
-        c.rlike(DAY_FIRST_LAYOUT),
-        F.regexp_replace(c, DAY_FIRST_LAYOUT, "$3-$2-$1 $4").try_cast("timestamp_ntz"),
-    )
-    return F.coalesce(swapped, c.try_cast("timestamp_ntz"))
+    return F.regexp_replace(_col(c), DAY_FIRST_LAYOUT, "$3-$2-$1 $4").try_cast("timestamp_ntz")
 
 
 def short_year_date(c: str | Column) -> Column:
     """Date of a `d-MMM-yy` text with two-digit years 69-99 in the 1900s; null if unreadable."""
-    parsed = F.try_to_date(_col(c), "d-MMM-yy")
-    return F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200)).otherwise(parsed)
+    c = _col(c)
+    year = F.right(c, F.lit(2))
+    century = F.when(year >= "69", "19").otherwise("20")
+    return F.try_to_date(F.concat(F.left(c, F.length(c) - 2), century, year), "d-MMM-yyyy")

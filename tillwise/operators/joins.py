@@ -2,7 +2,8 @@
 
 A row-level join of a large table hashes all rows of one key to one task. `skew_join` looks for keys
 with a large share in a sample of the left side, spreads only those over several tasks, and repeats
-only their right-hand rows. The sample chooses the plan, never the result.
+only their right-hand rows. The sample chooses the plan, never the result; its size does not depend on
+the table, and its answer is kept for the same table and key.
 """
 
 from __future__ import annotations
@@ -12,8 +13,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SAMPLE = 0.001
+# The sample has a few hundred keys per shuffle partition, however large the table is.
+SAMPLE_PER_PARTITION = 400
 MIN_HITS = 10
+# Rows of a left side that need no spreading.
+SMALL_LEFT = 1_000_000
+# Right-hand rows of one hot key that may be repeated; beyond it the key is split into fewer pieces.
+MOST_REPEATED = 100_000
 # Pieces per average partition: several small pieces spread more evenly than one large piece.
 PIECES = 4
 INTEGERS = {"tinyint", "smallint", "int", "bigint"}
@@ -33,7 +39,7 @@ def skew_join(
     keys_from: DataFrame | None = None,
     hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
-    """Inner or left join of a large `left` to a `right` with few rows per key.
+    """Inner or left join of a large `left` to a `right`.
 
     `on` holds column names, or `(left, right)` pairs of differently named columns; a shared name
     comes out once. `spread` names left columns that tell the rows of one key apart (default: all
@@ -42,8 +48,9 @@ def skew_join(
     after a lost executor, as a random number or a row position could. `keys_from` is a frame to sample
     instead of `left`: the table that brings the key, if `left` is itself a join. `hot` gives known hot
     keys, as `find_hot_keys` returns them.
-    If either side is below Spark's broadcast threshold there is nothing to spread: a small right side
-    needs no shuffle, and a small left side has no task worth splitting.
+    If the right side is below Spark's broadcast threshold there is nothing to spread, as it needs no
+    shuffle; nor if the left side has so few rows that one task can have them all. A key that is hot on the right as well is split into so few pieces that at most
+    MOST_REPEATED right-hand rows are repeated; what is left is up to Spark's own skew splitting.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
@@ -65,8 +72,8 @@ def skew_join(
     lhash, rhash = _key_hashes(left, right, lkeys, rkeys)
     if hot is None:
         keyed = left if keys_from is None else keys_from
-        small = fits_broadcast(right) or fits_broadcast(keyed)
-        hot = {} if small else find_hot_keys(keyed, lhash)
+        idle = fits_broadcast(right) or few_rows(keyed)
+        hot = {} if idle else _affordable(find_hot_keys(keyed, lhash), right, rhash)
     if not hot:
         joined = left.join(right, matches(), how)
     else:
@@ -97,26 +104,60 @@ def merge_join(
     return skew_join(left.drop(*beaten), right, on, **options).select(*columns)
 
 
-def find_hot_keys(df: DataFrame, key_hash: Column, sample: float = SAMPLE) -> dict[int, int]:
+_FOUND: dict[tuple, dict[int, int]] = {}
+
+
+def find_hot_keys(df: DataFrame, key_hash: Column, sample: float | None = None) -> dict[int, int]:
     """Hashes of keys that alone would make a shuffle partition at least twice the average one, and
     into how many pieces to split each.
 
     With P shuffle partitions a key counts as hot above a share of 1/P, so there are at most P. Null is
-    a key like any other. Only the key column is read and only the sample is counted."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = (
-        df.select(key_hash.alias("h"))
-        .sample(sample, seed=11)
-        .rollup("h")
-        .agg(F.grouping_id().alias("g"), F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("g"), F.desc("n"), "h")
-        .limit(parts + 1)
-        .collect()
-    )
-    total = next((row.n for row in top if row.g), 0)
-    hits = [row for row in top if not row.g and row.n >= MIN_HITS and row.n * parts > total]
-    # Powers of two, so that there are few different numbers of pieces.
-    return {row.h: 1 << (PIECES * row.n * parts // total).bit_length() for row in hits}
+    a key like any other. Only the key column is read; the sample holds about SAMPLE_PER_PARTITION x P
+    rows by Spark's own estimate of the table (or the share `sample`). The answer is kept per plan and
+    key, so a table is looked at once in a session."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(key_hash.alias("h"))
+    share = min(1.0, SAMPLE_PER_PARTITION * parts / max(estimated_rows(df), 1)) if sample is None else sample
+    known = (spark.sparkContext.applicationId, keys.semanticHash(), parts, round(share, 12))
+    if known not in _FOUND:
+        top = (
+            keys.sample(share, seed=11)
+            .rollup("h")
+            .agg(F.grouping_id().alias("g"), F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("g"), F.desc("n"), "h")
+            .limit(parts + 1)
+            .collect()
+        )
+        total = next((row.n for row in top if row.g), 0)
+        hits = [row for row in top if not row.g and row.n >= MIN_HITS and row.n * parts > total]
+        # Powers of two, so that there are few different numbers of pieces.
+        _FOUND[known] = {row.h: 1 << (PIECES * row.n * parts // total).bit_length() for row in hits}
+    return dict(_FOUND[known])
+
+
+def estimated_rows(df: DataFrame) -> int:
+    """Rows by Spark's size estimate and the width of the columns; for scans the estimate comes from
+    file sizes, so it costs no job. Compressed files hold more rows than that, and the sample is then
+    larger, never smaller."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    width = sum(_WIDTHS.get(t, 16) for _, t in df.dtypes) + 8
+    return int(str(plan.stats().sizeInBytes())) // width
+
+
+# Spark's default sizes of the fixed-width types.
+_WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4, "string": 20}
+_WIDTHS |= {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def _affordable(hot: dict[int, int], right: DataFrame, right_hash: Column) -> dict[int, int]:
+    """Fewer pieces for keys of which the right side has many rows."""
+    if not hot:
+        return hot
+    hashed = right.select(right_hash.alias("h"))
+    held = {r.h: r["count"] for r in hashed.where(F.col("h").isin(list(hot))).groupBy("h").count().collect()}
+    cut = {h: min(ways, max(1, MOST_REPEATED // max(held.get(h, 0), 1))) for h, ways in hot.items()}
+    return {h: 1 << (ways.bit_length() - 1) for h, ways in cut.items() if ways > 1}
 
 
 def _ways(key_hash: Column, hot: Mapping[int, int]) -> Column:
@@ -134,6 +175,12 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= size <= limit
 
 
+def few_rows(df: DataFrame) -> bool:
+    """Whether a table that is small by Spark's estimate really has few rows: files of one repeated key
+    compress to almost nothing. Counts SMALL_LEFT rows at most, and only then."""
+    return fits_broadcast(df) and df.limit(SMALL_LEFT + 1).count() <= SMALL_LEFT
+
+
 def _broadcast_limit(spark: SparkSession) -> int:
     return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 

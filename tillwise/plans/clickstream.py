@@ -12,9 +12,10 @@ from tillwise.operators.aggregates import count_by
 from tillwise.operators.cleaning import differs, equals, usable_events
 from tillwise.operators.quality import check_truthy, day_count
 from tillwise.session import shared_dir
+from tillwise.sinks.files import check_output, write_parquet
 from tillwise.sinks.tables import append_table, truncate_table
 from tillwise.sources import clicks
-from tillwise.sources.files import read_json_array, read_text
+from tillwise.sources.files import CORRUPT, read_json_array, read_text
 from tillwise.sources.schemas import (
     ABANDONED,
     ABANDONED_REQUIRED,
@@ -33,10 +34,10 @@ KEYS = ("event_date", "product_id")
 
 def read_events(spark: SparkSession, path: str, layout: str = "array") -> tuple[DataFrame, DataFrame]:
     """Dated events, and the rejected records with their reason. A bad record is skipped by itself;
-    the rest of its file is kept."""
-    if layout == "array":
-        raw = read_json_array(spark, path, CLICK_EVENTS)
-        events = clicks.label_rejects(raw)
+    the rest of its file is kept. `array`: array files of any objects, large ones split; `multi_line`:
+    the same, one task per file; `lines`: one object per line."""
+    if layout in ("array", "multi_line"):
+        events = clicks.label_rejects(read_json_array(spark, path, CLICK_EVENTS, split=layout == "array"))
     elif layout == "lines":
         events = clicks.parse_tolerant(read_text(spark, path))
     else:
@@ -44,6 +45,30 @@ def read_events(spark: SparkSession, path: str, layout: str = "array") -> tuple[
     return clicks.accepted(events), clicks.rejected(events)
 
 
+def load_counts(
+    spark: SparkSession,
+    source: str,
+    purchases: str,
+    others: str,
+    location: str,
+    rejects: str,
+    layout: str = "array",
+) -> dict[str, int]:
+    """The whole job: read, write the rejected records to a folder, truncate and load both tables.
+
+    Returns the number of accepted records and of rejected ones by reason."""
+    events, bad = read_events(spark, source, layout)
+    check_output(rejects, [source])
+    stage = shared_dir(spark, "click-records")
+    both = events.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
+    both.write.partitionBy("reject_reason").parquet(stage)
+    records = spark.read.parquet(stage)
+    write_parquet(records.filter("reject_reason is not null"), rejects, inputs=[source])
+    good = records.filter("reject_reason is null").drop("reject_reason", CORRUPT)
+    write_counts(good, purchases, others, location)
+    return {r.reason: r.n for r in records.groupBy(F.coalesce("reject_reason", F.lit("accepted")).alias("reason")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def with_event_date(events: DataFrame) -> DataFrame:
     """Drop events without a timestamp and add their date; the date stays a DATE so that grouping
     works on a number, `as_text` writes it out afterwards."""

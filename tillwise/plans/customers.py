@@ -17,14 +17,15 @@ STAMPS = ("start", "end", "create", "last_update")
 def typed_customers(raw: DataFrame, as_date: bool = True) -> DataFrame:
     """Type the four timestamp texts twice: `*_ts` as DATE (or datetime), `*_timestamp` as datetime.
 
-    One select, because `*_ts` is both a source and an output name and every output reads the
-    source. A text in another layout fails the job."""
-    parsed = {s: warehouse_datetime(f"{s}_ts") for s in STAMPS}
+    Each text is parsed once, in a stage below the select, under a name of its own, because `*_ts` is
+    both a source and an output name. A text in another layout fails the job."""
+    staged = raw.select("*", F.explode(F.array(F.struct(*[warehouse_datetime(f"{s}_ts").alias(s) for s in STAMPS]))).alias("_parsed"))
+    parsed = {s: F.col("_parsed")[s] for s in STAMPS}
 
     def day(stamp: str):
         return (parsed[stamp].cast("date") if as_date else parsed[stamp]).alias(f"{stamp}_ts")
 
-    return raw.select(
+    return staged.select(
         "customer_nbr",
         "customer_desc",
         day("start"),

@@ -30,7 +30,7 @@ def read_transactions(
     spark: SparkSession, path: str, layout: str = "lines", schema: str | None = TRANSACTIONS
 ) -> DataFrame:
     """`lines`: one object per line; `array`: one array per file; `flat_array`: the same for large
-    files of flat records, split over many tasks. `schema=None` infers."""
+    files, split over many tasks. `schema=None` infers."""
     if layout == "flat_array":
         return read_json_array(spark, path, schema or TRANSACTIONS)
     if layout not in ("lines", "array"):

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import posixpath
 import re
 from collections.abc import Iterable
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+# Schemes that name the same store.
+SAME_STORE = {"s3a": "s3", "s3n": "s3", "gcs": "gs", "abfss": "abfs", "wasbs": "wasb"}
 
 
 class UnsafeOutput(Exception):
@@ -15,12 +21,15 @@ class UnsafeOutput(Exception):
 def check_output(output: str, inputs: Iterable[str]) -> None:
     """Refuse an output folder that equals, contains or lies inside an input path.
 
-    Overwriting a folder deletes it first, so such a job would lose its own input."""
-    out = _normal(output)
+    Overwriting a folder deletes it first, so such a job would lose its own input. Paths are compared
+    as the file system sees them: relative ones from the working folder, without `..`, with blanks
+    written either way, and with one name for each store."""
+    outs = _spellings(output)
     for path in inputs:
-        source = _normal(re.split(r"[*?{\[]", path, maxsplit=1)[0])
-        if out == source or source.startswith(out + "/") or out.startswith(source + "/"):
-            raise UnsafeOutput(f"output {output} overlaps input {path}")
+        for source in _spellings(re.split(r"[*?{\[]", path, maxsplit=1)[0]):
+            for out in outs:
+                if out == source or source.startswith(out.rstrip("/") + "/") or out.startswith(source.rstrip("/") + "/"):
+                    raise UnsafeOutput(f"output {output} overlaps input {path}")
 
 
 def write_parquet(
@@ -30,14 +39,41 @@ def write_parquet(
     inputs: Iterable[str] | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Write a folder after checking it against `inputs` (default: the files the plan reads)."""
-    check_output(path, df.inputFiles() if inputs is None else inputs)
+    """Write a folder after checking it against `inputs` (default: the folders the plan reads)."""
+    check_output(path, scan_roots(df) if inputs is None else inputs)
     df.write.mode(mode).parquet(path)
 
 
+def scan_roots(df: DataFrame) -> list[str]:
+    """Root paths of the file scans of a plan: what the readers were given, not every file below."""
+    roots: list[str] = []
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith(("LocalRelation", "LogicalRDD", "Range", "OneRowRelation", "ExternalRDD")):
+            continue
+        try:
+            paths = leaf.relation().location().rootPaths()
+        except Exception:  # another kind of scan: ask for its files
+            return df.inputFiles()
+        roots += [paths.apply(k).toString() for k in range(paths.size())]
+    return roots
+
+
+def _spellings(path: str) -> set[str]:
+    return {_normal(path), _normal(unquote(path))}
+
+
 def _normal(path: str) -> str:
     path = re.sub(r"^file:/*", "/", path)
     head, sep, tail = path.partition("://")
-    tail = tail if sep else head
-    cleaned = re.sub(r"/+", "/", tail).rstrip("/")
-    return f"{head}://{cleaned}" if sep else cleaned
+    if sep:
+        return f"{SAME_STORE.get(head.lower(), head.lower())}://{posixpath.normpath(tail) if tail else ''}"
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        default = spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration()).toString()
+        if not default.startswith("file:"):  # a path without a scheme lies in the cluster's own store
+            home = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration())
+            whole = path if path.startswith("/") else f"{home.getWorkingDirectory().toUri().getPath()}/{path}"
+            return _normal(default.rstrip("/") + posixpath.normpath(whole))
+    return os.path.realpath(path)

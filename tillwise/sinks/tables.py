@@ -3,11 +3,12 @@
 Tables take an explicit location so that they work in any warehouse. Truncating and replacing write
 a fresh folder next to that location and then point the name at it: a job that fails leaves the old
 rows in place (overwriting a folder would delete them first), the query may read the table it
-replaces, and open readers keep their files. Old folders are left for their owner to delete. A null
+replaces, and open readers keep their files. `remove_old_folders` deletes what earlier loads left. A null
 in a required column fails the write itself (Spark's Parquet tables accept nulls in NOT NULL columns)."""
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -90,6 +91,24 @@ def load_partitioned(
     _point(df.sparkSession, name, schema, folder, partition_by)
 
 
+def remove_old_folders(spark: SparkSession, name: str, location: str, keep: int) -> list[str]:
+    """Delete the folders that earlier loads of a table left beside its location, except the one the
+    table shows and the newest `keep` others. Returns the deleted ones. Call it when no reader of an
+    older version is left."""
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(location.rstrip("/"))
+    store = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    current = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()
+    shown = jvm.org.apache.hadoop.fs.Path(current.data_type) if current else None
+    pattern = jvm.org.apache.hadoop.fs.Path(base.getParent(), re.sub(r"([*?{}\\[\]])", r"\\\1", base.getName()) + "-*")
+    found = [s for s in store.globStatus(pattern) or [] if re.fullmatch(r"-[0-9a-f]{32}", s.getPath().getName()[len(base.getName()) :])]
+    old = [s for s in found if shown is None or s.getPath().toUri().getPath() != shown.toUri().getPath()]
+    old.sort(key=lambda s: s.getModificationTime(), reverse=True)
+    for status in old[keep:]:
+        store.delete(status.getPath(), True)
+    return [s.getPath().toString() for s in old[keep:]]
+
+
 def _fresh_folder(location: str) -> str:
     return f"{location.rstrip('/')}-{uuid.uuid4().hex}"
 
@@ -97,17 +116,22 @@ def _fresh_folder(location: str) -> str:
 def _point(
     spark: SparkSession, name: str, schema: str, folder: str, partition_by: str | None = None
 ) -> None:
-    """Let a table name show a folder. In one step if only the folder changes; otherwise the name is
-    dropped and created, and is missing for that moment."""
+    """Let a table name show a folder. In one step if the table is plain before and after and keeps its
+    columns. Otherwise a table with a name of its own is made ready first, partitions included, and
+    then takes the name; the name never shows an empty table, and is missing only between a drop and
+    a rename."""
     if partition_by is None and spark.catalog.tableExists(name):
         want = [(f.name, f.dataType.simpleString()) for f in T.StructType.fromDDL(schema)]
-        if spark.table(name).dtypes == want:
+        have = spark.catalog.listColumns(name)
+        if spark.table(name).dtypes == want and not any(c.isPartition for c in have):
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(folder)}'")
             return
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    create_table(spark, name, schema, folder, partition_by)
+    ready = f"{name.removesuffix('`')}_{uuid.uuid4().hex[:12]}{'`' * name.endswith('`')}"
+    create_table(spark, ready, schema, folder, partition_by)
     if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"MSCK REPAIR TABLE {ready}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {ready} RENAME TO {name}")
 
 
 def _quoted(path: str) -> str:

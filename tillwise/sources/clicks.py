@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import click_day, click_day_strict
-from tillwise.sources.files import CORRUPT, is_corrupt, parse_json_lines
+from tillwise.sources.files import CORRUPT, is_corrupt, once, parse_json_lines
 from tillwise.sources.schemas import CLICK_EVENTS
 
 
@@ -17,7 +17,7 @@ def parse_tolerant(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def label_rejects(events: DataFrame) -> DataFrame:
     """Date the events; a record that is malformed or has no valid timestamp gets a reason."""
-    dated = events.withColumn("event_date", click_day("timestamp"))
+    dated = events.withColumn("event_date", once(click_day("timestamp")))
     reason = (
         F.when(is_corrupt(), F.lit("malformed json"))
         .when(F.coalesce("timestamp", F.lit("")) == "", F.lit("no timestamp"))

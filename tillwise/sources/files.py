@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+import re
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +30,8 @@ def read_csv(
 
     With a schema the header names are ignored, so a file whose header differs is renamed to the
     declared columns, and a row that does not fit fails the job (`mode="PERMISSIVE"` for nulls
-    instead). In such files a quote inside a quoted field is doubled, as warehouses load them; inferred
+    instead). If all columns are STRING, as in a raw load, an empty field is the empty text; with typed
+    columns it is null. In such files a quote inside a quoted field is doubled, as warehouses load them; inferred
     files keep Spark's backslash. Quoted line breaks need `multi_line`; such a file is read by one task, so keep those
     files small and many.
     """
@@ -32,7 +39,9 @@ def read_csv(
     if schema is None:
         return reader.option("inferSchema", True).option("mode", mode or "PERMISSIVE").csv(path)
     declared = reader.schema(schema).option("enforceSchema", True).option("escape", '"')
-    return declared.option("mode", mode or "FAILFAST").csv(path)
+    rows = declared.option("mode", mode or "FAILFAST").csv(path)
+    raw = all(isinstance(field.dataType, T.StringType) for field in T.StructType.fromDDL(schema))
+    return rows.na.fill("") if raw else rows
 
 
 def read_json(
@@ -56,18 +65,77 @@ def read_json(
     return reader.schema(declared).option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
-def read_json_array(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Array files of **flat** objects, split over many tasks whatever their size.
-
-    The text source splits large files at the closing brace, so every piece is one record; null
-    elements are skipped. A record with a brace inside a string does not survive that; its pieces
-    arrive in `_corrupt_record` rather than being dropped, and `read_json(multi_line=True)` reads
-    such a file.
+def read_json_array(
+    spark: SparkSession, path: str | list[str], schema: str, *, split: bool = True
+) -> DataFrame:
+    """Array files of objects, split over many tasks whatever their size.
+
+    The text source splits files at the closing brace, so in a file of flat objects every piece is one
+    record. Null elements are skipped. A brace inside a string, a nested object or an element that is
+    no object leaves at least one piece that is no record: the files with such a piece, and only
+    those, are read again whole, one task each, element by element (such a file must fit into one
+    text). So this reader parses its input once before it returns. An element that is no object or
+    does not fit the schema arrives in `_corrupt_record` and takes no other with it. Without `split` all
+    files are read whole.
     """
+    if not split:
+        return _whole_arrays(spark.read, path, schema)
     pieces = spark.read.option("lineSep", "}").text(path)
+    kept = [c for c in pieces.columns if c != "value"]  # partition columns of the path
     body = F.regexp_replace("value", r"^(?:[\s,\[\]]|null)+", "")
     record = F.when(body.startswith("{"), F.concat(body, F.lit("}"))).otherwise(body)
-    return parse_json(pieces.select(record.alias("value")).filter(F.col("value") != ""), schema)
+    found = pieces.select(*kept, record.alias("value"), F.col("_metadata.file_path").alias("_file")).filter(
+        F.col("value") != ""
+    )
+    parsed = parse_json(found, schema)
+    # The hash makes the parser judge all fields. Spark's own list of the input files is on the driver
+    # as well; this is a part of it.
+    bad = parsed.filter(is_corrupt() & F.hash(*parsed.columns).isNotNull())
+    broken = [r[0] for r in bad.select("_file").distinct().collect()]
+    if not broken:
+        return parsed.drop("_file")
+    reader = spark.read
+    if kept:
+        reader = reader.option("basePath", _base([path] if isinstance(path, str) else path))
+    names = spark.createDataFrame([(b,) for b in broken], "_file string")
+    return parsed.join(names, "_file", "left_anti").drop("_file").unionByName(
+        _whole_arrays(reader, [unquote(b) for b in broken], schema)
+    )
+
+
+def _whole_arrays(reader: DataFrameReader, path: str | list[str], schema: str) -> DataFrame:
+    """Array files, one task each, element by element."""
+    whole = reader.option("wholetext", True).text(path)
+    kept = [c for c in whole.columns if c != "value"]
+    fields = [*[whole.schema[c] for c in kept], T.StructField("value", T.StringType())]
+    return parse_json(whole.select(*kept, "value").mapInArrow(_array_elements, T.StructType(fields)), schema)
+
+
+def _base(roots: list[str]) -> str:
+    """Folder below which partition columns are read from the path."""
+    return roots[0].split("*", 1)[0] if len(roots) == 1 else roots[0].rstrip("/").rsplit("/", 1)[0]
+
+
+def _array_elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per element of each text, which is an array; nulls are left out. What cannot be read as
+    an element comes out up to the next comma."""
+    decoder, blank = json.JSONDecoder(strict=False), re.compile(r"[\s,\[]*")
+    for batch in batches:
+        for row in range(batch.num_rows):
+            text = batch.column(batch.num_columns - 1)[row].as_py().strip()
+            text = text.removeprefix("\ufeff").removesuffix("]")
+            at, found = blank.match(text).end(), []
+            while at < len(text):
+                try:
+                    value, end = decoder.raw_decode(text, at)
+                except ValueError:
+                    value, end = "", text.find(",", at)
+                    end = len(text) if end < 0 else end
+                if value is not None:
+                    found.append(text[at:end])
+                at = blank.match(text, end).end() if end > at else end + 1
+            others = [pa.array(batch.column(c)[row : row + 1].to_pylist() * len(found), batch.column(c).type) for c in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*others, pa.array(found, pa.string())], names=batch.schema.names)
 
 
 def parse_json(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
@@ -76,7 +144,7 @@ def parse_json(lines: DataFrame, schema: str, column: str = "value") -> DataFram
     options = {**STRICT_JSON, "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(column, with_corrupt(schema), options)
     others = [c for c in lines.columns if c != column]
-    return lines.select(*others, _once(parsed).alias("_parsed")).select(*others, "_parsed.*")
+    return lines.select(*others, once(parsed).alias("_parsed")).select(*others, "_parsed.*")
 
 
 def parse_json_lines(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
@@ -86,6 +154,8 @@ def parse_json_lines(lines: DataFrame, schema: str, column: str = "value") -> Da
     second. Each line is parsed as an array with an end mark behind it: whatever else is on the line
     breaks the array or moves the mark."""
     fields = T.StructType.fromDDL(schema)
+    if not all(isinstance(field.dataType, T.StringType) for field in fields):
+        raise ValueError("parse_json_lines takes STRING fields only; cast afterwards")
     marked = F.concat(F.lit("["), F.col(column), F.lit(',{"_end": ""}]'))
     parsed = F.from_json(marked, T.ArrayType(T.StructType([*fields, T.StructField("_end", T.StringType())])), STRICT_JSON)
     others = [c for c in lines.columns if c != column]
@@ -93,7 +163,7 @@ def parse_json_lines(lines: DataFrame, schema: str, column: str = "value") -> Da
     first, second = F.try_element_at("_parsed", F.lit(1)), F.try_element_at("_parsed", F.lit(2))
     whole = (F.size("_parsed") == 2) & first["_end"].isNull() & (second["_end"] == "")
     record = F.when(whole, first)
-    judged = staged.select(*others, "_text", _once(record).alias("_record"))
+    judged = staged.select(*others, "_text", once(record).alias("_record"))
     return judged.select(
         *others,
         *[F.col("_record")[f.name].alias(f.name) for f in fields],
@@ -101,7 +171,7 @@ def parse_json_lines(lines: DataFrame, schema: str, column: str = "value") -> Da
     )
 
 
-def _once(expensive: Column) -> Column:
+def once(expensive: Column) -> Column:
     """A value that filters on it do not compute again: Spark copies the expressions of a projection
     into a filter above it, but not those of a generator."""
     return F.explode(F.array(expensive))

@@ -1,7 +1,9 @@
 """The daily clickstream append as an incremental job: each run takes the files that are new.
 
-The checkpoint folder remembers which files were read, so a run that dies is finished by the next
-one without counting a file twice.
+The checkpoint folder remembers which files were read. Every batch of new files adds its own counts and
+its own rejected records, in folders named by the batch, so that a batch that runs again replaces
+what it wrote before. Reading sums the batches: an event counts whenever its file arrives, late or
+not, and days never have to be closed. Days are read from the text, so the session zone plays no part.
 """
 
 from __future__ import annotations
@@ -10,44 +12,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillwise.functions.dates import CLICK_LAYOUT, try_datetime
-from tillwise.operators.cleaning import differs, equals
-from tillwise.plans.clickstream import PURCHASE
-from tillwise.sources.schemas import CLICK_EVENTS
+from tillwise.plans.clickstream import KEYS, both_counts
+from tillwise.sources import clicks
 
 
-def stream_events(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON Lines files of a folder as they arrive; events without a valid timestamp are dropped."""
-    raw = spark.readStream.schema(CLICK_EVENTS).json(folder)
-    stamped = raw.withColumn("event_ts", try_datetime("timestamp", CLICK_LAYOUT).cast("timestamp"))
-    return stamped.filter(F.col("event_ts").isNotNull())
+def stream_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON Lines files of a folder as they arrive, one text per line."""
+    return spark.readStream.text(folder)
 
 
-def daily_counts(events: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Both counts per day and product; a day is final once events are `lateness` past its end."""
-    return (
-        events.withWatermark("event_ts", lateness)
-        .groupBy(F.window("event_ts", "1 day").alias("w"), "product_id")
-        .agg(
-            F.count_if(equals("event_type", PURCHASE)).alias("purchase_count"),
-            F.count_if(differs("event_type", PURCHASE)).alias("not_purchased_count"),
-        )
-        .select(
-            F.col("w.start").cast("date").cast("string").alias("event_date"),
-            "product_id",
-            "purchase_count",
-            "not_purchased_count",
-        )
-    )
+def append_new_files(lines: DataFrame, counts: str, rejects: str, checkpoint: str) -> StreamingQuery:
+    """Count everything that is new and stop; rejected records go to their own folder with a reason."""
 
+    def add(batch: DataFrame, number: int) -> None:
+        events = clicks.parse_tolerant(batch)
+        both_counts(clicks.accepted(events)).write.mode("overwrite").parquet(f"{counts}/batch={number}")
+        clicks.rejected(events).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
 
-def append_new_files(counts: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
-    """Process everything that is new, append finished days as Parquet, and stop."""
     return (
-        counts.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", output)
+        lines.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def daily_counts(spark: SparkSession, counts: str) -> DataFrame:
+    """Both counts per day and product over all batches."""
+    return (
+        spark.read.parquet(counts)
+        .groupBy(*KEYS)
+        .agg(F.sum("purchase_count").alias("purchase_count"), F.sum("not_purchased_count").alias("not_purchased_count"))
+    )

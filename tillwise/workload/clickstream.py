@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from tillwise.operators.quality import day_count, misses_required
+from tillwise.operators.quality import CheckFailed, EmptyInput, day_count, misses_required, require_rows
 from tillwise.plans import clickstream
 from tillwise.session import shared_dir
 from tillwise.sources import clicks
@@ -116,6 +116,34 @@ def dq_day_check(spark, sf_dir):
     return day_count(table(spark, sf_dir, "events"), "ts", date(2024, 1, 15))
 
 
+@query("""
+SELECT count(*) AS today, count(*) > 0 AS passed, FALSE AS passed_tomorrow, FALSE AS empty_passed
+FROM events WHERE cast(ts AS date) = (SELECT max(cast(ts AS date)) FROM events)
+""")
+def dq_current_day(spark, sf_dir):
+    """The check of today, of a day without rows, and of an empty input, on events moved so that the
+    last day is today."""
+    events = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("day"))
+    last = F.lit(events.agg(F.max("day")).first()[0])
+    moved = events.select(F.date_add(F.current_date(), F.datediff("day", last)).alias("event_date"))
+    today = day_count(moved, "event_date")
+
+    def passes(check) -> bool:
+        try:
+            check()
+        except (CheckFailed, EmptyInput):
+            return False
+        return True
+
+    tomorrow = date.today() + timedelta(days=2)
+    found = [
+        passes(lambda: clickstream.check_day(moved)),
+        passes(lambda: clickstream.check_day(moved, tomorrow)),
+        passes(lambda: require_rows(events.filter("day < DATE '1000-01-01'"))),
+    ]
+    return today.select(F.col("n").alias("today"), *[F.lit(v).alias(n) for v, n in zip(found, ("passed", "passed_tomorrow", "empty_passed"))])
+
+
 @query("""
 SELECT count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS good,
        count(*) FILTER (WHERE event_type IN ('error', 'signup')) AS rejected

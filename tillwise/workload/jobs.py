@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillwise.plans import clickstream, customers, employees, retail
 from tillwise.session import shared_dir
 from tillwise.sources.files import read_parquet, read_table, read_text
-from tillwise.workload.layouts import write_json_arrays
+from tillwise.workload.layouts import write_element_arrays, write_json_arrays
 from tillwise.workload.registry import fresh_table, query, table
 
 
@@ -138,3 +138,105 @@ def employee_load(spark, sf_dir):
     names = [fresh_table(spark, f"staff_{part}") for part in ("emp", "dep", "out")]
     employees.load_employees(spark, staff, departments, shared_dir(spark, "staff"), *names)
     return read_table(spark, names[2])
+
+
+def _odd_clicks(spark, sf_dir):
+    """Clicks as JSON texts: views bear a brace in a string, purchases a nested field, errors are null
+    elements, sign-ups junk, and clicks of the first weeks have no timestamp."""
+    clicks = _clicks(spark, sf_dir).withColumn("ts", F.to_timestamp_ntz("timestamp"))
+    kind = F.col("event_type")
+    fields = [
+        "event_type", "product_id",
+        F.when(kind == "view", F.concat(F.lit("u}{,"), "user_id")).otherwise(F.col("user_id")).alias("user_id"),
+        F.when((kind == "click") & (F.dayofmonth("ts") <= 15), "").otherwise(F.col("timestamp")).alias("timestamp"),
+        F.when(kind == "purchase", F.struct(F.lit("x").alias("os"), F.array(F.struct("product_id")).alias("seen"))).alias("device"),
+    ]
+    text = F.to_json(F.struct(*fields))
+    return clicks.select(F.when(kind == "error", "null").when(kind == "signup", "17").otherwise(text).alias("value"))
+
+
+_ODD = """
+WITH c AS (SELECT *, event_type = 'click' AND day(ts) <= 15 AS undated FROM events WHERE event_type <> 'error')
+SELECT 'purchases' AS target, strftime(ts, '%Y-%m-%d') AS event_date,
+       json_extract_string(props, '$.k') AS product_id, count(*) AS n
+FROM c WHERE event_type = 'purchase' GROUP BY ALL
+UNION ALL
+SELECT 'others', strftime(ts, '%Y-%m-%d'), json_extract_string(props, '$.k'), count(*)
+FROM c WHERE event_type NOT IN ('purchase', 'signup') AND NOT undated GROUP BY ALL
+UNION ALL
+SELECT CASE WHEN undated THEN 'no timestamp' ELSE 'malformed json' END, NULL, NULL, count(*)
+FROM c WHERE undated OR event_type = 'signup' GROUP BY ALL
+"""
+
+
+@query(_ODD)
+def click_job_with_rejects(spark, sf_dir):
+    """Odd array files -> two truncated tables, a folder of rejects and the counts of each."""
+    source, rejects = shared_dir(spark, "odd-clicks"), shared_dir(spark, "click-rejects")
+    write_element_arrays(_odd_clicks(spark, sf_dir), source)
+    bought, other = fresh_table(spark, "odd_purchases"), fresh_table(spark, "odd_others")
+    clickstream.load_counts(spark, source, bought, other, shared_dir(spark, "odd"), rejects)
+    keys = ("event_date", "product_id")
+    nothing = F.lit(None).cast("string")
+    return (
+        read_table(spark, bought).select(F.lit("purchases").alias("target"), *keys, F.col("purchase_count").alias("n"))
+        .unionByName(read_table(spark, other).select(F.lit("others").alias("target"), *keys, F.col("not_purchased_count").alias("n")))
+        .unionByName(
+            read_parquet(spark, rejects).groupBy(F.col("reject_reason").alias("target")).agg(F.count(F.lit(1)).alias("n"))
+            .select("target", nothing.alias("event_date"), nothing.alias("product_id"), "n")
+        )
+    )
+
+
+def _sales_arrays(spark, sf_dir):
+    """Transactions in array files; errors lose their time, sign-ups their store, large values their price."""
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    kind = F.col("event_type")
+    folder = shared_dir(spark, "sales-arrays")
+    sales = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("transaction_id"),
+        F.when(kind != "signup", F.col("user_id").cast("string")).alias("store_id"),
+        kind.alias("category_id"),
+        F.get_json_object("props", "$.k").cast("int").alias("quantity"),
+        F.when(F.col("value") <= 60, F.col("value")).alias("price"),
+        F.when(kind == "error", "unknown").otherwise(stamp).alias("timestamp"),
+        F.lit("c").alias("customer_id"),
+    )
+    write_json_arrays(sales, folder)
+    return folder
+
+
+_KEPT = "events WHERE event_type <> 'signup' AND value <= 60"
+
+
+@query(f"""
+SELECT cast(user_id AS varchar) AS store_id, event_type AS category_id,
+       CASE WHEN event_type <> 'error' THEN cast(ts AS date) END AS transaction_date,
+       round(sum(cast(json_extract_string(props, '$.k') AS integer) * value), 4) AS total_sales
+FROM {_KEPT} GROUP BY 1, 2, 3
+""")
+def daily_sales_chain(spark, sf_dir):
+    """Array files -> daily sums in a folder -> day-partitioned table and quarantine."""
+    output, aside = shared_dir(spark, "sales-out"), shared_dir(spark, "sales-undated")
+    name = fresh_table(spark, "sales_chain")
+    retail.run_daily_sales(spark, _sales_arrays(spark, sf_dir), output, "flat_array")
+    retail.load_daily_folder(spark, output, name, shared_dir(spark, "sales-table"), aside)
+    columns = ["store_id", "category_id", "transaction_date", F.round("total_sales", 4).alias("total_sales")]
+    return read_table(spark, name).select(*columns).unionByName(read_parquet(spark, aside).select(*columns))
+
+
+@query(f"""
+WITH kept AS (SELECT user_id, event_type, CASE WHEN event_type <> 'error' THEN cast(ts AS date) END AS d FROM {_KEPT})
+SELECT 'read' AS stage, count(*) AS n FROM events UNION ALL SELECT 'corrupt', 0
+UNION ALL SELECT 'kept', count(*) FROM kept UNION ALL SELECT 'undated', count(*) FROM kept WHERE d IS NULL
+UNION ALL SELECT 'groups', count(*) FROM (SELECT DISTINCT * FROM kept)
+UNION ALL SELECT 'empty input: ' || 'no data', 0
+""")
+def daily_sales_report(spark, sf_dir):
+    """The counts that the same job reports, and its report on an input without a row."""
+    report = retail.run_daily_sales(spark, _sales_arrays(spark, sf_dir), shared_dir(spark, "sales-counted"), "flat_array")
+    empty = shared_dir(spark, "sales-none")
+    table(spark, sf_dir, "events").filter("event_id < 0").select(F.lit("").alias("value")).write.text(empty)
+    none = retail.run_daily_sales(spark, empty, shared_dir(spark, "sales-nothing"), "flat_array")
+    rows = [(s, getattr(report, s)) for s in ("read", "corrupt", "kept", "undated", "groups")]
+    return spark.createDataFrame([*rows, (f"empty input: {none.status}", none.read)], "stage string, n long")

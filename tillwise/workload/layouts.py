@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.operators.cleaning import drop_blank_rows
@@ -37,9 +37,24 @@ def csv_typed(spark, sf_dir):
     return read_csv(spark, _customer_csv(spark, sf_dir), schema)
 
 
-@query("SELECT cast(c_custkey AS integer) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+@query("SELECT c_custkey, c_name, cast(c_nationkey AS bigint) AS c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def csv_inferred(spark, sf_dir):
-    return read_csv(spark, _customer_csv(spark, sf_dir))
+    """Whole numbers are inferred as INT or BIGINT, whichever they need."""
+    inferred = read_csv(spark, _customer_csv(spark, sf_dir))
+    return inferred.withColumns({c: F.col(c).cast("bigint") for c in ("c_custkey", "c_nationkey")})
+
+
+@query("""
+SELECT cast(c_custkey AS varchar) AS customer_nbr, CASE WHEN c_nationkey < 12 THEN '' ELSE c_name END AS customer_desc,
+       cast(c_nationkey AS varchar) AS start_ts, '' AS end_ts
+FROM customer
+""")
+def csv_empty_text(spark, sf_dir):
+    """A raw load keeps empty fields as empty texts."""
+    folder = shared_dir(spark, "empty-csv")
+    name = F.when(F.col("c_nationkey") < 12, F.lit("")).otherwise(F.col("c_name"))
+    table(spark, sf_dir, "customer").select("c_custkey", name.alias("a"), "c_nationkey", F.lit(None).cast("string").alias("b")).write.option("header", True).csv(folder)
+    return read_csv(spark, folder, "customer_nbr STRING, customer_desc STRING, start_ts STRING, end_ts STRING")
 
 
 @query("SELECT c_custkey, c_name || chr(10) || c_mktsegment AS address, c_acctbal FROM customer")
@@ -69,19 +84,24 @@ def _order_lines(spark, sf_dir) -> str:
     return folder
 
 
-def write_json_arrays(df: DataFrame, folder: str, row_bits: int = 16) -> None:
-    """Text files that each hold one array, a record per line.
+def write_json_arrays(df: DataFrame, folder: str) -> None:
+    """Text files that each hold one array, a record per line; one file per task."""
+    write_element_arrays(df.select(F.to_json(F.struct(*df.columns)).alias("value")), folder)
+
+
+def write_element_arrays(elements: DataFrame, folder: str) -> None:
+    """As `write_json_arrays`, of elements that are JSON texts already."""
+    elements.select("value").mapInArrow(_bracketed, "value string").write.text(folder)
+
 
-    `df` must be a scan or a projection of one, whose row ids are the same if a task runs again. Files
-    are cut by row position, so their size (2^row_bits records) does not depend on any key."""
-    ids = df.select(F.to_json(F.struct(*df.columns)).alias("r"), F.monotonically_increasing_id().alias("id"))
-    # The low 33 bits of the id count the rows of a task, so a chunk never crosses two tasks.
-    chunked = ids.withColumn("chunk", F.shiftright("id", row_bits))
-    in_file = W.partitionBy("chunk").orderBy("id")
-    opening = F.when(F.row_number().over(in_file) == 1, "[").otherwise(",")
-    closing = F.when(F.lead("id").over(in_file).isNull(), "]").otherwise("")
-    lines = chunked.select(F.concat(opening, "r", closing).alias("value"), "chunk")
-    lines.write.partitionBy("chunk").text(folder)
+def _bracketed(batches):
+    first = True
+    for batch in batches:
+        texts = batch.column(0).to_pylist()
+        if texts:
+            yield pa.RecordBatch.from_arrays([pa.array([("[" if first and not i else ",") + t for i, t in enumerate(texts)])], names=["value"])
+            first = False
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], names=["value"])
 
 
 def _order_arrays(spark, sf_dir) -> str:
@@ -97,12 +117,12 @@ def json_lines(spark, sf_dir):
 
 @query(_ORDERS_SQL)
 def json_multiline(spark, sf_dir):
-    return read_json(spark, _order_arrays(spark, sf_dir), _ORDERS, multi_line=True).drop(CORRUPT, "chunk")
+    return read_json(spark, _order_arrays(spark, sf_dir), _ORDERS, multi_line=True).drop(CORRUPT)
 
 
 @query(_ORDERS_SQL)
 def json_flat_array(spark, sf_dir):
-    return read_json_array(spark, _order_arrays(spark, sf_dir), _ORDERS).drop(CORRUPT, "chunk")
+    return read_json_array(spark, _order_arrays(spark, sf_dir), _ORDERS).drop(CORRUPT)
 
 
 _INFERRED_SQL = """
@@ -119,7 +139,7 @@ def json_inferred(spark, sf_dir):
 
 @query(_INFERRED_SQL)
 def json_multiline_inferred(spark, sf_dir):
-    return read_json(spark, _order_arrays(spark, sf_dir), multi_line=True).drop("chunk")
+    return read_json(spark, _order_arrays(spark, sf_dir), multi_line=True)
 
 
 @query("SELECT p_partkey, p_name, p_brand, p_retailprice FROM part")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillwise.functions.numbers import minor_units
-from tillwise.operators.cleaning import drop_incomplete
 from tillwise.operators.joins import skew_join
 from tillwise.plans import reports, retail
 from tillwise.workload.registry import query, table
@@ -92,14 +91,14 @@ WHERE event_type IS NOT NULL AND value IS NOT NULL
 GROUP BY 1, 2
 """)
 def amount_sales_daily(spark, sf_dir):
+    """Transactions with an amount, through the whole job: complete rows, ISO text to date, sum."""
     rows = table(spark, sf_dir, "events").select(
+        F.lit("all").alias("store_id"),
         F.nullif("event_type", F.lit("error")).alias("category_id"),
-        F.col("ts").cast("date").alias("transaction_date"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
         F.when(F.col("event_type") != "signup", F.col("value")).alias("amount"),
     )
-    return retail.sales_by(
-        drop_incomplete(rows), ("category_id", "transaction_date"), measure="amount", scale=2
-    )
+    return retail.amount_sales(rows, scale=2).drop("store_id")
 
 
 def _sales(spark, sf_dir):
@@ -156,7 +155,19 @@ FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2
 ORDER BY total_sales DESC, product_id LIMIT 5
 """)
 def top5_products(spark, sf_dir):
-    return reports.top_products(_sales(spark, sf_dir), _products(spark, sf_dir))
+    return reports.top_products(_sales(spark, sf_dir), _products(spark, sf_dir), scale=2)
+
+
+@query("""
+SELECT l_partkey AS product_id, p_name AS name,
+       cast(sum(l_quantity) AS double) * (p_retailprice / 8) AS total_sales
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, p_retailprice
+ORDER BY total_sales DESC, product_id LIMIT 5
+""")
+def top5_products_fine_price(spark, sf_dir):
+    """Prices with up to five decimals: nothing is rounded before the product."""
+    products = _products(spark, sf_dir).withColumn("price", F.col("price") / 8)
+    return reports.top_products(_sales(spark, sf_dir), products)
 
 
 @query("""
@@ -183,5 +194,5 @@ def top2_having(spark, sf_dir):
         F.col("l_extendedprice").alias("price"),
     )
     return reports.top_customers_by_sales(
-        sales, _orders(spark, sf_dir), _customers(spark, sf_dir), min_quantity=1500
+        sales, _orders(spark, sf_dir), _customers(spark, sf_dir), min_quantity=1500, scale=2
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwise.plans import clickstream, retail
 from tillwise.session import shared_dir
-from tillwise.sinks.tables import append_table, replace_table, truncate_table
+from tillwise.sinks.tables import append_table, load_partitioned, replace_table, truncate_table
 from tillwise.sources.files import read_table
 from tillwise.workload.registry import fresh_table, query, table
 
@@ -56,6 +56,32 @@ def partitioned_roundtrip(spark, sf_dir):
     return read_table(spark, name).select("store_id", "category_id", "transaction_date", "total_sales")
 
 
+@query("""
+SELECT 'partitioned' AS version, event_id, event_type, cast(ts AS date) AS day FROM events
+UNION ALL SELECT 'plain', event_id, event_type, cast(ts AS date) FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT 'again', event_id, event_type, cast(ts AS date) FROM events WHERE event_type <> 'purchase'
+""")
+def replace_partitioned(spark, sf_dir):
+    """One name: partitioned, then plain, then partitioned again, with other rows each time."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("date").alias("day"))
+    schema = ", ".join(f"{c} {t}" for c, t in events.dtypes)
+    name, place = fresh_table(spark, "reparted"), shared_dir(spark, "reparted")
+    versions = []
+
+    def seen(version: str) -> None:
+        kept = shared_dir(spark, f"reparted-{version}")
+        read_table(spark, name).select(F.lit(version).alias("version"), *events.columns).write.parquet(kept)
+        versions.append(spark.read.parquet(kept))
+
+    load_partitioned(events, name, schema, place, "day", ["event_id"])
+    seen("partitioned")
+    replace_table(events.filter("event_type = 'purchase'"), name, place)
+    seen("plain")
+    load_partitioned(events.filter("event_type <> 'purchase'"), name, schema, place, "day", ["event_id"])
+    seen("again")
+    return versions[0].unionByName(versions[1]).unionByName(versions[2])
+
+
 @query("""
 SELECT strftime(ts, '%Y-%m-%d') AS event_date, json_extract_string(props, '$.k') AS product_id,
        'purchase' AS kind, count(*) AS n
