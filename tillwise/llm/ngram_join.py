@@ -38,6 +38,7 @@ from tillwise.session import shared_dir
 
 GROWTH = 1.25  # of the sizes in a band
 COSTLY = 64  # sets under one signature from which deletion neighbourhoods are cheaper
+PROFILE = 256  # cells of a set's profile
 BITMAP = 24  # log2 of the bits of the id filter: at most 2^18 rows of 64 bits are broadcast
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -156,6 +157,21 @@ def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * common >= num * (len(a) + len(b) - common)
 
 
+def profile(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each of PROFILE cells, 255 at most."""
+    cells = np.bincount((shingles & np.uint64(PROFILE - 1)).astype(np.int64), minlength=PROFILE)
+    return np.minimum(cells, 255).astype(np.uint8).tobytes()
+
+
+def may_be_similar(a: bytes, n_a: int, b: bytes, n_b: int, num: int, den: int) -> bool:
+    """False only if the sizes or the profiles alone show that the sets differ too much: sets with
+    profiles p and q differ in at least sum |p - q| shingles."""
+    if min(n_a, n_b) * den < max(n_a, n_b) * num:
+        return False
+    apart = int(np.abs(np.frombuffer(a, np.uint8).astype(np.int16) - np.frombuffer(b, np.uint8)).sum())
+    return (n_a + n_b + apart) * num <= (n_a + n_b - apart) * den
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     values = np.concatenate(arrays).view(np.int64) if arrays else np.zeros(0, np.int64)
@@ -174,9 +190,10 @@ def _sketched(words: int, bands: Bands):
                         part.column(0),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                        pa.array([profile(s) for s in sets], pa.binary()),
                         _lists([signatures(s, bands) if len(s) else s for s in sets]),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "signatures"],
+                    names=["doc_id", "n_shingles", "digest", "profile", "signatures"],
                 )
 
     return run
@@ -208,17 +225,23 @@ def _reindexed(bands: Bands):
                 part = batch.slice(at, 200)
                 sets = [np.frombuffer(s, np.uint64) for s in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        _lists([deletion_signatures(s, bands) for s in sets]),
-                    ],
-                    names=["node", "n", "signatures"],
+                    [part.column(0), _lists([deletion_signatures(s, bands) for s in sets])],
+                    names=["node", "signatures"],
                 )
 
     return run
 
 
+def _pruned(num: int, den: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("profile_a", "n_a", "profile_b", "n_b")]
+            good = [may_be_similar(*row, num, den) for row in zip(*columns, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
 def _compared(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,12 +254,54 @@ def _compared(num: int, den: int):
     return run
 
 
+def _bit(ids):
+    return F.pmod(F.xxhash64(ids), F.lit(1 << BITMAP))
+
+
+def marked(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """`df` with `hit`: whether its column may be among `ids` (node). Never false for one that is.
+
+    The bitmap of hashed ids has at most 2^18 rows of 64 bits, whatever the number of ids, so it is
+    broadcast; a full one marks everything.
+    """
+    bitmap = (
+        ids.select(_bit("node").alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask"))
+    )
+    return (
+        df.withColumn("bit", _bit(column))
+        .withColumn("word", F.shiftright("bit", 6))
+        .join(F.broadcast(bitmap), "word", "left")
+        .withColumn("hit", F.expr("coalesce(shiftright(mask, cast(bit & 63 as int)) & 1, 0) = 1"))
+        .drop("bit", "word", "mask")
+    )
+
+
+def only_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows whose column is in `ids` (node). The bitmap keeps most other rows out of the shuffle; the
+    semi join decides."""
+    return (
+        marked(df, column, ids)
+        .where("hit")
+        .drop("hit")
+        .join(ids.select(F.col("node").alias(column)).distinct(), column, "left_semi")
+    )
+
+
+def without_ids(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows whose column is not in `ids` (node); rows that the bitmap does not mark are not shuffled."""
+    both = marked(df, column, ids)
+    doubtful = both.where("hit").join(ids.select(F.col("node").alias(column)).distinct(), column, "left_anti")
+    return both.where("not hit").unionByName(doubtful).drop("hit")
+
+
 class _Join:
     """The rounds of one join; every intermediate table is written below the shared folder."""
 
-    def __init__(self, spark, num: int, den: int):
-        self.spark, self.num, self.den, self.tables = spark, num, den, 0
-        self.folder = shared_dir(spark, "ngram")
+    def __init__(self, texts: DataFrame, words: int, num: int, den: int):
+        self.spark, self.texts, self.words, self.num, self.den = texts.sparkSession, texts, words, num, den
+        self.tables, self.folder, self.profiles = 0, shared_dir(self.spark, "ngram"), None
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
         self.tables += 1
@@ -249,21 +314,45 @@ class _Join:
         return components(edges, f"{self.folder}/{self.tables}-components")
 
     def members(self, index: DataFrame) -> DataFrame:
-        """(signature, node, n, hub, held) of the signatures that two nodes or more have."""
+        """(signature, node, hub) of the signatures that two nodes or more have; the hub is the least."""
         shared = (
             index.groupBy("signature")
-            .agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.count(F.lit(1)).alias("held"))
+            .agg(F.min("node").alias("hub"), F.max("node").alias("top"))
             .where("hub < top")
             .drop("top")
         )
         return self.written(index.join(shared, "signature"), "members")
 
-    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def nodes(self, pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        """(node, shingles) of the nodes, from their texts."""
+        return self.written(
+            only_ids(self.texts, "doc_id", nodes)
+            .mapInArrow(_set_rows(self.words), "node long, digest binary, shingles binary")
+            .dropDuplicates(["node", "digest"])
+            .drop("digest"),
+            "sets",
+        )
+
+    def pruned(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose sizes and profiles do not rule them out."""
+        known = self.written(only_ids(self.profiles, "node", self.nodes(pairs)), "profiles")
+        side = lambda c: known.select(
+            F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("profile").alias(f"profile_{c}")
+        )
+        rows = pairs.join(side("a"), "a").join(side("b"), "b")
+        return self.written(rows.mapInArrow(_pruned(self.num, self.den), "a long, b long"), "pruned")
+
+    def verified(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         """Those of the pairs (a, b) that are similar."""
+        pairs = self.pruned(self.written(pairs, "pairs"))
+        sets = self.sets_of(self.nodes(pairs)) if sets is None else sets
         left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
         right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
         rows = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
-        return self.written(rows.mapInArrow(_compared(self.num, self.den), "a long, b long"), "edges")
+        return self.written(rows.mapInArrow(_compared(self.num, self.den), "a long, b long").distinct(), "edges")
 
     def with_hub(self, members: DataFrame) -> DataFrame:
         return members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
@@ -278,44 +367,32 @@ class _Join:
             labelled.groupBy("signature", "component")
             .agg(F.count(F.lit(1)).alias("share"))
             .groupBy("signature")
-            .agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("share", "component")).alias("largest"))
-            .where("parts > 1")
+            .agg(
+                F.count(F.lit(1)).alias("parts"),
+                F.sum("share").alias("held"),
+                F.max_by("component", F.struct("share", "component")).alias("largest"),
+            )
+            .where("parts > 1 and held > 2")  # of two nodes the hub was one
+            .drop("parts")
         )
         return self.written(labelled.join(largest, "signature"), "open")
 
     def crossing(self, open_members: DataFrame) -> DataFrame:
-        """Pairs of one signature, different components and matching sizes; one side is outside the largest."""
-        minor = open_members.where("component <> largest").select(
-            "signature", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("of_x")
+        """Pairs of one signature and different components, one of them outside the largest. Pairs with
+        the hub have been compared before."""
+        rest = open_members.where("node <> hub")
+        minor = rest.where("component <> largest").select(
+            "signature", F.col("node").alias("x"), F.col("component").alias("of_x")
         )
-        other = open_members.select("signature", F.col("node").alias("y"), F.col("n").alias("n_y"), "component")
-        fits = F.least("n_x", "n_y") * self.den >= F.greatest("n_x", "n_y") * self.num
+        other = rest.select("signature", F.col("node").alias("y"), "component")
         return (
             minor.join(other, "signature")
-            .where((F.col("of_x") != F.col("component")) & fits)
+            .where(F.col("of_x") != F.col("component"))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .distinct()
         )
 
 
-def only_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of `docs` whose doc_id is in `ids` (node). A bitmap of hashed ids of at most 2^18 rows is
-    broadcast first, so that few of the other texts are shuffled; the semi join decides."""
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << BITMAP))
-    bitmap = (
-        ids.select(bit("node").alias("bit"))
-        .groupBy(F.shiftright("bit", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask"))
-    )
-    near = docs.withColumn("bit", bit("doc_id")).withColumn("word", F.shiftright("bit", 6))
-    return (
-        near.join(F.broadcast(bitmap), "word")
-        .where(F.expr("shiftright(mask, cast(bit & 63 as int)) & 1 = 1"))
-        .join(ids.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .drop("bit", "word", "mask")
-    )
-
-
 def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of `docs`.
 
@@ -326,49 +403,47 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
     repeat a doc_id; rows with a null doc_id are linked like others but name no component (a
     component of null ids only is null). Extra columns are not looked at. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    bands, join = Bands(num, den), _Join(spark, num, den)
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    bands = Bands(num, den)
+    join = _Join(docs.select("doc_id", F.col("text").cast("binary").alias("text")), words, num, den)
     sketches = join.written(
-        texts.mapInArrow(
-            _sketched(words, bands), "doc_id long, n_shingles long, digest binary, signatures array<long>"
+        join.texts.mapInArrow(
+            _sketched(words, bands),
+            "doc_id long, n_shingles long, digest binary, profile binary, signatures array<long>",
         ),
         "sketches",
     )
-    classes = sketches.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))
-    nodes = classes.where("node is not null").select("node")
-    index = (
-        sketches.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
-        .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("signatures").alias("signature"))
-    )
-    members = join.members(index)
-    sets = join.written(
-        only_ids(texts, members.select("node").distinct())
-        .mapInArrow(_set_rows(words), "node long, digest binary, shingles binary")
-        .dropDuplicates(["node", "digest"])
-        .drop("digest"),
-        "sets",
+    named = sketches.where("n_shingles > 0 and doc_id is not null")
+    classes = named.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    copies = (
+        named.select("doc_id", "digest")
+        .join(classes, "digest")
+        .where("doc_id <> node")
+        .select(F.col("doc_id").alias("node"), F.col("digest").alias("copied"))
     )
-    edges = join.verified(join.with_hub(members), sets)
+    # an id that stands for another text of its own as well is not left out
+    copies = copies.join(classes, "node", "left_anti").select("node").distinct()
+    first = without_ids(named, "doc_id", join.written(copies, "copies")).withColumnRenamed("doc_id", "node")
+    join.profiles = first.select("node", "n_shingles", "profile")
+    members = join.members(first.select("node", F.explode("signatures").alias("signature")))
+    edges = join.verified(join.with_hub(members))
 
     left = join.open_members(members, edges)
-    edges = edges.unionByName(join.verified(join.crossing(left.where(F.col("held") <= COSTLY)), sets))
-    costly = left.where(F.col("held") > COSTLY).select("node").distinct()
+    edges = edges.unionByName(join.verified(join.crossing(left.where(F.col("held") <= COSTLY))))
+    costly = join.written(left.where(F.col("held") > COSTLY).select("node").distinct(), "costly")
     if not costly.isEmpty():
+        sets = join.sets_of(costly)
         again = join.members(
-            sets.join(costly, "node", "left_semi")
-            .select("node", "shingles")
-            .mapInArrow(_reindexed(bands), "node long, n long, signatures array<long>")
-            .select("node", "n", F.explode("signatures").alias("signature"))
+            sets.mapInArrow(_reindexed(bands), "node long, signatures array<long>")
+            .select("node", F.explode("signatures").alias("signature"))
         )
         edges = edges.unionByName(join.verified(join.with_hub(again), sets))
         edges = edges.unionByName(join.verified(join.crossing(join.open_members(again, edges)), sets))
 
     found = join.labels(edges)
-    named = classes.join(found, "node", "left").select(
+    of_class = classes.join(found, "node", "left").select(
         F.col("digest").alias("class_digest"), F.coalesce("component", "node").alias("component")
     )
-    return sketches.join(named, F.col("digest") == F.col("class_digest"), "left").select(
+    return sketches.join(of_class, F.col("digest") == F.col("class_digest"), "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
