@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from itertools import product
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,10 +154,10 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for i, word in enumerate(tokens):
                 if len(word) >= STEMS[0]:
                     around = f"{tokens[i - 1] if i else ''} {tokens[i + 1] if i + 1 < len(tokens) else ''}"
-                    found.add((word, toxic, around))
+                    found.add((word, toxic, xxhash.xxh3_64_intdigest(around) >> 1))
         rows = list(found)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.string()))],
+            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))],
             names=["word", "toxic", "around"],
         )
 
@@ -178,7 +179,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def learn_insults(train: DataFrame) -> dict[str, float]:
     """Stems with their log odds; a stem is left out if a shorter one serves."""
     words = (
-        train.mapInArrow(_surroundings, "word string, toxic int, around string")
+        train.mapInArrow(_surroundings, "word string, toxic int, around long")
         .distinct()
         .groupBy("word")
         .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
