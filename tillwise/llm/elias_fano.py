@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import numpy as np
 
-_BITS = np.array([[b >> i & 1 for i in range(8)] for b in range(256)], np.uint8)
-_ZEROS = (8 - _BITS.sum(axis=1)).astype(np.int64)  # zero bits of each byte
-# place of zero number r in each byte
-_ZERO_AT = np.full((256, 8), 8, np.int64)
-_ONE_AT = np.full((256, 8), 8, np.int64)
-for _b in range(256):
-    for _table, _bit in ((_ZERO_AT, 0), (_ONE_AT, 1)):
-        _found = np.flatnonzero(_BITS[_b] == _bit)
-        _table[_b, : len(_found)] = _found
-_WORD = 64  # bytes of high bits per rank sample
+_BITS = (np.arange(1 << 16)[:, None] >> np.arange(16) & 1).astype(np.uint8)
+_ONES = _BITS.sum(axis=1, dtype=np.int64)  # one bits of each 16-bit unit
+
+
+def _numbered(bits: np.ndarray) -> np.ndarray:
+    """Place of bit number r in each unit: [unit, r], 16 beyond the last."""
+    table = np.full((1 << 16, 17), 16, np.uint8)
+    rank = np.where(bits == 1, np.cumsum(bits, axis=1) - 1, 16)
+    np.put_along_axis(table, rank, np.arange(16, dtype=np.uint8)[None, :], axis=1)
+    return table[:, :16]
+
+
+_ONE_AT, _ZERO_AT = _numbered(_BITS), _numbered(1 - _BITS)
+_STRIDE = 4  # units of high bits per rank sample
 
 
 def save(array: np.ndarray, path: str) -> np.ndarray:
@@ -21,12 +25,12 @@ def save(array: np.ndarray, path: str) -> np.ndarray:
     if not len(array):
         return array
     array.tofile(path)
-    return np.memmap(path, array.dtype, "r")
+    return np.memmap(path, array.dtype, "r").view(np.ndarray)
 
 
 class EliasFano:
     """n increasing numbers below 2^63: the low bits packed, the high bits in unary, one 0 ending each
-    bucket, and the number of zeros before every 64 bytes."""
+    bucket, and the number of zeros before every 64 bits."""
 
     def __init__(self, values: np.ndarray, folder: str, name: str):
         values = values.astype(np.uint64)
@@ -35,11 +39,12 @@ class EliasFano:
         self.low_bits = low = max(0, ((top + 1) // max(n, 1)).bit_length() - 1)
         high = (values >> np.uint64(low)).astype(np.int64)
         self.buckets = (int(high[-1]) if n else 0) + 1
-        unary = np.zeros(-(-(n + self.buckets) // (8 * _WORD)) * 8 * _WORD, np.uint8)
+        unary = np.zeros(-(-(n + self.buckets) // (16 * _STRIDE)) * 16 * _STRIDE, np.uint8)
         unary[high + np.arange(n)] = 1
-        self.high = save(np.packbits(unary, bitorder="little"), f"{folder}/{name}.high")
-        zeros = _ZEROS[np.asarray(self.high)].reshape(-1, _WORD).sum(axis=1)
-        self.before = save(np.concatenate([[0], np.cumsum(zeros)[:-1]]).astype(np.int64), f"{folder}/{name}.rank")
+        units = np.packbits(unary, bitorder="little").view("<u2")
+        zeros = 16 * _STRIDE - _ONES[units].reshape(-1, _STRIDE).sum(axis=1)
+        self.high = save(units, f"{folder}/{name}.high")
+        self.before = save(np.concatenate([[0], np.cumsum(zeros)[:-1]]).astype(np.uint32), f"{folder}/{name}.rank")
         self.low = save(self._packed_lows(values, low), f"{folder}/{name}.low")
 
     @staticmethod
@@ -69,23 +74,21 @@ class EliasFano:
         return word & np.uint64((1 << self.low_bits) - 1)
 
     def _place(self, number: np.ndarray, ones: bool) -> np.ndarray:
-        """Bit position of each numbered zero (or one): its sample, its byte, its place in the byte."""
+        """Bit position of each numbered zero (or one): its sample, its unit, its place in the unit."""
+        before = self.before.astype(np.int64)
         if ones:
-            before = np.arange(len(self.before)) * 8 * _WORD - self.before
-            per_byte, within = 8 - _ZEROS, _ONE_AT
-        else:
-            before, per_byte, within = self.before, _ZEROS, _ZERO_AT
-        sample = np.searchsorted(before, number, side="right") - 1
-        left = number - before[sample]
-        place = sample * _WORD
-        open_ = np.arange(len(number))
-        while len(open_):
-            held = per_byte[self.high[place[open_]]]
-            on = held <= left[open_]
-            left[open_[on]] -= held[on]
-            place[open_[on]] += 1
-            open_ = open_[on]
-        return place * 8 + within[self.high[place], left]
+            before = np.arange(len(before)) * 16 * _STRIDE - before
+        at = np.searchsorted(before, number, side="right") - 1
+        left = number - before[at]
+        at *= _STRIDE
+        for _ in range(_STRIDE - 1):
+            held = _ONES[self.high[at]]
+            held = held if ones else 16 - held
+            on = held <= left
+            left -= np.where(on, held, 0)
+            at += on
+        within = _ONE_AT if ones else _ZERO_AT
+        return at * 16 + within[self.high[at], left]
 
     def _up_to(self, bucket: np.ndarray) -> np.ndarray:
         """How many values lie in buckets up to this one: the place of its zero, less the zeros before."""
@@ -93,6 +96,7 @@ class EliasFano:
 
     def get(self, at: np.ndarray) -> np.ndarray:
         """Values at these places."""
+        at = np.asarray(at, np.int64)
         return (self._place(at, True) - at).astype(np.uint64) << np.uint64(self.low_bits) | self._lows(at)
 
     def successor(self, x: np.ndarray, low: np.ndarray | None = None, high: np.ndarray | None = None) -> np.ndarray:
