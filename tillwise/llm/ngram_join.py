@@ -15,7 +15,8 @@ that way, so no pair is lost.
 
 What is wanted are the components, so no group is expanded into its pairs: under every signature, first
 all sets are compared with the least one. Signatures whose sets are then in one component are done.
-In the others, sets outside the largest component are compared with all sets of other components.
+In the others, sets outside the largest component are compared with those sets of other components
+that the distances to the least set do not rule out (the number of differing shingles is a metric).
 
 Equal sets are one class and enter once. Shingles are 64-bit hashes: two different shingles
 within one compared pair of a million shingles are taken as equal with a chance below 10^-7.
@@ -39,6 +40,7 @@ from tillwise.session import shared_dir
 GROWTH = 1.25  # of the sizes in a band
 COSTLY = 64  # sets under one signature from which deletion neighbourhoods are cheaper
 PROFILE = 256  # cells of a set's profile
+OPEN = 1 << 40  # more shingles than any set has
 BITMAP = 24  # log2 of the bits of the id filter: at most 2^18 rows of 64 bits are broadcast
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -147,14 +149,16 @@ def deletion_signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
-def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
-    """den |a & b| >= num |a | b|, for sorted distinct arrays."""
-    if min(len(a), len(b)) * den < max(len(a), len(b)) * num:
-        return False
+def apart(a: np.ndarray, b: np.ndarray) -> int:
+    """How many shingles only one of two sorted distinct arrays has."""
     both = np.concatenate([a, b])
     both.sort()
-    common = int((both[1:] == both[:-1]).sum())
-    return den * common >= num * (len(a) + len(b) - common)
+    return len(both) - 2 * int((both[1:] == both[:-1]).sum())
+
+
+def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
+    """den |a & b| >= num |a | b|: the sets differ in at most (|a| + |b|) (den - num) / (den + num)."""
+    return apart(a, b) * (den + num) <= (len(a) + len(b)) * (den - num)
 
 
 def profile(shingles: np.ndarray) -> bytes:
@@ -163,13 +167,10 @@ def profile(shingles: np.ndarray) -> bytes:
     return np.minimum(cells, 255).astype(np.uint8).tobytes()
 
 
-def may_be_similar(a: bytes, n_a: int, b: bytes, n_b: int, num: int, den: int) -> bool:
-    """False only if the sizes or the profiles alone show that the sets differ too much: sets with
-    profiles p and q differ in at least sum |p - q| shingles."""
-    if min(n_a, n_b) * den < max(n_a, n_b) * num:
-        return False
-    apart = int(np.abs(np.frombuffer(a, np.uint8).astype(np.int16) - np.frombuffer(b, np.uint8)).sum())
-    return (n_a + n_b + apart) * num <= (n_a + n_b - apart) * den
+def least_apart(a: bytes, n_a: int, b: bytes, n_b: int) -> int:
+    """Sets with profiles p and q differ in at least sum |p - q| shingles, and in their sizes."""
+    cells = np.abs(np.frombuffer(a, np.uint8).astype(np.int16) - np.frombuffer(b, np.uint8)).sum()
+    return max(int(cells), abs(n_a - n_b))
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -232,12 +233,30 @@ def _reindexed(bands: Bands):
     return run
 
 
-def _pruned(num: int, den: int):
+def _bounded(num: int, den: int):
+    """Pairs with the sets' sizes and profiles -> least and most distance, and whether to compare them.
+
+    A node that stands for several texts (rows that share an id) has no size, and its distances are
+    left open."""
+
+    def bounds(of_a: list[dict], of_b: list[dict]) -> tuple:
+        pairs = [
+            (least_apart(x["profile"], x["n_shingles"], y["profile"], y["n_shingles"]), x["n_shingles"] + y["n_shingles"])
+            for x in of_a
+            for y in of_b
+        ]
+        near = any(least * (den + num) <= both * (den - num) for least, both in pairs)
+        size = of_b[0]["n_shingles"] if len(of_b) == 1 else None
+        return (*pairs[0], near, size) if len(pairs) == 1 else (0, OPEN, near, size)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("profile_a", "n_a", "profile_b", "n_b")]
-            good = [may_be_similar(*row, num, den) for row in zip(*columns, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            rows = [bounds(x, y) for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist(), strict=True)]
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))],
+                names=["a", "b", "least", "most", "near", "n_b"],
+            )
 
     return run
 
@@ -245,11 +264,16 @@ def _pruned(num: int, den: int):
 def _compared(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [
-                similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den)
+            sets = [
+                (np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
                 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
             ]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            far = [apart(x, y) for x, y in sets]
+            good = [d * (den + num) <= (len(x) + len(y)) * (den - num) for d, (x, y) in zip(far, sets, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(far, pa.int64()), pa.array(good, pa.bool_())],
+                names=["a", "b", "apart", "linked"],
+            )
 
     return run
 
@@ -336,30 +360,52 @@ class _Join:
             "sets",
         )
 
-    def pruned(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sizes and profiles do not rule them out."""
-        known = self.written(only_ids(self.profiles, "node", self.nodes(pairs)), "profiles")
-        side = lambda c: known.select(
-            F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("profile").alias(f"profile_{c}")
+    def bounded(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, least, most, near, n_b): what sizes and profiles say of the pairs (a, b)."""
+        known = (
+            only_ids(self.profiles, "node", self.nodes(pairs))
+            .groupBy("node")
+            .agg(F.collect_set(F.struct("n_shingles", "profile")).alias("of"))  # one, or one per text of an id
         )
+        known = self.written(known, "profiles")
+        side = lambda c: known.select(F.col("node").alias(c), F.col("of").alias(f"of_{c}"))
         rows = pairs.join(side("a"), "a").join(side("b"), "b")
-        return self.written(rows.mapInArrow(_pruned(self.num, self.den), "a long, b long"), "pruned")
+        return self.written(
+            rows.mapInArrow(_bounded(self.num, self.den), "a long, b long, least long, most long, near boolean, n_b long"),
+            "bounded",
+        )
 
-    def verified(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
-        """Those of the pairs (a, b) that are similar."""
-        pairs = self.pruned(self.written(pairs, "pairs"))
-        sets = self.sets_of(self.nodes(pairs)) if sets is None else sets
+    def distances(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        """(a, b, least, most, linked, n_b) of the pairs (a, b): exact distances for those that may be
+        similar, bounds for the others."""
+        bounded = self.bounded(self.written(pairs, "pairs"))
+        near = bounded.where("near").select("a", "b")
+        sets = self.sets_of(self.nodes(near)) if sets is None else sets
         left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
         right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-        rows = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
-        return self.written(rows.mapInArrow(_compared(self.num, self.den), "a long, b long").distinct(), "edges")
+        exact = (
+            near.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+            .mapInArrow(_compared(self.num, self.den), "a long, b long, apart long, linked boolean")
+            .groupBy("a", "b")
+            .agg(F.min("apart").alias("apart"), F.bool_or("linked").alias("linked"), F.count(F.lit(1)).alias("texts"))
+        )
+        only = F.when(F.col("texts") == 1, F.col("apart"))
+        return self.written(
+            bounded.join(exact, ["a", "b"], "left").select(
+                "a", "b", "n_b",
+                F.coalesce(only, "least").alias("least"),
+                F.coalesce(only, "most").alias("most"),
+                F.coalesce("linked", F.lit(False)).alias("linked"),
+            ),
+            "distances",
+        )
 
     def with_hub(self, members: DataFrame) -> DataFrame:
         return members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
-    def open_members(self, members: DataFrame, edges: DataFrame) -> DataFrame:
-        """Members of signatures with two components or more, with their component and whether it is
-        the signature's largest."""
+    def open_members(self, members: DataFrame, to_hub: DataFrame, edges: DataFrame) -> DataFrame:
+        """Members, but hubs, of signatures with two components or more: with their component, the
+        signature's largest, their size, and their distance to the hub."""
         labelled = members.join(self.labels(edges), "node", "left").withColumn(
             "component", F.coalesce("component", "node")
         )
@@ -375,24 +421,37 @@ class _Join:
             .where("parts > 1 and held > 2")  # of two nodes the hub was one
             .drop("parts")
         )
-        return self.written(labelled.join(largest, "signature"), "open")
+        known = to_hub.select(F.col("a").alias("hub"), F.col("b").alias("node"), "least", "most", F.col("n_b").alias("n"))
+        rest = labelled.where("node <> hub").join(largest, "signature").join(known, ["hub", "node"])
+        return self.written(rest.drop("hub"), "open")
 
     def crossing(self, open_members: DataFrame) -> DataFrame:
-        """Pairs of one signature and different components, one of them outside the largest. Pairs with
-        the hub have been compared before."""
-        rest = open_members.where("node <> hub")
-        minor = rest.where("component <> largest").select(
-            "signature", F.col("node").alias("x"), F.col("component").alias("of_x")
+        """Pairs of one signature and different components, one of them outside the largest, whose
+        sizes and distances to the hub allow them to be similar. Pairs with the hub have been compared."""
+        minor = open_members.where("component <> largest").select(
+            "signature", F.col("node").alias("x"), F.col("component").alias("of_x"), F.col("n").alias("n_x"),
+            F.col("least").alias("least_x"), F.col("most").alias("most_x"),
         )
-        other = rest.select("signature", F.col("node").alias("y"), "component")
+        other = open_members.select(
+            "signature", F.col("node").alias("y"), "component", F.col("n").alias("n_y"), "least", "most"
+        )
+        least = F.greatest(
+            F.col("least_x") - F.col("most"), F.col("least") - F.col("most_x"), F.abs(F.col("n_x") - F.col("n_y"))
+        )
+        fits = least * (self.den + self.num) <= (F.col("n_x") + F.col("n_y")) * (self.den - self.num)
         return (
             minor.join(other, "signature")
-            .where(F.col("of_x") != F.col("component"))
+            .where((F.col("of_x") != F.col("component")) & F.coalesce(fits, F.lit(True)))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .distinct()
         )
 
 
+def _with_hubs(costly: DataFrame, members: DataFrame) -> DataFrame:
+    """All nodes of the costly signatures."""
+    return members.join(costly.select("signature").distinct(), "signature", "left_semi").select("node").distinct()
+
+
 def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of `docs`.
 
@@ -425,19 +484,23 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
     first = without_ids(named, "doc_id", join.written(copies, "copies")).withColumnRenamed("doc_id", "node")
     join.profiles = first.select("node", "n_shingles", "profile")
     members = join.members(first.select("node", F.explode("signatures").alias("signature")))
-    edges = join.verified(join.with_hub(members))
+    linked = lambda pairs: pairs.where("linked").select("a", "b")
+    to_hub = join.distances(join.with_hub(members))
+    edges = linked(to_hub)
 
-    left = join.open_members(members, edges)
-    edges = edges.unionByName(join.verified(join.crossing(left.where(F.col("held") <= COSTLY))))
-    costly = join.written(left.where(F.col("held") > COSTLY).select("node").distinct(), "costly")
+    left = join.open_members(members, to_hub, edges)
+    edges = edges.unionByName(linked(join.distances(join.crossing(left.where(F.col("held") <= COSTLY)))))
+    costly = left.where(F.col("held") > COSTLY)
     if not costly.isEmpty():
-        sets = join.sets_of(costly)
+        sets = join.sets_of(_with_hubs(costly, members))
         again = join.members(
             sets.mapInArrow(_reindexed(bands), "node long, signatures array<long>")
             .select("node", F.explode("signatures").alias("signature"))
         )
-        edges = edges.unionByName(join.verified(join.with_hub(again), sets))
-        edges = edges.unionByName(join.verified(join.crossing(join.open_members(again, edges)), sets))
+        to_hub = join.distances(join.with_hub(again), sets)
+        edges = edges.unionByName(linked(to_hub))
+        left = join.open_members(again, to_hub, edges)
+        edges = edges.unionByName(linked(join.distances(join.crossing(left), sets)))
 
     found = join.labels(edges)
     of_class = classes.join(found, "node", "left").select(
