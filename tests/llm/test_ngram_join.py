@@ -92,7 +92,7 @@ def test_special_rows(spark):
 def test_only_ids_equals_semi_join(spark):
     docs = spark.range(5000).selectExpr("id as doc_id", "'t' as text")
     ids = spark.range(0, 9000, 7).selectExpr("id as node")
-    assert sorted(r.doc_id for r in nj.only_ids(docs, ids).collect()) == list(range(0, 5000, 7))
+    assert sorted(r.doc_id for r in nj.only_ids(docs, "doc_id", ids).collect()) == list(range(0, 5000, 7))
 
 
 @settings(max_examples=200, deadline=None)
@@ -129,3 +129,18 @@ def test_components(spark, tmp_path):
         if len(seen) > 1:
             assert found[node] == min(seen)
     assert Counter(found) and components(spark.createDataFrame([], "a long, b long"), str(tmp_path / "e")).count() == 0
+
+
+def test_without_ids_equals_anti_join(spark):
+    docs = spark.range(5000).selectExpr("id as doc_id", "'t' as text")
+    ids = spark.range(0, 9000, 7).selectExpr("id as node")
+    assert sorted(r.doc_id for r in nj.without_ids(docs, "doc_id", ids).collect()) == [i for i in range(5000) if i % 7]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 2000), st.integers(0, 300), st.integers(0, 300), st.integers(0, 9))
+def test_profiles_give_a_lower_bound(size, more, less, seed):
+    rng = np.random.default_rng(seed)
+    a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+    b = np.unique(np.concatenate([a[min(less, len(a) - 1) :], rng.integers(0, 2**63, more).astype(np.uint64)]))
+    assert nj.least_apart(nj.profile(a), len(a), nj.profile(b), len(b)) <= nj.apart(a, b) == len(set(a.tolist()) ^ set(b.tolist()))

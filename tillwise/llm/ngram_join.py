@@ -15,8 +15,9 @@ that way, so no pair is lost.
 
 What is wanted are the components, so no group is expanded into its pairs: under every signature, first
 all sets are compared with the least one. Signatures whose sets are then in one component are done.
-In the others, sets outside the largest component are compared with those sets of other components
-that the distances to the least set do not rule out (the number of differing shingles is a metric).
+In the others, blocks of sets of different components meet, and only pairs come out that neither their
+profiles (counts of hashes in 256 cells) nor their distances to the least set rule out (the number of
+differing shingles is a metric); these are compared exactly.
 
 Equal sets are one class and enter once. Shingles are 64-bit hashes: two different shingles
 within one compared pair of a million shingles are taken as equal with a chance below 10^-7.
@@ -40,6 +41,7 @@ from tillwise.session import shared_dir
 GROWTH = 1.25  # of the sizes in a band
 COSTLY = 64  # sets under one signature from which deletion neighbourhoods are cheaper
 PROFILE = 256  # cells of a set's profile
+BLOCK = 256  # sets of a signature that are compared with as many others in one place
 OPEN = 1 << 40  # more shingles than any set has
 BITMAP = 24  # log2 of the bits of the id filter: at most 2^18 rows of 64 bits are broadcast
 
@@ -70,7 +72,7 @@ class Shingles:
             self.hashes[self.known : len(self.ids)] = [xxhash.xxh3_64_intdigest(w) for w in fresh]
             self.known = len(self.ids)
         out = self.hashes[numbers]
-        if self.known > 1_000_000:  # a cache: starting it again changes no result
+        if self.known > 500_000:  # a cache: starting it again changes no result
             self.ids, self.known = WordIds(), 0
         return out
 
@@ -261,6 +263,68 @@ def _bounded(num: int, den: int):
     return run
 
 
+def _meeting(num: int, den: int):
+    """Rows sorted by (signature, i, j) -> pairs between blocks i and j of a signature that may be similar."""
+
+    def pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        block, i, j = (rows[c].to_numpy() for c in ("block", "i", "j"))
+        left = np.flatnonzero(block == i[0])
+        right = left if i[0] == j[0] else np.flatnonzero(block == j[0])
+        component, node = rows["component"].to_numpy(), rows["node"].to_numpy()
+        differ = component[left][:, None] != component[right][None, :]
+        if i[0] == j[0]:
+            differ = np.triu(differ, 1)
+        if not differ.any():
+            return node[:0], node[:0]
+        profiles = rows["profile"].to_pylist()
+        known = np.array([p is not None for p in profiles])
+        cells = np.frombuffer(b"".join(p or bytes(PROFILE) for p in profiles), np.uint8).reshape(-1, PROFILE).astype(np.int16)
+        n, least, most = (rows[c].fill_null(0).to_numpy() for c in ("n", "least", "most"))
+        x, y = np.nonzero(differ)
+        x, y = left[x], right[y]
+        bound = np.maximum(np.abs(n[x] - n[y]), np.maximum(least[x] - most[y], least[y] - most[x]))
+        near = (bound * (den + num) <= (n[x] + n[y]) * (den - num)) | ~known[x] | ~known[y]
+        x, y = x[near], y[near]
+        kept = []
+        for at in range(0, len(x), 1 << 14):
+            p, q = x[at : at + (1 << 14)], y[at : at + (1 << 14)]
+            cell_bound = np.abs(cells[p] - cells[q]).sum(axis=1, dtype=np.int64)
+            kept.append((cell_bound * (den + num) <= (n[p] + n[q]) * (den - num)) | ~known[p] | ~known[q])
+        good = np.concatenate([np.zeros(0, bool), *kept])
+        a, b = node[x[good]], node[y[good]]
+        return np.minimum(a, b), np.maximum(a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+
+        def groups(table: pa.Table, last: bool) -> Iterator[pa.Table]:
+            """Whole groups; what may go on in the next batch is kept back."""
+            nonlocal rest
+            keys = np.stack([table[c].to_numpy() for c in ("signature", "i", "j")])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            bounds = [0, *cuts.tolist(), table.num_rows]
+            if not last:
+                rest = table.slice(bounds[-2])
+                bounds = bounds[:-1]
+            for low, high in zip(bounds, bounds[1:]):
+                yield table.slice(low, high - low).combine_chunks()
+
+        def out(table: pa.Table, last: bool) -> Iterator[pa.RecordBatch]:
+            for group in groups(table, last):
+                a, b = pairs(group)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            if batch.num_rows:
+                table = pa.Table.from_batches([batch])
+                yield from out(table if rest is None else pa.concat_tables([rest, table]), False)
+        if rest is not None:
+            yield from out(rest, True)
+
+    return run
+
+
 def _compared(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -348,7 +412,7 @@ class _Join:
         return self.written(index.join(shared, "signature"), "members")
 
     def nodes(self, pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return self.written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
 
     def sets_of(self, nodes: DataFrame) -> DataFrame:
         """(node, shingles) of the nodes, from their texts."""
@@ -375,11 +439,11 @@ class _Join:
             "bounded",
         )
 
-    def distances(self, pairs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    def distances(self, pairs: DataFrame, sets: DataFrame | None = None, exact: bool = False) -> DataFrame:
         """(a, b, least, most, linked, n_b) of the pairs (a, b): exact distances for those that may be
-        similar, bounds for the others."""
+        similar (with `exact` for all), bounds for the others."""
         bounded = self.bounded(self.written(pairs, "pairs"))
-        near = bounded.where("near").select("a", "b")
+        near = bounded.where(F.lit(exact) | F.col("near")).select("a", "b")
         sets = self.sets_of(self.nodes(near)) if sets is None else sets
         left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
         right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
@@ -426,25 +490,33 @@ class _Join:
         return self.written(rest.drop("hub"), "open")
 
     def crossing(self, open_members: DataFrame) -> DataFrame:
-        """Pairs of one signature and different components, one of them outside the largest, whose
-        sizes and distances to the hub allow them to be similar. Pairs with the hub have been compared."""
-        minor = open_members.where("component <> largest").select(
-            "signature", F.col("node").alias("x"), F.col("component").alias("of_x"), F.col("n").alias("n_x"),
-            F.col("least").alias("least_x"), F.col("most").alias("most_x"),
-        )
-        other = open_members.select(
-            "signature", F.col("node").alias("y"), "component", F.col("n").alias("n_y"), "least", "most"
-        )
-        least = F.greatest(
-            F.col("least_x") - F.col("most"), F.col("least") - F.col("most_x"), F.abs(F.col("n_x") - F.col("n_y"))
+        """Pairs of one signature and different components that may be similar by their profiles, sizes
+        and distances to the hub. Pairs with the hub have been compared.
+
+        The members of a signature are dealt into blocks; a block meets each block in one place, and
+        only pairs that may be similar come out."""
+        nodes = self.written(open_members.select("node").distinct(), "nodes")
+        known = (
+            only_ids(self.profiles, "node", nodes)
+            .groupBy("node")
+            .agg(F.collect_set("profile").alias("of"))
+            .select("node", F.when(F.size("of") == 1, F.col("of")[0]).alias("profile"))
         )
-        fits = least * (self.den + self.num) <= (F.col("n_x") + F.col("n_y")) * (self.den - self.num)
-        return (
-            minor.join(other, "signature")
-            .where((F.col("of_x") != F.col("component")) & F.coalesce(fits, F.lit(True)))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            .distinct()
+        blocks = F.ceil(F.col("held") / BLOCK).cast("int")
+        meets = F.sequence(F.lit(0), F.col("blocks") - 1)
+        rows = (
+            open_members.join(known, "node")
+            .withColumn("blocks", blocks)
+            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(meets))
+            .select(
+                "signature", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                "block", "node", "component", "n", "least", "most", "profile",
+            )
+            .repartition("signature", "i", "j")
+            .sortWithinPartitions("signature", "i", "j")
         )
+        return rows.mapInArrow(_meeting(self.num, self.den), "a long, b long").distinct()
 
 
 def _with_hubs(costly: DataFrame, members: DataFrame) -> DataFrame:
@@ -497,7 +569,8 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
             sets.mapInArrow(_reindexed(bands), "node long, signatures array<long>")
             .select("node", F.explode("signatures").alias("signature"))
         )
-        to_hub = join.distances(join.with_hub(again), sets)
+        # all distances to the hub, near or not: they rule out most of the pairs to come
+        to_hub = join.distances(join.with_hub(again), sets, exact=True)
         edges = edges.unionByName(linked(to_hub))
         left = join.open_members(again, to_hub, edges)
         edges = edges.unionByName(linked(join.distances(join.crossing(left), sets)))

@@ -32,7 +32,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 CHUNK = 32_768  # characters; longer texts are giants
 NEVER = float("-inf")
-CACHE = 1_000_000  # units, and neighbours, remembered per worker
+CACHE = 300_000  # units, and neighbours, remembered per worker
 MERGED = 48  # characters; longer units are walked through the lattice, in linear time
 
 
