@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm.columns import word_count
+from tillwise.session import shared_dir
 
 MIN_WORDS = 8  # of a block that is deleted
 
@@ -182,6 +183,10 @@ def plan(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .where("first.doc_id < last")
         .select("hash", F.col("first.doc_id").alias("owner"), F.col("first.at").alias("owner_at"))
     )
+    # a table of its own, so that Spark can split the rows of a frequent line in the join
+    folder = shared_dir(docs.sparkSession, "line-owners")
+    owners.write.parquet(folder)
+    owners = docs.sparkSession.read.parquet(folder)
     shared = (
         worded.join(owners, "hash")
         .where("owner < doc_id")
