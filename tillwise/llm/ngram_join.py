@@ -39,7 +39,7 @@ from tillwise.llm.components import components
 from tillwise.session import shared_dir
 
 GROWTH = 1.25  # of the sizes in a band
-COSTLY = 64  # sets under one signature from which deletion neighbourhoods are cheaper
+COSTLY = 1024  # sets under one signature from which deletion neighbourhoods are cheaper than comparing profiles
 PROFILE = 256  # cells of a set's profile
 BLOCK = 256  # sets of a signature that are compared with as many others in one place
 OPEN = 1 << 40  # more shingles than any set has
