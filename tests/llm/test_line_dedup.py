@@ -56,6 +56,50 @@ def test_as_membership_on_long_lines(spark):
         seen |= set(text.split("\n"))
 
 
+def brute(texts, min_words=8):
+    """Positions of lines with words in runs that any earlier document has too, of `min_words` words or more."""
+    gone = {}
+    for i, text in texts:
+        lines, gone[i] = text.split("\n"), set()
+        for first in range(len(lines)):
+            for last in range(first, len(lines)):
+                run_ = lines[first : last + 1]
+                if sum(len(x.split()) for x in run_) < min_words or not run_[0] or not run_[-1]:
+                    continue
+                n = len(run_)
+                if any(run_ == y.split("\n")[k : k + n] for j, y in texts if j < i for k in range(y.count("\n") + 2 - n)):
+                    gone[i] |= set(range(first, last + 1))
+    return gone
+
+
+def test_passage_of_short_lines_that_have_earlier_owners(spark):
+    rng = random.Random(6)
+    passage = [line(rng, 5) for _ in range(12)]
+    a = "\n".join(x for p in passage[::2] for x in (p, line(rng, 4)))
+    b, c = "\n".join([line(rng, 4), *passage, line(rng, 4)]), "\n".join([line(rng, 3), *passage, line(rng, 3)])
+    got = run(spark, [(1, a), (2, b), (3, c)])
+    assert got[1][1] == got[2][1] == 0 and got[3][1] == 12
+    x, y, z = line(rng, 5), line(rng, 5), line(rng, 5)  # the owner repeats a line; its second place counts
+    got = run(spark, [(1, f"{x}\n{z}\n{x}\n{y}"), (2, f"{x}\n{y}")])
+    assert got[2] == ("", 2)
+
+
+def test_all_runs_of_any_earlier_document(spark):
+    rng = random.Random(7)
+    pool = [line(rng, n) for n in (1, 2, 3, 3, 4, 5, 5, 6, 7, 9)] + [""]
+    texts = [(i, "\n".join(rng.choices(pool, k=rng.randrange(1, 9)))) for i in range(60)]
+    got, lost = run(spark, texts), brute(texts)
+    assert sum(map(len, lost.values())) > 60
+    for i, text in texts:
+        lines = text.split("\n")
+        kept = [x for k, x in enumerate(lines) if k not in lost[i]]
+        rest = got[i][0].split("\n") if got[i][1] < len(lines) else []
+        at = iter(kept)
+        assert all(x in at for x in rest), i  # nothing of a shared run is left
+        seen = {x for j, y in texts if j < i for x in y.split("\n")}
+        assert [x for x in kept if x and x not in seen] == [x for x in rest if x and x not in seen], i
+
+
 def test_special_rows(spark):
     df = rows.special(spark)
     got = ld.dedup(df)

@@ -9,6 +9,12 @@ of lines that follow each other in both documents are blocks; blocks of at least
 deleted from the later document, and what is left of it is aligned again until nothing more is
 found, so that moved blocks are found too.
 
+A line's first owner need not be the document with which a passage of short lines is shared. So runs of
+adjacent lines (blank ones included) have owners of their own: every shortest run of `min_words`
+words, from each line forwards and from each line backwards. Any block that a document has in common
+with any earlier one, wherever it stands there, is covered by such runs, and a run that an earlier
+document has is a block; so all blocks of all pairs are deleted, at no more than two rows a line.
+
 A shorter line that is shared with an earlier document is deleted as well if it stands between
 deleted lines (or at an end of the text beside one): it is a remainder of the same passage.
 """
@@ -19,11 +25,12 @@ import bisect
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.columns import word_count
 from tillwise.session import shared_dir
 
 MIN_WORDS = 8  # of a block that is deleted
@@ -82,8 +89,34 @@ def blocks(aligned: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
         yield run
 
 
-def deleted_lines(matches: dict, words: dict[int, int], blank: set[int], n_lines: int, min_words: int) -> set[int]:
-    """Positions to delete from one document. `matches`: owner -> [(position, owner's position)]."""
+def least_runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
+    """(first, last) line of the shortest runs of `min_words` words and two lines or more, from each
+    line with words forwards and from each backwards."""
+    runs: set[tuple[int, int]] = set()
+    first, total = 0, 0
+    for last, n in enumerate(words):  # the shortest that end at `last`
+        total += n
+        while first < last and total - words[first] >= min_words:
+            total -= words[first]
+            first += 1
+        if n and total >= min_words and first < last:
+            runs.add((first, last))
+    last, total = len(words) - 1, 0
+    for first in range(len(words) - 1, -1, -1):  # the shortest that begin at `first`
+        total += words[first]
+        while last > first and total - words[last] >= min_words:
+            total -= words[last]
+            last -= 1
+        if words[first] and total >= min_words and first < last:
+            runs.add((first, last))
+    return runs
+
+
+def deleted_lines(
+    matches: dict, words: dict[int, int], blank: set[int], n_lines: int, min_words: int, runs: list[range] = ()
+) -> set[int]:
+    """Positions to delete from one document. `matches`: owner -> [(position, owner's position)];
+    `runs`: lines that follow each other in an earlier document too, with `min_words` words or more."""
     gone: set[int] = set()
     for owner in sorted(matches):
         left = sorted(set(matches[owner]))
@@ -98,6 +131,7 @@ def deleted_lines(matches: dict, words: dict[int, int], blank: set[int], n_lines
                 break
             gone |= found
             left = [m for m in left if m[0] not in found]
+    gone.update(*runs)
     if not gone:
         return gone
     loose = set(words) - gone | blank
@@ -123,25 +157,26 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 def _aligned(min_words: int):
     """Rows sorted by (doc_id, digest): all shared lines of a document in one run."""
 
-    def finish(key, matches, words, blank, n_lines):
-        gone = deleted_lines(matches, words, blank, n_lines, min_words)
+    def finish(key, matches, words, blank, n_lines, runs):
+        gone = deleted_lines(matches, words, blank, n_lines, min_words, runs)
         return (*key, [i not in gone for i in range(max(gone) + 1)], len(gone)) if gone else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, key, state = [], None, None
-        for doc_id, digest, at, words, n_lines, owner, owner_at in _rows(batches):
+        for doc_id, digest, at, span, words, blank, end, n_lines, owner, owner_at in _rows(batches):
             if (doc_id, digest) != key:
                 if key is not None:
                     done.append(finish(key, *state))
-                key, state = (doc_id, digest), ({}, {}, set(), n_lines)
+                key, state = (doc_id, digest), ({}, {}, set(range(end, n_lines)), n_lines, [])
                 if len(done) >= 2000:
                     yield _batch(done)
                     done = []
-            if owner is None:
-                state[2].add(at)
+            if span > 1:
+                state[4].append(range(at, at + span))
             else:
                 state[0].setdefault(owner, []).append((at, owner_at))
                 state[1][at] = words
+                state[2].update(range(at - blank, at))
         if key is not None:
             done.append(finish(key, *state))
         yield _batch(done)
@@ -149,6 +184,52 @@ def _aligned(min_words: int):
     return run
 
 
+LINES = "doc_id long, digest long, at int, span int, words int, blank int, end int, n_lines int, hash long"
+BLANK = bytes(8)
+FULL = 50_000  # rows of a batch
+
+
+def _lines(min_words: int):
+    """(doc_id, digest, text) -> the lines with words (span 1) and the shortest runs of `min_words` words.
+
+    `words` is counted up to `min_words`; `blank` is the number of blank lines just before a line, `end`
+    the place after the last line with words."""
+
+    def out(docs: list, rows: list, hashes: list) -> pa.RecordBatch:
+        times = np.array([d[-1] for d in docs], np.int64)
+        doc_id, digest, end, n_lines = (np.repeat(np.array([d[k] for d in docs], np.int64), times) for k in range(4))
+        at, span, words, blank = np.array(rows, np.int32).reshape(-1, 4).T
+        columns = [doc_id, digest, at, span, words, blank, end.astype(np.int32), n_lines.astype(np.int32),
+                   np.array(hashes, np.uint64).view(np.int64)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.ascontiguousarray(c)) for c in columns], names=[part.split()[0] for part in LINES.split(", ")]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, of_run = xxhash.xxh3_64_digest, xxhash.xxh3_64_intdigest
+        docs, rows, hashes = [], [], []
+        for doc_id, digest, text in _rows(batches):
+            lines, before = text.split(b"\n"), len(rows)
+            words = [len(x.split(None, min_words)[:min_words]) for x in lines]
+            digests = b"".join([of(x) if n else BLANK for x, n in zip(lines, words, strict=True)])
+            end = 0
+            for i, (n, value) in enumerate(zip(words, np.frombuffer(digests, ">u8").tolist(), strict=True)):
+                if n:
+                    rows.append((i, 1, n, i - end))
+                    hashes.append(value)
+                    end = i + 1
+            for first, last in least_runs(words, min_words) if min_words > 1 else ():
+                rows.append((first, last - first + 1, min_words, 0))
+                hashes.append(of_run(digests[8 * first : 8 * (last + 1)], 1))
+            docs.append((doc_id, digest, end, len(lines), len(rows) - before))
+            if len(rows) >= FULL:
+                yield out(docs, rows, hashes)
+                docs, rows, hashes = [], [], []
+        yield out(docs, rows, hashes)
+
+    return run
+
+
 SCHEMA = "doc_id long, digest long, kept array<boolean>, removed_lines int"
 
 
@@ -169,17 +250,12 @@ def plan(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, digest, kept, removed_lines) of documents that lose lines; `digest` is of their text."""
     lines = (
         docs.where("doc_id is not null and text is not null")
-        .select("doc_id", _digest(F.col("text")).alias("digest"), F.split("text", "\n", -1).alias("lines"))
-        .select("doc_id", "digest", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("at", "line"))
-        # below a generator, so that the filters further up do not work them out again
-        .select("doc_id", "digest", "n_lines", "at",
-                F.explode(F.array(F.struct(F.xxhash64("line").alias("hash"), word_count(F.col("line")).cast("int").alias("words")))).alias("it"))
-        .select("doc_id", "digest", "n_lines", "at", "it.hash", "it.words")
+        .select("doc_id", _digest(F.col("text")).alias("digest"), F.col("text").cast("binary").alias("text"))
+        .mapInArrow(_lines(min_words), LINES)
     )
-    worded = lines.where("words > 0")
     owners = (
-        worded.groupBy("hash")
-        .agg(F.min(F.struct("doc_id", "at", "digest")).alias("first"), F.max("doc_id").alias("last"))
+        lines.groupBy("hash")
+        .agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"))
         .where("first.doc_id < last")
         .select("hash", F.col("first.doc_id").alias("owner"), F.col("first.at").alias("owner_at"))
     )
@@ -187,18 +263,10 @@ def plan(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     folder = shared_dir(docs.sparkSession, "line-owners")
     owners.write.parquet(folder)
     owners = docs.sparkSession.read.parquet(folder)
-    shared = (
-        worded.join(owners, "hash")
-        .where("owner < doc_id")
-        .select("doc_id", "digest", "at", "words", "n_lines", "owner", "owner_at")
-    )
     return (
-        shared.unionByName(
-            lines.where("words = 0").select(
-                "doc_id", "digest", "at", "words", "n_lines",
-                F.lit(None).cast("long").alias("owner"), F.lit(None).cast("int").alias("owner_at"),
-            )
-        )
+        lines.join(owners, "hash")
+        .where("owner < doc_id")
+        .select("doc_id", "digest", "at", "span", "words", "blank", "end", "n_lines", "owner", "owner_at")
         .repartition("doc_id", "digest")
         .sortWithinPartitions("doc_id", "digest", "at")
         .mapInArrow(_aligned(min_words), SCHEMA)
@@ -211,7 +279,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Only documents with a lower doc_id count as earlier. Null texts and rows with a null doc_id
     stay as they are and own nothing. Rows that share a doc_id are not compared with each other;
     each loses what its own text shares with earlier documents. A copy of an earlier document loses
-    all of its lines of which blocks are long enough. Blank lines never make a pair. A column
+    all of its lines of which blocks are long enough. Blank lines alone never make a pair; inside a
+    block they have to agree as well. A column
     `removed_lines` in `docs` is replaced; other extra columns are kept. An empty table stays empty.
     """
     gone = plan(docs, min_words).select(
