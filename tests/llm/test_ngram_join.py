@@ -144,3 +144,32 @@ def test_profiles_give_a_lower_bound(size, more, less, seed):
     a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
     b = np.unique(np.concatenate([a[min(less, len(a) - 1) :], rng.integers(0, 2**63, more).astype(np.uint64)]))
     assert nj.least_apart(nj.profile(a), len(a), nj.profile(b), len(b)) <= nj.apart(a, b) == len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def check_all(spark, df, k, num, den):
+    """Components as brute force, and the number of all links of every row."""
+    texts = [(r.doc_id, r.text) for r in df.collect()]
+    sets = [shingles(t, k) for _, t in texts]
+    n_links = [
+        sum(i != j and den * len(a & b) >= num * len(a | b) for j, b in enumerate(sets) if b) if a else 0
+        for i, a in enumerate(sets)
+    ]
+    want = [(*row, n) for row, n in zip(brute(texts, k, num, den), n_links)]
+    assert sorted(map(tuple, nj.link_all(df, k, num, den).collect()), key=key) == sorted(want, key=key)
+    return n_links
+
+
+@pytest.mark.parametrize("costly", [2, 1024])
+def test_every_link_is_counted(spark, monkeypatch, costly):
+    monkeypatch.setattr(nj, "COSTLY", costly)
+    df = spark.createDataFrame(copies(11), "doc_id long, text string")
+    assert max(check_all(spark, df, 3, 80, 100)) > 20
+
+
+def test_every_link_of_special_rows_and_null_ids(spark):
+    check_all(spark, rows.special(spark), 3, 90, 100)
+    assert nj.link_all(rows.empty(spark), 3, 90, 100).collect() == []
+    words = rows.words(random.Random(12), 100, 10**6).split()
+    bridge = [(1, words), (None, words[5:] + ["x"] * 5), (2, words[10:] + ["x"] * 10)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in bridge], "doc_id long, text string")
+    assert check_all(spark, df, 1, 90, 100) == [1, 2, 1]

@@ -13,12 +13,15 @@ by at most one shingle in at least one of them, so the sets meet under the segme
 without one shingle. A pair that meets only under costly signatures has both its sets reindexed
 that way, so no pair is lost.
 
-What is wanted are the components, so no group is expanded into its pairs: under every signature, first
+`link` wants the components only, so no group is expanded into its pairs: under every signature, first
 all sets are compared with the least one. Signatures whose sets are then in one component are done.
 In the others, blocks of sets of different components meet, and only pairs come out that neither their
 profiles (counts of hashes in 256 cells) nor their distances to the least set rule out (the number of
 differing shingles is a metric); these are compared exactly.
 
+`link_all` wants every link: all sets of a signature meet, whatever their components, and pairs that
+distances to the least set neither rule out nor prove are compared exactly.
+
 Equal sets are one class and enter once. Shingles are 64-bit hashes: two different shingles
 within one compared pair of a million shingles are taken as equal with a chance below 10^-7.
 """
@@ -264,9 +267,10 @@ def _bounded(num: int, den: int):
 
 
 def _meeting(num: int, den: int):
-    """Rows sorted by (signature, i, j) -> pairs between blocks i and j of a signature that may be similar."""
+    """Rows sorted by (signature, i, j) -> pairs between blocks i and j of a signature that may be similar;
+    `sure` are those that their distances to the hub prove to be."""
 
-    def pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    def pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         block, i, j = (rows[c].to_numpy() for c in ("block", "i", "j"))
         left = np.flatnonzero(block == i[0])
         right = left if i[0] == j[0] else np.flatnonzero(block == j[0])
@@ -275,7 +279,7 @@ def _meeting(num: int, den: int):
         if i[0] == j[0]:
             differ = np.triu(differ, 1)
         if not differ.any():
-            return node[:0], node[:0]
+            return node[:0], node[:0], differ[:0, 0]
         profiles = rows["profile"].to_pylist()
         known = np.array([p is not None for p in profiles])
         cells = np.frombuffer(b"".join(p or bytes(PROFILE) for p in profiles), np.uint8).reshape(-1, PROFILE).astype(np.int16)
@@ -291,8 +295,9 @@ def _meeting(num: int, den: int):
             cell_bound = np.abs(cells[p] - cells[q]).sum(axis=1, dtype=np.int64)
             kept.append((cell_bound * (den + num) <= (n[p] + n[q]) * (den - num)) | ~known[p] | ~known[q])
         good = np.concatenate([np.zeros(0, bool), *kept])
-        a, b = node[x[good]], node[y[good]]
-        return np.minimum(a, b), np.maximum(a, b)
+        x, y = x[good], y[good]
+        sure = ((most[x] + most[y]) * (den + num) <= (n[x] + n[y]) * (den - num)) & known[x] & known[y]
+        return np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), sure
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -311,9 +316,9 @@ def _meeting(num: int, den: int):
 
         def out(table: pa.Table, last: bool) -> Iterator[pa.RecordBatch]:
             for group in groups(table, last):
-                a, b = pairs(group)
+                a, b, sure = pairs(group)
                 if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(sure)], names=["a", "b", "sure"])
 
         for batch in batches:
             if batch.num_rows:
@@ -401,15 +406,17 @@ class _Join:
         self.tables += 1
         return components(edges, f"{self.folder}/{self.tables}-components")
 
-    def members(self, index: DataFrame) -> DataFrame:
-        """(signature, node, hub) of the signatures that two nodes or more have; the hub is the least."""
+    def members(self, index: DataFrame, repeats: bool = False) -> DataFrame:
+        """(signature, node, hub) of the signatures that two nodes or more have; the hub is the least.
+        Rows of the index may repeat if `repeats` says so."""
         shared = (
             index.groupBy("signature")
             .agg(F.min("node").alias("hub"), F.max("node").alias("top"))
             .where("hub < top")
             .drop("top")
         )
-        return self.written(index.join(shared, "signature"), "members")
+        found = index.join(shared, "signature")
+        return self.written(found.distinct() if repeats else found, "members")
 
     def nodes(self, pairs: DataFrame) -> DataFrame:
         return self.written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
@@ -467,12 +474,13 @@ class _Join:
     def with_hub(self, members: DataFrame) -> DataFrame:
         return members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
-    def open_members(self, members: DataFrame, to_hub: DataFrame, edges: DataFrame) -> DataFrame:
+    def open_members(self, members: DataFrame, to_hub: DataFrame, edges: DataFrame | None) -> DataFrame:
         """Members, but hubs, of signatures with two components or more: with their component, the
-        signature's largest, their size, and their distance to the hub."""
-        labelled = members.join(self.labels(edges), "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
-        )
+        signature's largest, their size, and their distance to the hub. Without edges every node is a
+        component of its own."""
+        labelled = members.withColumn("component", F.col("node")) if edges is None else members.join(
+            self.labels(edges), "node", "left"
+        ).withColumn("component", F.coalesce("component", "node"))
         largest = (
             labelled.groupBy("signature", "component")
             .agg(F.count(F.lit(1)).alias("share"))
@@ -516,7 +524,14 @@ class _Join:
             .repartition("signature", "i", "j")
             .sortWithinPartitions("signature", "i", "j")
         )
-        return rows.mapInArrow(_meeting(self.num, self.den), "a long, b long").distinct()
+        met = rows.mapInArrow(_meeting(self.num, self.den), "a long, b long, sure boolean")
+        return met.groupBy("a", "b").agg(F.bool_or("sure").alias("sure"))
+
+    def proven(self, met: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+        """(a, b) of the pairs that are similar."""
+        met = self.written(met, "met")
+        exact = self.distances(met.where("not sure").select("a", "b"), sets).where("linked")
+        return met.where("sure").select("a", "b").unionByName(exact.select("a", "b"))
 
 
 def _with_hubs(costly: DataFrame, members: DataFrame) -> DataFrame:
@@ -524,18 +539,11 @@ def _with_hubs(costly: DataFrame, members: DataFrame) -> DataFrame:
     return members.join(costly.select("signature").distinct(), "signature", "left_semi").select("node").distinct()
 
 
-def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of `docs`.
-
-    Documents are linked if their sets of distinct shingles of `words` words (A-Z lower-cased) have a
-    Jaccard similarity of num / den or more; component_id is the least doc_id reachable by links. A
-    text of fewer words has its whole sequence as its only shingle; null, empty and blank texts have
-    no shingles and are linked with nothing. Every row is judged by its own text, also if rows
-    repeat a doc_id; rows with a null doc_id are linked like others but name no component (a
-    component of null ids only is null). Extra columns are not looked at. An empty table gives no rows.
-    """
+def _edges(join: _Join, every: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of all rows, (digest, node) of the classes of equal sets, and links (a, b) between nodes:
+    as many as the components need, or every one (some of them more than once)."""
+    words, num, den = join.words, join.num, join.den
     bands = Bands(num, den)
-    join = _Join(docs.select("doc_id", F.col("text").cast("binary").alias("text")), words, num, den)
     sketches = join.written(
         join.texts.mapInArrow(
             _sketched(words, bands),
@@ -555,13 +563,15 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
     copies = copies.join(classes, "node", "left_anti").select("node").distinct()
     first = without_ids(named, "doc_id", join.written(copies, "copies")).withColumnRenamed("doc_id", "node")
     join.profiles = first.select("node", "n_shingles", "profile")
-    members = join.members(first.select("node", F.explode("signatures").alias("signature")))
+    index = first.select("node", F.explode("signatures").alias("signature"))
+    members = join.members(index, every)
     linked = lambda pairs: pairs.where("linked").select("a", "b")
     to_hub = join.distances(join.with_hub(members))
     edges = linked(to_hub)
 
-    left = join.open_members(members, to_hub, edges)
-    edges = edges.unionByName(linked(join.distances(join.crossing(left.where(F.col("held") <= COSTLY)))))
+    left = join.open_members(members, to_hub, None if every else edges)
+    met = join.crossing(left.where(F.col("held") <= COSTLY))
+    edges = edges.unionByName(join.proven(met))
     costly = left.where(F.col("held") > COSTLY)
     if not costly.isEmpty():
         sets = join.sets_of(_with_hubs(costly, members))
@@ -572,9 +582,23 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
         # all distances to the hub, near or not: they rule out most of the pairs to come
         to_hub = join.distances(join.with_hub(again), sets, exact=True)
         edges = edges.unionByName(linked(to_hub))
-        left = join.open_members(again, to_hub, edges)
-        edges = edges.unionByName(linked(join.distances(join.crossing(left), sets)))
+        left = join.open_members(again, to_hub, None if every else edges)
+        edges = edges.unionByName(join.proven(join.crossing(left), sets))
+    return sketches, classes, edges
+
 
+def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of `docs`.
+
+    Documents are linked if their sets of distinct shingles of `words` words (A-Z lower-cased) have a
+    Jaccard similarity of num / den or more; component_id is the least doc_id reachable by links. A
+    text of fewer words has its whole sequence as its only shingle; null, empty and blank texts have
+    no shingles and are linked with nothing. Every row is judged by its own text, also if rows
+    repeat a doc_id; rows with a null doc_id are linked like others but name no component (a
+    component of null ids only is null). Extra columns are not looked at. An empty table gives no rows.
+    """
+    join = _Join(docs.select("doc_id", F.col("text").cast("binary").alias("text")), words, num, den)
+    sketches, classes, edges = _edges(join, every=False)
     found = join.labels(edges)
     of_class = classes.join(found, "node", "left").select(
         F.col("digest").alias("class_digest"), F.coalesce("component", "node").alias("component")
@@ -584,3 +608,48 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def link_all(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) for every row of `docs`: as `link`, and with how many
+    other rows the row is linked, copies included.
+
+    Every pair of different sets that share a signature and may be similar is compared, and texts are
+    nodes by their 64-bit hash and not by doc_id: so texts of a repeated or null id have links of their
+    own, and those with a null id also link others.
+    """
+    key = F.xxhash64("text")
+    texts = docs.select(key.alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    join = _Join(texts, words, num, den)
+    sketches, classes, edges = _edges(join, every=True)
+    links = join.written(edges.distinct(), "links")
+    of_key = (
+        sketches.select(F.col("doc_id").alias("key"), "n_shingles", "digest")
+        .distinct()
+        .join(classes, "digest", "left")
+        .select("key", "n_shingles", "node")
+    )
+    placed = join.written(docs.select("doc_id", key.alias("key")).join(of_key, "key").drop("key"), "placed")
+    sizes = placed.where("node is not null").groupBy("node").agg(
+        F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least")
+    )
+    sizes = join.written(sizes, "sizes")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = (
+        both.join(sizes.select(F.col("node").alias("b"), "size"), "b")
+        .groupBy(F.col("a").alias("node"))
+        .agg(F.sum("size").alias("others"))
+    )
+    labelled = sizes.join(join.labels(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_node = (
+        labelled.join(named, "component")
+        .join(others, "node", "left")
+        .select("node", "component_id", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    )
+    return placed.join(of_node, "node", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    )

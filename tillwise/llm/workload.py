@@ -150,7 +150,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register()
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.link(_table(spark, sf_dir, "documents", "doc_id", "text"), words=3, num=90, den=100)
+    return ngram_join.link_all(_table(spark, sf_dir, "documents", "doc_id", "text"), words=3, num=90, den=100)
 
 
 @_register()
