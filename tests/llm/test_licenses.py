@@ -1,3 +1,5 @@
+import json
+
 import rows
 
 from tillwise.llm import licenses
@@ -36,3 +38,20 @@ def test_special_rows(spark):
 def test_many_known_texts_are_joined_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(licenses, "SMALL", 0)
     assert scan(spark, [licenses.MIT, "x"]) == [("MIT", None), (None, None)]
+
+
+def test_whole_texts_of_common_licences(spark):
+    rows_ = json.loads(licenses.WHOLE.read_text(encoding="utf-8"))
+    first = {}
+    for row in rows_:
+        first.setdefault((row["licence"], row["kind"]), row["text"])
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense", "CC0-1.0"} <= {k for k, kind in first if kind == "text"}
+    keys = sorted(first)
+    changed = ["Copyright 2021 Somebody\n\n" + first[k].upper().replace(",", " ,") for k in keys]
+    cut = [first[k][: len(first[k]) // 2] for k in keys]
+    got = scan(spark, changed + cut)
+    assert [x[0] for x in got] == [k for k, _ in keys] + [None] * len(keys)
+    apache = first["Apache-2.0", "text"]
+    without_title = apache[apache.index("TERMS AND CONDITIONS") :]
+    untitled = scan(spark, [without_title, without_title[: without_title.index("END OF TERMS")], "x\n" + " ".join(first["Apache-2.0", "notice"].split())])
+    assert untitled == [("Apache-2.0", None)] * 2 + [(None, "Apache-2.0")]

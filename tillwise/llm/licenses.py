@@ -5,17 +5,26 @@ out, everything but ASCII letters, digits and non-ASCII characters turned into b
 joined, and equivalent spellings made one. Whole texts and single lines (for one-line notices) are
 digested and joined with the digests of the known texts.
 
+The known texts are the short table `KNOWN` and the whole licence texts and header notices of
+`licences.json`, each as it is wrapped, with a line per paragraph and on one line (a line that begins with
+"copyright" is taken out, so the wrapping counts).
+
 A canonical text longer than the longest known one cannot be equal to any, so its spellings are not
 rewritten and it is not digested: the bound comes from the known table and loses nothing.
 """
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm.columns import ascii_lower
 
+WHOLE = Path(__file__).with_name("licences.json")  # read by the driver
+
 # Spellings that count as equal (British or variant form, common form), as words.
 SPELLINGS = (
     ("licence", "license"),
@@ -94,7 +103,8 @@ KNOWN = (
 
 def known_licences(spark) -> DataFrame:
     """The built-in table (licence, text); any other table of that form will do."""
-    return spark.createDataFrame(list(KNOWN), "licence string, text string")
+    whole = [(row["licence"], row["text"]) for row in json.loads(WHOLE.read_text(encoding="utf-8"))]
+    return spark.createDataFrame([*KNOWN, *whole], "licence string, text string")
 
 
 def plain(text: Column) -> Column:
