@@ -19,4 +19,4 @@ def test_gives_a_row_per_document(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in workload.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in workload.queries()) == list(range(1, 14))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import (
-    fingerprint, licenses, line_dedup, mixing, ngram_join, ngram_model, pieces, quality, toxicity, url_filter,
+    divergence, exact_dedup, fingerprint, licenses, line_dedup, merkle, mixing, ngram_join, ngram_model, pieces,
+    quality, toxicity, url_filter,
 )
 
 _QUERIES: dict = {}
@@ -180,3 +181,113 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register()
 def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_model.score(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def _merkle_sql() -> str:
+    """Levels are written out: seven for a lang, three above, enough for 2,097,152 rows of a lang and 512 langs."""
+    low, high = 7, 3
+    fields = " || ".join(
+        f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in merkle.FIELDS[:-1]
+    )
+    text = "coalesce(strlen({0})::VARCHAR || ':' || {0}, '-')"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = (
+        "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), "
+        "lambda ch: ord(ch)::BIGINT)), lambda c, b: xor(c >> 8, bits[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"
+    )
+    bit = "lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    steps = [
+        f"crc_table AS (SELECT list(list_reduce(list_concat([n], range(8)), {bit}) ORDER BY n) AS bits FROM range(256) t(n))",
+        f"leaves AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256({fields} || {text.format('text')}) AS leaf, "
+        f"CASE WHEN {crc} % 3 = 0 THEN sha256({fields} || {text.format(lower)}) END AS changed FROM documents, crc_table)",
+        "docs AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS nr FROM leaves)",
+        "l0 AS (SELECT tree, nr, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM docs)",
+    ]
+
+    def level(name: str, to: str) -> str:
+        return (
+            f"{to} AS (SELECT tree, nr // 8 AS nr, CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY nr)) END AS h, "
+            f"(max(n) + 7) // 8 AS n FROM {name} GROUP BY tree, nr // 8)"
+        )
+
+    def sides(name: str) -> str:
+        run = "PARTITION BY tree, nr // 8 ORDER BY nr ROWS BETWEEN"
+        return (
+            f"{name}s AS (SELECT tree, nr, n > 1 AS used, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lefts, "
+            f"coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rights FROM {name})"
+        )
+
+    for k in range(low):
+        steps += [level(f"l{k}", f"l{k + 1}"), sides(f"l{k}")]
+    steps.append(f"t0 AS (SELECT '^' AS tree, row_number() OVER (ORDER BY tree) - 1 AS nr, h, count(*) OVER () AS n, tree AS lang_tree FROM l{low})")
+    for k in range(high):
+        steps += [level(f"t{k}", f"t{k + 1}"), sides(f"t{k}")]
+    steps.append(
+        f"c0 AS (SELECT docs.*, l{low}.h AS subroot, t0.nr AS top_nr, t{high}.h AS root, coalesce(changed, leaf) AS acc, '' AS proof "
+        f"FROM docs JOIN l{low} USING (tree) JOIN t0 ON lang_tree = docs.tree CROSS JOIN t{high})"
+    )
+    at = 0
+    for name, nr, tree in [(f"l{k}s", f"c.nr // {8**k}", "c.tree") for k in range(low)] + [
+        (f"t{k}s", f"c.top_nr // {8**k}", "'^'") for k in range(high)
+    ]:
+        steps.append(
+            f"c{at + 1} AS (SELECT c.* REPLACE (CASE WHEN used THEN sha256(lefts || acc || rights) ELSE acc END AS acc, "
+            f"CASE WHEN used THEN proof || lefts || rights ELSE proof END AS proof) "
+            f"FROM c{at} c JOIN {name} s ON s.tree = {tree} AND s.nr = {nr})"
+        )
+        at += 1
+    return "WITH " + ",\n".join(steps) + (
+        "\nSELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root AS verified "
+        f"FROM c{at}"
+    )
+
+
+@_register(_merkle_sql())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents", *merkle.FIELDS))
+
+
+_AUDIT_SQL = r"""
+WITH docs AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+    lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS terms FROM documents),
+numbered AS (SELECT *, row_number() OVER () AS rn FROM docs),
+words AS (SELECT rn, lang, source, unnest(terms) AS term FROM numbered),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT rn) >= 10),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+cnt AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+full_cells AS (SELECT grp.lang, grp.source, term, lang_n, coalesce(n, 0) AS n
+  FROM grp JOIN kept USING (lang) LEFT JOIN cnt USING (lang, source, term)),
+shares AS (SELECT *, 1 + 1000000000 * (n + 2) // (sum(n) OVER g + 2 * count(*) OVER g)::BIGINT AS p,
+    1 + 1000000000 * (lang_n + 2) // (sum(lang_n) OVER g + 2 * count(*) OVER g)::BIGINT AS q
+  FROM full_cells WINDOW g AS (PARTITION BY lang, source)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+all_pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source),
+every AS (SELECT * FROM all_pairs UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM every)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@_register(_AUDIT_SQL)
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+_EXACT_SQL = r"""
+WITH plain AS (SELECT doc_id, length(coalesce(text, '')) AS size,
+  sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY size DESC, doc_id NULLS LAST) AS nr,
+  first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY size DESC, doc_id NULLS LAST) AS keep_id,
+  count(*) OVER (PARTITION BY text_sha256) AS group_size FROM plain)
+SELECT doc_id, keep_id, group_size, nr = 1 AS kept, text_sha256 FROM ordered
+"""
+
+
+@_register(_EXACT_SQL)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.classes(_table(spark, sf_dir, "documents", "doc_id", "text"))
