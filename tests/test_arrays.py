@@ -1,0 +1,176 @@
+"""Array files cut by many tasks, against Python's own parser and against the reader of whole files."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillwise.sources import files
+from tillwise.sources.files import CORRUPT
+
+SCHEMA = "k STRING, n BIGINT"
+CHARS = ["a", "}", "{", "[", "]", ",", '"', "\\", "\n", "ä", "漢", "null", " ", "\\\"", "😀"]
+
+
+def text(rng):
+    return "".join(rng.choice(CHARS) for _ in range(rng.randrange(6)))
+
+
+def value(rng, depth=0):
+    kind = rng.randrange(9 if depth < 3 else 5)
+    if kind < 3:
+        return text(rng)
+    if kind == 3:
+        return rng.choice([None, True, 1.5, -3])
+    if kind == 4:
+        return []
+    if kind < 7:
+        return {text(rng): value(rng, depth + 1) for _ in range(rng.randrange(3))}
+    return [value(rng, depth + 1) for _ in range(rng.randrange(3))]
+
+
+def element(rng):
+    kind = rng.randrange(10)
+    if kind == 0:
+        return None
+    if kind == 1:
+        return rng.choice([7, "x}y", "a,{", True, [1, 2], "", "[", "]"])
+    record = {"k": text(rng), "n": rng.randrange(99)}
+    if kind < 6:
+        record["more"] = value(rng)
+    return record
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "500", "spark.sql.files.openCostInBytes": "1"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+def got(df):
+    return sorted(((r.k, r.n, r[CORRUPT] is not None) for r in df.select("k", "n", CORRUPT).collect()), key=repr)
+
+
+def wanted(elements):
+    out = []
+    for e in elements:
+        if isinstance(e, dict):
+            out.append((e.get("k"), e.get("n"), False))
+        elif e is not None:
+            out.append((None, None, True))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_valid_arrays(spark, tmp_path, tiny_splits, seed):
+    rng = random.Random(seed)
+    everything = []
+    for name in "abc":
+        elements = [element(rng) for _ in range(rng.choice([0, 1, 40]))]
+        layout = rng.choice([{"indent": 2}, {}, {"separators": (",", ":")}, {"ensure_ascii": False}])
+        (tmp_path / f"{name}.json").write_text(rng.choice(["", " \n"]) + json.dumps(elements, **layout) + rng.choice(["", "\n"]))
+        everything += elements
+    assert got(files.read_json_array(spark, str(tmp_path), SCHEMA)) == wanted(everything)
+
+
+def test_an_element_longer_than_many_splits(spark, tmp_path, tiny_splits):
+    long = {"k": "}" * 50 + 'x"{,' * 200, "n": 1, "more": [{"a": [i, {"b": "},{"}]} for i in range(60)]}
+    elements = [{"k": "a", "n": 0}, long, 5, long, {"k": "z", "n": 2}]
+    (tmp_path / "a.json").write_text(json.dumps(elements))
+    assert got(files.read_json_array(spark, str(tmp_path), SCHEMA)) == wanted(elements)
+
+
+GOOD = [{"k": f"v{i}", "n": i, "more": {"x": "}" if i % 2 else ["{"]}} for i in range(12)]
+
+
+@pytest.mark.parametrize(
+    "broken",
+    ["oops", "17", '{"k": tru}', '{"k": "x}', '{"k": "x", "n": {"a": 1}', "}", '{"k": "a" "n": 1}', '"open', '{"n": ]}'],
+)
+def test_a_broken_element_takes_no_record_with_it(spark, tmp_path, tiny_splits, broken):
+    """As the reader of whole files: all good records come out, and something is reported."""
+    texts = [json.dumps(g) for g in GOOD]
+    texts.insert(5, broken)
+    (tmp_path / "a.json").write_text("[" + ",\n".join(texts) + "]")
+    df = files.read_json_array(spark, str(tmp_path), SCHEMA)
+    whole = files.read_json_array(spark, str(tmp_path), SCHEMA, split=False)
+    good = {(k, n) for k, n, bad in got(whole) if not bad}
+    assert {(k, n) for k, n, bad in got(df) if not bad} >= good
+    assert len(good & {(g["k"], g["n"]) for g in GOOD}) >= len(GOOD) - 1
+    assert any(bad for _, _, bad in got(df))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_broken_files_lose_nothing_that_whole_reading_finds(spark, tmp_path, tiny_splits, seed):
+    """Files with damage at random places next to sound ones."""
+    rng = random.Random(100 + seed)
+    for name in range(8):
+        made = json.dumps([element(rng) for _ in range(12)])
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(1, len(made) - 1)
+            made = made[:at] + rng.choice(['"', "{", "}", "[", "]", ",", "\\", ""]) + made[at + 1 :]
+        (tmp_path / f"{name}.json").write_text(made)
+    split = [r for r in got(files.read_json_array(spark, str(tmp_path), SCHEMA)) if not r[2]]
+    whole = [r for r in got(files.read_json_array(spark, str(tmp_path), SCHEMA, split=False)) if not r[2]]
+    missing = list(whole)
+    for r in split:
+        if r in missing:
+            missing.remove(r)
+    assert missing == []
+
+
+@pytest.mark.parametrize("end", ["", "}", "]", ',{"k": "cut", "n"', ',{"k": "cut", "n": 3', ',{"k": "cu}', ',{"k": {"a": 1}', ",{"])
+def test_a_cut_off_file(spark, tmp_path, tiny_splits, end):
+    """A record that the end of the file cuts off is reported, also where its text up to there would do."""
+    (tmp_path / "a.json").write_text("[" + ",".join(json.dumps(g) for g in GOOD) + end)
+    df = got(files.read_json_array(spark, str(tmp_path), SCHEMA))
+    assert [r for r in df if not r[2]] == wanted(GOOD)
+    assert len(df) - len(GOOD) == (1 if end and end != "]" else 0)
+
+
+def test_flat_file_that_is_cut_off(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"k": "a", "n": 1},{"k": "b", "n": 2')
+    assert got(files.read_json_array(spark, str(tmp_path), SCHEMA)) == sorted([("a", 1, False), (None, None, True)], key=repr)
+
+
+def test_byte_order_mark(spark, tmp_path):
+    (tmp_path / "a.json").write_bytes(b"\xef\xbb\xbf" + json.dumps(GOOD[:2]).encode())
+    (tmp_path / "b.json").write_bytes(b"\xef\xbb\xbf" + b'[{"k": "f", "n": 1}]')
+    assert got(files.read_json_array(spark, str(tmp_path), SCHEMA)) == wanted([*GOOD[:2], {"k": "f", "n": 1}])
+
+
+def test_compressed_files(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.json.gz").write_bytes(gzip.compress(json.dumps(GOOD).encode()))
+    assert got(files.read_json_array(spark, str(tmp_path), SCHEMA)) == wanted(GOOD)
+
+
+def test_odd_files_are_cut_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_walk", None)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        elements = [{"k": "}", "n": i, "more": {"a": [{"b": i}]}} for i in range(8000)]
+        (tmp_path / "a.json").write_text(json.dumps(elements))
+        df = files.read_json_array(spark, str(tmp_path / "a.json"), SCHEMA)
+        assert df.agg(F.sum("n"), F.count_if(files.is_corrupt())).first()[:] == (sum(range(8000)), 0)
+        pieces = files.read_pieces(spark.read, str(tmp_path / "a.json"), "}")
+        assert pieces.select("_block").distinct().count() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_inferred_schema_of_split_arrays(spark, tmp_path, tiny_splits):
+    elements = [{"a": 1, "b": {"c": [1]}}, {"a": 2.5, "d e": "x}"}, {"b": {"c": [2], "f": "g"}}]
+    (tmp_path / "a.json").write_text(json.dumps(elements))
+    df = files.read_json_array(spark, str(tmp_path), None)
+    want = spark.read.option("multiLine", True).json(str(tmp_path))
+    assert df.drop(CORRUPT).schema == want.schema
+    assert sorted(map(repr, df.drop(CORRUPT).collect())) == sorted(repr(r) for r in want.collect())

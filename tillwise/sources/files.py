@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections.abc import Iterator
@@ -12,6 +13,10 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwise.session import shared_dir
+from tillwise.sources import arrays
+from tillwise.sources.pieces import END, FILE, kept_columns, read_pieces
+
 CORRUPT = "_corrupt_record"
 STRICT_JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
@@ -66,49 +71,77 @@ def read_json(
 
 
 def read_json_array(
-    spark: SparkSession, path: str | list[str], schema: str, *, split: bool = True
+    spark: SparkSession, path: str | list[str], schema: str | None, *, split: bool = True
 ) -> DataFrame:
-    """Array files of objects, split over many tasks whatever their size.
+    """Array files of objects, split over many tasks whatever their size; declared or inferred schema.
 
     The text source splits files at the closing brace, so in a file of flat objects every piece is one
-    record. Null elements are skipped. A brace inside a string, a nested object or an element that is
-    no object leaves at least one piece that is no record: the files with such a piece, and only
-    those, are read again whole, one task each, element by element (such a file must fit into one
-    text). So this reader parses its input once before it returns. An element that is no object or
-    does not fit the schema arrives in `_corrupt_record` and takes no other with it. Without `split` all
-    files are read whole.
+    record. Null elements are skipped. Files with a brace inside a string, a nested object or an element that is
+    no object are cut by a scan of their pieces instead (`sources.arrays`) and staged in the shared folder, so
+    this reader looks at its input once before it returns. An element that is no object, is cut off by the
+    end of the file or does not fit the schema arrives in `_corrupt_record` and takes no other with it. A missing
+    quote or bracket turns the inside of strings out for the rest of a file; a file in which an element does not end
+    where the scan ends it is read whole by one task, from object to object (it must fit into one text). Without
+    `split` all files are read so.
     """
     if not split:
-        return _whole_arrays(spark.read, path, schema)
-    pieces = spark.read.option("lineSep", "}").text(path)
-    kept = [c for c in pieces.columns if c != "value"]  # partition columns of the path
-    body = F.regexp_replace("value", r"^(?:[\s,\[\]]|null)+", "")
-    record = F.when(body.startswith("{"), F.concat(body, F.lit("}"))).otherwise(body)
-    found = pieces.select(*kept, record.alias("value"), F.col("_metadata.file_path").alias("_file")).filter(
-        F.col("value") != ""
-    )
-    parsed = parse_json(found, schema)
-    # The hash makes the parser judge all fields. Spark's own list of the input files is on the driver
-    # as well; this is a part of it.
-    bad = parsed.filter(is_corrupt() & F.hash(*parsed.columns).isNotNull())
-    broken = [r[0] for r in bad.select("_file").distinct().collect()]
-    if not broken:
-        return parsed.drop("_file")
-    reader = spark.read
-    if kept:
-        reader = reader.option("basePath", _base([path] if isinstance(path, str) else path))
-    names = spark.createDataFrame([(b,) for b in broken], "_file string")
-    return parsed.join(names, "_file", "left_anti").drop("_file").unionByName(
-        _whole_arrays(reader, [unquote(b) for b in broken], schema)
-    )
+        if schema is None:
+            raise ValueError("a schema is inferred from split files only")
+        return parse_json(_whole_arrays(spark.read, path), schema)
+    pieces = read_pieces(spark.read, path, "}")
+    kept = kept_columns(pieces)
+    # Spark's own list of the input files is on the driver as well; this is a part of it.
+    odd = arrays.odd_files(pieces).collect()
+    flat = pieces.select(*kept, arrays.flat_record(F.col("value")).alias("value"), FILE).filter(F.col("value") != "")
+    if not odd:
+        return _parsed_elements(flat.drop(FILE), schema)
+    names = spark.createDataFrame(odd, f"{FILE} string, cut boolean")
+    base = _base([path] if isinstance(path, str) else path)
+
+    def some() -> DataFrameReader:
+        return spark.read.option("basePath", base) if kept else spark.read
+
+    staged = shared_dir(spark, "array-parts")
+    arrays.cut(read_pieces(some(), [unquote(row[FILE]) for row in odd], "}"), names).write.parquet(staged)
+    cut = arrays.elements(spark.read.parquet(staged))
+    texts = [flat.join(F.broadcast(names), FILE, "left_anti").select(*kept, "value")]
+    unsure = arrays.doubtful(F.col("value"))
+    doubtful = cut.filter(unsure)
+    if doubtful.isEmpty():
+        texts.append(cut.select(*kept, "value"))
+    else:
+        torn = doubtful.select(FILE, "value", END).mapInArrow(_torn, f"{FILE} string").distinct().collect()
+        torn_names = spark.createDataFrame(torn, f"{FILE} string")
+        sure = cut.join(F.broadcast(torn_names), FILE, "left_anti")
+        fields = T.StructType([*[cut.schema[c] for c in kept], T.StructField("value", T.StringType())])
+        texts += [
+            sure.filter(~unsure).select(*kept, "value"),
+            sure.filter(unsure).select(*kept, "value").mapInArrow(_array_elements, fields),
+        ]
+        if torn:
+            texts.append(_whole_arrays(some(), [unquote(row[FILE]) for row in torn]))
+    return _parsed_elements(functools.reduce(DataFrame.unionByName, texts), schema)
+
+
+def _parsed_elements(texts: DataFrame, schema: str | None) -> DataFrame:
+    """Parsed elements. Without a schema Spark infers one: every task merges the types it meets, and the
+    driver merges one type a task."""
+    if schema is None:
+        strings = texts.select("value")._jdf.__getattr__("as")(texts.sparkSession._jvm.org.apache.spark.sql.Encoders.STRING())
+        found = DataFrame(texts.sparkSession.read._jreader.json(strings), texts.sparkSession).schema
+        fields = [f for f in found if f.name != CORRUPT]
+        if not fields:
+            raise ValueError("no element that is an object to infer a schema from")
+        schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
+    return parse_json(texts, schema)
 
 
-def _whole_arrays(reader: DataFrameReader, path: str | list[str], schema: str) -> DataFrame:
-    """Array files, one task each, element by element."""
+def _whole_arrays(reader: DataFrameReader, path: str | list[str]) -> DataFrame:
+    """Elements of array files, one task each."""
     whole = reader.option("wholetext", True).text(path)
     kept = [c for c in whole.columns if c != "value"]
     fields = [*[whole.schema[c] for c in kept], T.StructField("value", T.StringType())]
-    return parse_json(whole.select(*kept, "value").mapInArrow(_array_elements, T.StructType(fields)), schema)
+    return whole.select(*kept, "value").mapInArrow(_array_elements, T.StructType(fields))
 
 
 def _base(roots: list[str]) -> str:
@@ -119,25 +152,40 @@ def _base(roots: list[str]) -> str:
 def _array_elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per element of each text, which is an array; nulls are left out. What cannot be read as
     an element comes out up to the next comma."""
-    decoder, blank = json.JSONDecoder(strict=False), re.compile(r"[\s,\[]*")
     for batch in batches:
         for row in range(batch.num_rows):
-            text = batch.column(batch.num_columns - 1)[row].as_py().strip()
-            text = text.removeprefix("\ufeff").removesuffix("]")
-            at, found = blank.match(text).end(), []
-            while at < len(text):
-                try:
-                    value, end = decoder.raw_decode(text, at)
-                except ValueError:
-                    value, end = "", text.find(",", at)
-                    end = len(text) if end < 0 else end
-                if value is not None:
-                    found.append(text[at:end])
-                at = blank.match(text, end).end() if end > at else end + 1
+            found, _ = _walk(batch.column(batch.num_columns - 1)[row].as_py())
             others = [pa.array(batch.column(c)[row : row + 1].to_pylist() * len(found), batch.column(c).type) for c in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*others, pa.array(found, pa.string())], names=batch.schema.names)
 
 
+def _torn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files with an element, not at the end of the file, behind which a reader from object to object would not
+    go on where the scan does."""
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in range(3)))
+        files = [file for file, text, end in rows if not end and not _walk(text)[1]]
+        yield pa.RecordBatch.from_arrays([pa.array(files, pa.string())], names=[FILE])
+
+
+def _walk(text: str) -> tuple[list[str], bool]:
+    """Elements of an array, and if the last of them could be read."""
+    decoder, blank = json.JSONDecoder(strict=False), re.compile(r"[\s,\[]*")
+    text = text.strip().removeprefix("\ufeff").removesuffix("]")
+    at, found, read = blank.match(text).end(), [], True
+    while at < len(text):
+        try:
+            value, end = decoder.raw_decode(text, at)
+            read = True
+        except ValueError:
+            value, end = "", text.find(",", at)
+            read, end = False, len(text) if end < 0 else end
+        if value is not None:
+            found.append(text[at:end])
+        at = blank.match(text, end).end() if end > at else end + 1
+    return found, read
+
+
 def parse_json(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
     """Parse one JSON object per row; a malformed text, or one with a value of the wrong type, goes to
     `_corrupt_record`. Text after the object is ignored, see `parse_json_lines`."""
