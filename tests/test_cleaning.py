@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from tillwise.functions.numbers import exact_sum, one_percent, whole
+from tillwise.functions.numbers import exact_sum, minor_units, one_percent, whole
 from tillwise.functions.text import dash_to_null, dash_to_number, dotted_name
 from tillwise.operators import aggregates, cleaning, dedup
 
@@ -94,3 +95,13 @@ def test_duplicates(spark):
     assert values(dedup.first_per_key(df, ["a"], ["b"]).select("a")) == [(1,), (2,)]
     assert dedup.first_per_key(df, ["b"], [F.desc("a")]).filter("b = 'x'").first().a == 2
     assert values(dedup.distinct_values(df, "a")) == [(1,), (2,)]
+
+
+@pytest.mark.parametrize("amount,units", [(600000.004, None), (6000000000.004, None), (6000000000.01, 600000000001), (0.1 + 0.2, 30), (7 * 1234567.89, 864197523)])
+def test_minor_units_refuse_more_decimals_at_any_size(spark, amount, units):
+    df = spark.createDataFrame([(amount,)], "v double").select(minor_units(F.col("v")).alias("u"))
+    if units is None:
+        with pytest.raises(Exception, match="more than 2 decimals"):
+            df.collect()
+    else:
+        assert df.first().u == units

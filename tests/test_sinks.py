@@ -56,6 +56,57 @@ def test_parquet_overwrite_and_guard_from_plan(spark, tmp_path):
     assert spark.read.parquet(folder).count() == 2
 
 
+def failing(df):
+    return df.select(F.when(F.col("id") == 900, F.raise_error(F.lit("late"))).otherwise(F.col("id")).alias("id"))
+
+
+def test_failed_overwrite_leaves_the_old_rows(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    files.write_parquet(spark.range(10), folder)
+    with pytest.raises(Exception, match="late"):
+        files.write_parquet(failing(spark.range(0, 1000, 1, 8)), folder)
+    assert spark.read.parquet(folder).count() == 10
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_interrupted_change_of_folders_is_mended(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "a [b]")
+    files.write_parquet(spark.range(10), folder)
+    rename = files._rename
+    monkeypatch.setattr(files, "_rename", lambda store, a, b: rename(store, a, b) if b.getName().endswith(".old") else exec("raise KeyboardInterrupt"))
+    with pytest.raises(KeyboardInterrupt):
+        files.write_parquet(spark.range(5), folder)
+    monkeypatch.setattr(files, "_rename", rename)
+    assert not (tmp_path / "a [b]").exists()
+    assert files.restore_folder(spark, folder) and spark.read.parquet(folder.replace("[", "\\[").replace("]", "\\]")).count() == 10
+    assert not files.restore_folder(spark, folder)
+
+
+def test_failed_second_rename_is_undone(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "out")
+    files.write_parquet(spark.range(10), folder)
+    rename = files._rename
+
+    def once(store, a, b):
+        if a.getName().endswith(".new"):
+            raise OSError("full")
+        rename(store, a, b)
+
+    monkeypatch.setattr(files, "_rename", once)
+    with pytest.raises(OSError, match="full"):
+        files.write_parquet(spark.range(5), folder)
+    assert spark.read.parquet(folder).count() == 10
+
+
+def test_overwrite_of_a_missing_folder_and_other_modes(spark, tmp_path):
+    folder = str(tmp_path / "x" / "y")
+    files.write_parquet(spark.range(2), folder)
+    files.write_parquet(spark.range(3), folder, mode="append")
+    assert spark.read.parquet(folder).count() == 5
+    with pytest.raises(Exception, match="(?i)exists"):
+        files.write_parquet(spark.range(3), folder, mode="error")
+
+
 def test_append_truncate(spark, tmp_path, name):
     df = spark.createDataFrame([(1, "a")], PLACE)
     for _ in range(2):

@@ -11,8 +11,8 @@ def minor_units(amount: Column, scale: int = 2) -> Column:
     fails the job: rounding each row would change the sum."""
     units = amount * F.lit(float(10**scale))
     whole_units = F.rint(units)
-    # a double with `scale` decimals is at most a few parts in 10^15 away from whole units
-    near = F.abs(units - whole_units) <= F.greatest(F.abs(units) * F.lit(1e-12), F.lit(1e-6))
+    # a double with `scale` decimals, or a product of two, is a few units in the last place away from whole units
+    near = F.abs(units - whole_units) <= F.greatest(F.abs(units) * F.lit(1e-15), F.lit(1e-6))
     refused = F.raise_error(F.concat(F.lit(f"more than {scale} decimals: "), amount.cast("string"))).cast("double")
     return F.when(amount.isNull() | near, whole_units).otherwise(refused).cast("bigint")
 

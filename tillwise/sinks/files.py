@@ -1,11 +1,17 @@
-"""Parquet folders."""
+"""Parquet folders.
+
+Overwriting writes a hidden folder beside the output first and then lets the two change places, so a job
+that fails leaves the old rows where they were. Between the two renames of the change the output is missing for a
+moment; if the driver dies just then, the next write, or `restore_folder`, brings the old rows back. On
+object stores, where a rename copies, write tables (`sinks.tables`) instead: they only move a pointer."""
 
 from __future__ import annotations
 
 import os
 import posixpath
 import re
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +45,65 @@ def write_parquet(
     inputs: Iterable[str] | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Write a folder after checking it against `inputs` (default: the folders the plan reads)."""
+    """Write a folder after checking it against `inputs` (default: the folders the plan reads). A failed
+    overwrite leaves the old rows."""
     check_output(path, scan_roots(df) if inputs is None else inputs)
-    df.write.mode(mode).parquet(path)
+    if mode == "overwrite":
+        overwrite_folder(df.sparkSession, path, df.write.parquet)
+    else:
+        df.write.mode(mode).parquet(path)
+
+
+def overwrite_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Call `write` with a fresh folder beside `path` and put that in its place when it is complete."""
+    restore_folder(spark, path)
+    store, target = _located(spark, path)
+    mark = uuid.uuid4().hex
+    fresh, old = (_beside(spark, target, mark, part) for part in ("new", "old"))
+    try:
+        write(fresh.toString())
+    except BaseException:
+        store.delete(fresh, True)
+        raise
+    if store.exists(target):
+        _rename(store, target, old)
+        try:
+            _rename(store, fresh, target)
+        except BaseException:
+            _rename(store, old, target)
+            raise
+        store.delete(old, True)
+    else:
+        _rename(store, fresh, target)
+
+
+def restore_folder(spark: SparkSession, path: str) -> bool:
+    """Put the old rows back if an overwrite was interrupted between its renames; says if that was so."""
+    store, target = _located(spark, path)
+    if store.exists(target) or not store.exists(target.getParent()):
+        return False
+    pattern = re.compile(rf"_{re.escape(target.getName())}-[0-9a-f]{{32}}\.old")
+    left = [s for s in store.listStatus(target.getParent()) if pattern.fullmatch(s.getPath().getName())]
+    if left:
+        _rename(store, max(left, key=lambda s: s.getModificationTime()).getPath(), target)
+    return bool(left)
+
+
+def _located(spark: SparkSession, path: str):
+    """File system and full path of a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") or "/")
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store, store.makeQualified(place)
+
+
+def _beside(spark: SparkSession, target, mark: str, part: str):
+    """A folder that readers of the parent folder skip, as its name begins with an underscore."""
+    return spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}-{mark}.{part}")
+
+
+def _rename(store, source, target) -> None:
+    if not store.rename(source, target):
+        raise OSError(f"cannot rename {source} to {target}")
 
 
 def scan_roots(df: DataFrame) -> list[str]:

@@ -142,6 +142,12 @@ def json_multiline_inferred(spark, sf_dir):
     return read_json(spark, _order_arrays(spark, sf_dir), multi_line=True)
 
 
+@query(_INFERRED_SQL)
+def json_split_inferred(spark, sf_dir):
+    """The schema is inferred from elements that many tasks cut out of the files."""
+    return read_json_array(spark, _order_arrays(spark, sf_dir), None).drop(CORRUPT)
+
+
 @query("SELECT p_partkey, p_name, p_brand, p_retailprice FROM part")
 def parquet_roundtrip(spark, sf_dir):
     folder = shared_dir(spark, "part")

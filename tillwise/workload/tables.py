@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tillwise.plans import clickstream, retail
 from tillwise.session import shared_dir
+from tillwise.sinks.files import write_parquet
 from tillwise.sinks.tables import append_table, load_partitioned, replace_table, truncate_table
-from tillwise.sources.files import read_table
+from tillwise.sources.files import read_parquet, read_table
 from tillwise.workload.registry import fresh_table, query, table
 
 _SUPPLIER = "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE"
@@ -29,6 +30,30 @@ def table_truncate(spark, sf_dir):
     return read_table(spark, name)
 
 
+@query("""
+SELECT 'after failure' AS version, s_suppkey, s_acctbal FROM supplier
+UNION ALL SELECT 'after success', s_suppkey, s_acctbal FROM supplier WHERE s_acctbal >= 0
+""")
+def failed_overwrite(spark, sf_dir):
+    """A folder is overwritten by a job that fails in its last row, then by one that does not."""
+    folder, kept = shared_dir(spark, "overwritten"), shared_dir(spark, "overwritten-kept")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    write_parquet(rows, folder)
+    last = rows.agg(F.max("s_suppkey")).first()[0]
+    broken = F.when(F.col("s_suppkey") == last, F.raise_error(F.lit("the last row"))).otherwise(F.col("s_acctbal"))
+    try:
+        write_parquet(rows.withColumn("s_acctbal", broken.cast("double")), folder)
+    except Exception as error:
+        if "the last row" not in str(error):
+            raise
+    write_parquet(read_parquet(spark, folder), kept)
+    write_parquet(rows.filter("s_acctbal >= 0"), folder)
+    return (
+        read_parquet(spark, kept).withColumn("version", F.lit("after failure"))
+        .unionByName(read_parquet(spark, folder).withColumn("version", F.lit("after success")))
+    )
+
+
 @query("SELECT s_suppkey, s_acctbal * 2 AS doubled FROM supplier")
 def table_replace(spark, sf_dir):
     """The second version is computed from the first, under the same name."""
