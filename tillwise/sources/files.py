@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.session import shared_dir
-from tillwise.sources import arrays
+from tillwise.sources import arrays, records
 from tillwise.sources.pieces import END, FILE, kept_columns, read_pieces
 
 CORRUPT = "_corrupt_record"
@@ -30,6 +30,7 @@ def read_csv(
     sep: str = ",",
     multi_line: bool = False,
     mode: str | None = None,
+    split: bool | None = None,
 ) -> DataFrame:
     """CSV with inferred types, or with a declared schema applied **by position**.
 
@@ -37,16 +38,60 @@ def read_csv(
     declared columns, and a row that does not fit fails the job (`mode="PERMISSIVE"` for nulls
     instead). If all columns are STRING, as in a raw load, an empty field is the empty text; with typed
     columns it is null. In such files a quote inside a quoted field is doubled, as warehouses load them; inferred
-    files keep Spark's backslash. Quoted line breaks need `multi_line`; such a file is read by one task, so keep those
-    files small and many.
+    files keep Spark's backslash. Quoted line breaks need `multi_line`. If a file is then larger than one
+    split, or with `split`, all files are cut into records by many tasks first (`sources.records`; lines end
+    with a line feed) and staged in the shared folder; without it Spark reads each file by one task.
     """
     reader = spark.read.option("header", header).option("sep", sep).option("multiLine", multi_line)
+    split = multi_line and (_larger_than_a_split(spark, path) if split is None else split)
     if schema is None:
+        if split:
+            return _inferred_records(_csv_records(spark, path, sep, "\\", header), header, sep, mode or "PERMISSIVE")
         return reader.option("inferSchema", True).option("mode", mode or "PERMISSIVE").csv(path)
-    declared = reader.schema(schema).option("enforceSchema", True).option("escape", '"')
-    rows = declared.option("mode", mode or "FAILFAST").csv(path)
-    raw = all(isinstance(field.dataType, T.StringType) for field in T.StructType.fromDDL(schema))
-    return rows.na.fill("") if raw else rows
+    if split:
+        found = _csv_records(spark, path, sep, '"', header).filter(~F.col(records.HEADER))
+        rows = records.parsed(found, schema, {"sep": sep, "escape": '"', "mode": mode or "FAILFAST"})
+    else:
+        declared = reader.schema(schema).option("enforceSchema", True).option("escape", '"')
+        rows = declared.option("mode", mode or "FAILFAST").csv(path)
+    fields = T.StructType.fromDDL(schema)
+    raw = all(isinstance(field.dataType, T.StringType) for field in fields)
+    return rows.na.fill("", subset=fields.names) if raw else rows
+
+
+def _larger_than_a_split(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether a file has more bytes than Spark gives to one task. One that has not is read by one task anyway."""
+    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    listed = spark.read.format("binaryFile").load(path)
+    if int(str(listed._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit:
+        return False
+    return (listed.agg(F.max("length")).first()[0] or 0) > limit
+
+
+def _csv_records(spark: SparkSession, path: str | list[str], sep: str, escape: str, header: bool) -> DataFrame:
+    staged = shared_dir(spark, "csv-records")
+    records.cut(read_pieces(spark.read, path, "\n"), sep, escape, header).write.parquet(staged)
+    return records.records(spark.read.parquet(staged))
+
+
+def _inferred_records(found: DataFrame, header: bool, sep: str, mode: str) -> DataFrame:
+    """Records with the types that Spark infers from all of them, and the names of the first file's header."""
+    spark = found.sparkSession
+    rows = found.filter(~F.col(records.HEADER))
+    reader = spark.read.option("sep", sep).option("inferSchema", True)
+    types = [f.dataType.simpleString() for f in _from_strings(reader, "csv", rows.select("value")).schema]
+    names = [f"_c{i}" for i in range(len(types))]
+    if header:
+        first = found.filter(F.col(records.HEADER)).orderBy(FILE).select("value").limit(1)
+        names = list((_from_strings(spark.read.option("sep", sep), "csv", first).first() or [])) or names
+    schema = ", ".join(f"`{(n or f'_c{i}').replace('`', '``')}` {t}" for i, (n, t) in enumerate(zip(names, types)))
+    return records.parsed(rows, schema, {"sep": sep, "mode": mode})
+
+
+def _from_strings(reader: DataFrameReader, kind: str, texts: DataFrame) -> DataFrame:
+    """What Spark's reader makes of a frame of one text column."""
+    strings = texts._jdf.__getattr__("as")(texts.sparkSession._jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(getattr(reader._jreader, kind)(strings), texts.sparkSession)
 
 
 def read_json(
@@ -127,8 +172,7 @@ def _parsed_elements(texts: DataFrame, schema: str | None) -> DataFrame:
     """Parsed elements. Without a schema Spark infers one: every task merges the types it meets, and the
     driver merges one type a task."""
     if schema is None:
-        strings = texts.select("value")._jdf.__getattr__("as")(texts.sparkSession._jvm.org.apache.spark.sql.Encoders.STRING())
-        found = DataFrame(texts.sparkSession.read._jreader.json(strings), texts.sparkSession).schema
+        found = _from_strings(texts.sparkSession.read, "json", texts.select("value")).schema
         fields = [f for f in found if f.name != CORRUPT]
         if not fields:
             raise ValueError("no element that is an object to infer a schema from")
