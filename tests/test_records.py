@@ -36,11 +36,7 @@ def written(rows, **options):
 
 def both(spark, path, schema=SCHEMA, **options):
     """Rows cut by many tasks, and rows of files that are read whole."""
-    assert files._larger_than_a_split(spark, path)
-    got = files.read_csv(spark, path, schema, multi_line=True, **options)
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(files, "_larger_than_a_split", lambda *_: False)
-        want = files.read_csv(spark, path, schema, multi_line=True, **options)
+    got, want = (files.read_csv(spark, path, schema, multi_line=True, split=split, **options) for split in (True, False))
     assert got.schema == want.schema
     return [sorted(map(repr, df.collect())) for df in (got, want)]
 
@@ -90,10 +86,10 @@ def test_inferred_types_and_names(spark, tmp_path, splits):
 def test_typed_rows_fail_as_before(spark, tmp_path, splits):
     rows = [["1", "a\nb"]] * 60 + [["x", "c"]]
     (tmp_path / "a.csv").write_text(written(rows, lineterminator="\n"), newline="")
-    df = files.read_csv(spark, str(tmp_path), "id INT, v STRING", header=False, multi_line=True)
+    df = files.read_csv(spark, str(tmp_path), "id INT, v STRING", header=False, multi_line=True, split=True)
     with pytest.raises(Exception, match="(?i)malformed|failfast"):
         df.collect()
-    lenient = files.read_csv(spark, str(tmp_path), "id INT, v STRING", header=False, multi_line=True, mode="PERMISSIVE")
+    lenient = files.read_csv(spark, str(tmp_path), "id INT, v STRING", header=False, multi_line=True, mode="PERMISSIVE", split=True)
     assert lenient.filter("id is null").count() == 1 and lenient.count() == 61
 
 
@@ -105,9 +101,15 @@ def test_partition_columns_stay(spark, tmp_path, splits):
     assert got == want and len(got) == 80
 
 
-def test_small_files_are_read_as_before(spark, tmp_path):
-    (tmp_path / "a.csv").write_text('x,y,z\n1,"a\nb",2\n')
-    assert not files._larger_than_a_split(spark, str(tmp_path))
+def test_only_large_files_are_cut(spark, tmp_path, splits):
+    (tmp_path / "a.csv").write_text("x,y\n" * 100)
+    assert not files._has_large_file(spark, str(tmp_path))
+    (tmp_path / "b.csv").write_text("x,y\n" * 1000)
+    assert files._has_large_file(spark, str(tmp_path))
+    (tmp_path / "b.csv").unlink()
+    for i in range(9):
+        (tmp_path / f"c{i}.csv").write_text("x,y\n" * 100)
+    assert not files._has_large_file(spark, str(tmp_path))
 
 
 def test_one_large_file_uses_many_tasks(spark, tmp_path):

@@ -18,6 +18,8 @@ from tillwise.sources import arrays, records
 from tillwise.sources.pieces import END, FILE, kept_columns, read_pieces
 
 CORRUPT = "_corrupt_record"
+# A CSV file of more splits than this is cut into records by many tasks, which pays on some tens of cores.
+LARGE = 8
 STRICT_JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
@@ -38,12 +40,12 @@ def read_csv(
     declared columns, and a row that does not fit fails the job (`mode="PERMISSIVE"` for nulls
     instead). If all columns are STRING, as in a raw load, an empty field is the empty text; with typed
     columns it is null. In such files a quote inside a quoted field is doubled, as warehouses load them; inferred
-    files keep Spark's backslash. Quoted line breaks need `multi_line`. If a file is then larger than one
-    split, or with `split`, all files are cut into records by many tasks first (`sources.records`; lines end
+    files keep Spark's backslash. Quoted line breaks need `multi_line`. If a file is then larger than
+    LARGE splits, or with `split`, all files are cut into records by many tasks first (`sources.records`; lines end
     with a line feed) and staged in the shared folder; without it Spark reads each file by one task.
     """
     reader = spark.read.option("header", header).option("sep", sep).option("multiLine", multi_line)
-    split = multi_line and (_larger_than_a_split(spark, path) if split is None else split)
+    split = multi_line and (_has_large_file(spark, path) if split is None else split)
     if schema is None:
         if split:
             return _inferred_records(_csv_records(spark, path, sep, "\\", header), header, sep, mode or "PERMISSIVE")
@@ -59,9 +61,10 @@ def read_csv(
     return rows.na.fill("", subset=fields.names) if raw else rows
 
 
-def _larger_than_a_split(spark: SparkSession, path: str | list[str]) -> bool:
-    """Whether a file has more bytes than Spark gives to one task. One that has not is read by one task anyway."""
-    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+def _has_large_file(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether a file is so large that cutting it up, some thirty times the work of one task that parses it as it
+    comes, is still done sooner on a cluster."""
+    limit = LARGE * spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     listed = spark.read.format("binaryFile").load(path)
     if int(str(listed._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit:
         return False

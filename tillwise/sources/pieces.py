@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, DataFrameReader, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -77,6 +78,14 @@ class Records:
             if self.bytes > BATCH_BYTES:
                 yield self.batch()
 
+    def whole(self, split: pa.RecordBatch, found: pa.Array) -> pa.RecordBatch:
+        """Whole records of one split; they do not say of which file, which is most of what is written otherwise."""
+        fixed = {"value": found, FILE: pa.nulls(len(found), pa.string()), KIND: pa.array(np.zeros(len(found), np.int32)), END: pa.array(np.zeros(len(found), bool))}
+        columns = [
+            fixed[f.name] if f.name in fixed else pa.repeat(split.column(f.name)[0], len(found)).cast(f.type) for f in self.schema
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=self.schema)
+
     def batch(self) -> pa.RecordBatch:
         sizes = [len(found) for _, found, _, _ in self.rows]
         columns = []

@@ -7,8 +7,10 @@ bit, flips it or sets it, and so does a row of splits.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -50,7 +52,8 @@ def cut(lines: DataFrame, sep: str, escape: str, header: bool) -> DataFrame:
 
 def records(staged: DataFrame) -> DataFrame:
     """Whole records, headers among them."""
-    return whole_records(staged)
+    last = F.expr("CASE WHEN endswith(value, '\\n') THEN left(value, length(value) - 1) ELSE value END")
+    return whole_records(staged).withColumn("value", last)
 
 
 def parsed(records: DataFrame, schema: str, options: dict[str, str]) -> DataFrame:
@@ -87,18 +90,53 @@ def _ends_inside(line: bytes, inside: bool, sep: bytes, escape: bytes) -> bool:
             return False
 
 
+def _states(lines: pa.Array, inside: bool, sep: bytes, escape: bytes) -> np.ndarray:
+    """For each line of a batch, whether it ends inside a quoted field.
+
+    Where fields are quoted as a writer quotes them, every quote turns the state over; patterns prove that for all
+    lines of the batch at once. Otherwise the lines with quotes are walked one after the other."""
+    quotes = pc.count_substring(lines, b'"').to_numpy(zero_copy_only=False)
+    after = (np.cumsum(quotes) + inside) % 2 == 1
+    quoted = np.flatnonzero(quotes)
+    if not len(quoted):
+        return after
+    if escape == b'"':
+        before = np.concatenate([[inside], after[:-1]])[quoted]
+        inner, plain = rb'(?:[^"]|"")*', rb'[^"' + re.escape(sep) + rb"]*"
+        fields = rb'(?:(?:"' + inner + rb'"|' + plain + rb")" + re.escape(sep) + rb')*(?:"' + inner + rb'"?|' + plain + rb")"
+        some = lines.take(pa.array(quoted))
+        outer_ok = pc.match_substring_regex(some, rb"^" + fields + rb"$").to_numpy(zero_copy_only=False)
+        inner_ok = pc.match_substring_regex(some, rb"^" + inner + rb'(?:"(?:' + re.escape(sep) + fields + rb")?)?$").to_numpy(zero_copy_only=False)
+        if np.where(before, inner_ok, outer_ok).all():
+            return after
+    after[:] = inside
+    for at, line in zip(quoted.tolist(), lines.take(pa.array(quoted)).to_pylist()):
+        inside = _ends_inside(line, inside, sep, escape)
+        after[at:] = inside
+    return after
+
+
 def _look(batches: Iterator[pa.RecordBatch], sep: bytes, escape: bytes) -> Iterator[pa.RecordBatch]:
     """Where each split ends, inside a field or not, for one that starts outside and one that starts inside."""
     rows = []
     for batch, first, last in by_split(batches):
-        if first:
-            state = [False, True]
-            crlf = batch.column("value")[0].as_py().endswith(b"\r")
         lines = batch.column("value")
-        for line in lines.filter(pc.match_substring(lines, b'"')).to_pylist():
-            state = [_ends_inside(line, s, sep, escape) for s in state]
+        if first:
+            outer, inner = False, True
+            crlf = lines[0].as_py().endswith(b"\r")
+        after = _states(lines, outer, sep, escape)
+        if inner == outer:
+            inner = bool(after[-1])
+        else:
+            # the two seldom stay apart for long
+            for at in np.flatnonzero(pc.match_substring(lines, b'"').to_numpy(zero_copy_only=False)).tolist():
+                inner = _ends_inside(lines[at].as_py(), inner, sep, escape)
+                if inner == after[at]:
+                    inner = bool(after[-1])
+                    break
+        outer = bool(after[-1])
         if last:
-            rows.append((batch.column(FILE)[0].as_py(), batch.column(BLOCK)[0].as_py(), *map(int, state), crlf))
+            rows.append((batch.column(FILE)[0].as_py(), batch.column(BLOCK)[0].as_py(), int(outer), int(inner), crlf))
     types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
     columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
     yield pa.RecordBatch.from_arrays(columns, names=[FILE, BLOCK, "from0", "from1", "crlf"])
@@ -109,38 +147,38 @@ def _cut(
 ) -> Iterator[pa.RecordBatch]:
     out = None
     for batch, first, last in by_split(batches):
+        lines = batch.column("value")
         if out is None:
             names = [*kept, FILE, BLOCK, "value", KIND, END]
             out = Records(pa.schema([batch.schema.field(n) if n in kept else fixed.field(n) for n in names]))
         if first:
             inside = torn = bool(batch.column("_inside")[0].as_py())
-            open_lines: list[bytes] = []
-            crlf = batch.column("_crlf")[0].as_py()
+            rest, crlf = b"", batch.column("_crlf")[0].as_py()
             named = not header or batch.column(BLOCK)[0].as_py() != 0
-        found = []
-        for line in batch.column("value").to_pylist():
-            if b'"' in line:
-                inside = _ends_inside(line, inside, sep, escape)
-            if inside:
-                open_lines.append(line)
-                continue
-            if open_lines:
-                line, open_lines = b"\n".join([*open_lines, line]), []
-            if crlf:
-                line = line.removesuffix(b"\r").replace(b"\r\n", b"\n")
-            if torn:
-                yield from out.add(batch, [line], HEAD)
-                torn = False
-            elif line:
-                if named:
-                    found.append(line)
-                else:
-                    named = True
-                    yield from out.add(batch, [line], end=True)
-        yield from out.add(batch, found)
-        if last and (inside or torn):
-            text = b"".join(line + b"\n" for line in open_lines)  # a record that the file cuts off keeps its last one
-            text = text.replace(b"\r\n", b"\n") if crlf else text
-            yield from out.add(batch, [text], THROUGH if torn else TAIL, end=not named)
+        after = _states(lines, inside, sep, escape)
+        inside = bool(after[-1])
+        lengths = pc.binary_length(lines).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        text = rest + b"\n".join(lines.to_pylist()) + b"\n"
+        if crlf:
+            lengths -= pc.ends_with(lines, b"\r").to_numpy(zero_copy_only=False)
+            text = text.replace(b"\r\n", b"\n")
+        # records end with the line feed behind them
+        ends = (len(rest) + np.cumsum(lengths))[~after]
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        rest = text[offsets[-1] :]
+        found = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+        if torn and len(found):
+            yield from out.add(batch, [found[0].as_py()], HEAD)
+            found, torn = found.slice(1), False
+        found = found.filter(pc.greater(pc.binary_length(found), 1))
+        if not named and len(found):
+            yield from out.add(batch, [found[0].as_py()], end=True)
+            found, named = found.slice(1), True
+        if len(found):
+            yield out.whole(batch, found)
+        if last and rest:
+            yield from out.add(batch, [rest], THROUGH if torn else TAIL, end=not named)
+        elif last and torn:
+            yield from out.add(batch, [rest], THROUGH)
     if out is not None and out.rows:
         yield out.batch()
