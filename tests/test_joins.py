@@ -195,13 +195,64 @@ def test_sample_size_does_not_grow_with_the_table(spark, tmp_path):
     assert 10**12 * share < 10 * joins.SAMPLE_PER_PARTITION * parts
 
 
-def test_key_that_is_hot_on_both_sides(spark, no_broadcast, monkeypatch):
-    from tillwise.operators import joins
+def both_hot(spark, n=3000, m=900):
+    """A third of either side under key 1; null is hot on both sides as well, and the right side has copies."""
+    left = facts(spark, n)
+    key = F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 6 == 1, F.lit(None)).otherwise(F.col("id") % 70)
+    return left, spark.range(m).select(key.cast("bigint").alias("d"), (F.col("id") % 40).alias("v"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_key_that_is_hot_on_both_sides(spark, no_broadcast, monkeypatch, how, null_safe):
+    monkeypatch.setattr(joins, "MOST_REPEATED", 100)
+    monkeypatch.setattr(joins, "SMALL_LEFT", 0)
+    left, right = both_hot(spark)
+    cond = F.col("k").eqNullSafe(F.col("d")) if null_safe else F.col("k") == F.col("d")
+    got = skew_join(left, right, ("k", "d"), how, null_safe=null_safe)
+    assert "_left_column" in got._jdf.queryExecution().toString()
+    assert got.columns == left.join(right, cond, how).columns
+    assert rows(got) == rows(left.join(right, cond, how))
+
+
+def test_left_rows_of_a_grid_without_a_match_come_out_once(spark, no_broadcast, monkeypatch):
+    """The hash of a key is in the grid, the key itself is not on the right."""
+    left, right = both_hot(spark, 600, 300)
+    grid = {h: (4, 2) for h in hot_hashes(spark)}
+    monkeypatch.setattr(joins, "_one_sided", lambda *_: ({}, grid))
+    monkeypatch.setattr(joins, "few_rows", lambda _: False)
+    monkeypatch.setattr(joins, "find_hot_keys", lambda *_: {1: 2})
+    without = right.filter("d <> 1 OR d IS NULL")
+    for null_safe in (False, True):
+        cond = F.col("k").eqNullSafe(F.col("d")) if null_safe else F.col("k") == F.col("d")
+        got = skew_join(left, without, ("k", "d"), "left", null_safe=null_safe)
+        assert rows(got) == rows(left.join(without, cond, "left"))
+
+
+def test_tasks_of_a_key_hot_on_both_sides_are_even(spark, no_broadcast, monkeypatch):
+    monkeypatch.setattr(joins, "MOST_REPEATED", 100)
+    monkeypatch.setattr(joins, "SMALL_LEFT", 0)
+    left, right = both_hot(spark, 20000, 6000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = skew_join(left, right, ("k", "d"))
+        found = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    made = sorted(r["count"] for r in found)
+    assert sum(made) == left.join(right, F.col("k") == F.col("d")).count() > 13_000_000
+    busy = made[-8:]  # the tasks of the hot key; those of the other keys follow in a union
+    assert busy[-1] <= 3 * busy[3]
+
 
+def test_cells_follow_the_sizes_of_both_sides(spark, monkeypatch):
     monkeypatch.setattr(joins, "MOST_REPEATED", 100)
-    left = spark.range(9000).selectExpr("if(id % 3 = 0, -1, id) as k", "id as row")
-    right = spark.range(300).selectExpr("if(id < 60, -1, id) as d", "id as name")
-    hot = joins.find_hot_keys(left, F.xxhash64("k"), 1.0)
-    assert max(hot.values()) >= 8 and joins._affordable(hot, right, F.xxhash64("d")) == {}
-    want = left.join(right, F.col("k") == F.col("d"))
-    assert rows(skew_join(left, right, ("k", "d"))) == rows(want)
+    right = spark.range(1000).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("d"))
+    key = right.select(F.xxhash64("d")).first()[0]
+    few = joins._one_sided({key: 16}, 100, right, F.xxhash64("d"))
+    many = joins._one_sided({key: 16}, 10_000_000, right, F.xxhash64("d"))
+    assert few[0] == many[0] == {}
+    for _, grid in (few, many):
+        assert grid[key][0] * grid[key][1] == 16 * joins.CELLS
+    assert many[1][key][1] < few[1][key][1]
+    assert joins._one_sided({key: 16, 99: 8}, 100, right.filter("d > 1"), F.xxhash64("d")) == ({key: 16, 99: 8}, {})

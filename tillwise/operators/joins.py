@@ -8,6 +8,7 @@ the table, and its answer is kept for the same table and key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +19,11 @@ SAMPLE_PER_PARTITION = 400
 MIN_HITS = 10
 # Rows of a left side that need no spreading.
 SMALL_LEFT = 1_000_000
-# Right-hand rows of one hot key that may be repeated; beyond it the key is split into fewer pieces.
+# Right-hand rows of one hot key that may be repeated; beyond it both sides of the key are split.
 MOST_REPEATED = 100_000
+# Cells of a key that is split on both sides, per piece that its left side alone would get: a cell holds few rows but
+# makes many, and several small cells a task are more even than one large one.
+CELLS = 4
 # Pieces per average partition: several small pieces spread more evenly than one large piece.
 PIECES = 4
 INTEGERS = {"tinyint", "smallint", "int", "bigint"}
@@ -49,8 +53,10 @@ def skew_join(
     instead of `left`: the table that brings the key, if `left` is itself a join. `hot` gives known hot
     keys, as `find_hot_keys` returns them.
     If the right side is below Spark's broadcast threshold there is nothing to spread, as it needs no
-    shuffle; nor if the left side has so few rows that one task can have them all. A key that is hot on the right as well is split into so few pieces that at most
-    MOST_REPEATED right-hand rows are repeated; what is left is up to Spark's own skew splitting.
+    shuffle; nor if the left side has so few rows that one task can have them all. A key that is hot on the right as
+    well, so that more than MOST_REPEATED rows would be repeated, is split on both sides: its left rows into r pieces,
+    its right rows into c, and each of the r x c cells joins one piece of either side. A left row is then sent
+    c times and a right row r times, with r and c chosen so that both sides together are sent least.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
@@ -73,7 +79,19 @@ def skew_join(
     if hot is None:
         keyed = left if keys_from is None else keys_from
         idle = fits_broadcast(right) or few_rows(keyed)
-        hot = {} if idle else _affordable(find_hot_keys(keyed, lhash), right, rhash)
+        found = {} if idle else find_hot_keys(keyed, lhash)
+        hot, grid = _one_sided(found, estimated_rows(keyed) if found else 0, right, rhash)
+    else:
+        grid = {}
+    if grid:
+        # All keys of a side whose hash is in the grid go this way, whatever they are.
+        in_grid = [F.coalesce(h.isin(list(grid)), F.lit(False)) for h in (lhash, rhash)]
+        cells = _grid_join(left.filter(in_grid[0]), right.filter(in_grid[1]), matches(), lhash, rhash, grid)
+        if how == "left":
+            keys = right.filter(in_grid[1]).select(*rkeys).distinct()
+            alone = left.filter(in_grid[0]).join(keys, matches(), "left_anti")
+            cells = cells.unionByName(alone.select("*", *(F.lit(None).cast(t).alias(c) for c, t in right.dtypes)))
+        left, right = left.filter(~in_grid[0]), right.filter(~in_grid[1])
     if not hot:
         joined = left.join(right, matches(), how)
     else:
@@ -90,6 +108,8 @@ def skew_join(
         salted_left = left.withColumn(_L, F.when(lways > 1, piece).otherwise(F.lit(0)))
         salted_right = right.withColumn(_R, F.explode(copies))
         joined = salted_left.join(salted_right, matches() & (F.col(_L) == F.col(_R)), how).drop(_L, _R)
+    if grid:
+        joined = joined.unionByName(cells)
     return joined.drop(*renamed.values())
 
 
@@ -150,14 +170,43 @@ _WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "floa
 _WIDTHS |= {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
 
 
-def _affordable(hot: dict[int, int], right: DataFrame, right_hash: Column) -> dict[int, int]:
-    """Fewer pieces for keys of which the right side has many rows."""
+def _one_sided(
+    hot: dict[int, int], left_rows: int, right: DataFrame, right_hash: Column
+) -> tuple[dict[int, int], dict[int, tuple[int, int]]]:
+    """Pieces of the hot keys with few rows on the right, and (r, c) of the others."""
     if not hot:
-        return hot
+        return {}, {}
+    parts = int(right.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = right.select(right_hash.alias("h"))
     held = {r.h: r["count"] for r in hashed.where(F.col("h").isin(list(hot))).groupBy("h").count().collect()}
-    cut = {h: min(ways, max(1, MOST_REPEATED // max(held.get(h, 0), 1))) for h, ways in hot.items()}
-    return {h: 1 << (ways.bit_length() - 1) for h, ways in cut.items() if ways > 1}
+    single, grid = {}, {}
+    for key, ways in hot.items():
+        many = held.get(key, 0)
+        if ways * many <= MOST_REPEATED:
+            single[key] = ways
+        else:
+            cells, few = ways * CELLS, max(1, left_rows * ways // (2 * PIECES * parts))
+            columns = min(cells, 1 << max(0, round(math.log2(cells * many / few) / 2)))
+            grid[key] = (cells // columns, columns)
+    return single, grid
+
+
+def _grid_join(
+    left: DataFrame, right: DataFrame, matches: Column, lhash: Column, rhash: Column, grid: Mapping[int, tuple[int, int]]
+) -> DataFrame:
+    """Inner join in which each row meets every piece of the other side in a cell of its own."""
+    rows, columns = ({h: size[k] for h, size in grid.items()} for k in (0, 1))
+
+    def spread(df: DataFrame, key: Column, own: Mapping[int, int], other: Mapping[int, int], names: list[str]) -> DataFrame:
+        piece = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns), F.spark_partition_id()), _ways(key, own))
+        # the coalesce only tells the optimizer that a piece is never null
+        marked = df.withColumn(names[0], F.coalesce(piece, F.lit(0)).cast("int"))
+        return marked.withColumn(names[1], F.explode(F.sequence(F.lit(0), _ways(key, other) - 1)))
+
+    lefts = spread(left, lhash, rows, columns, ["_left_row", "_left_column"])
+    rights = spread(right, rhash, columns, rows, ["_right_column", "_right_row"])
+    same_cell = (F.col("_left_row") == F.col("_right_row")) & (F.col("_left_column") == F.col("_right_column"))
+    return lefts.join(rights, matches & same_cell).drop("_left_row", "_left_column", "_right_row", "_right_column")
 
 
 def _ways(key_hash: Column, hot: Mapping[int, int]) -> Column:

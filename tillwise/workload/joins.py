@@ -42,6 +42,21 @@ def join_select(spark, sf_dir):
     return joined.select("o_orderkey", "o_custkey", "c_name", "o_totalprice", "c_mktsegment")
 
 
+@query("""
+SELECT p.user_id, count(*) AS pairs, count(DISTINCT p.event_id) AS purchases, max(v.value) AS most
+FROM events p JOIN events v ON p.user_id = v.user_id AND v.event_type = 'view'
+WHERE p.event_type = 'purchase' GROUP BY 1
+""")
+def join_many_to_many(spark, sf_dir):
+    """All purchases of a user with all views: a user with many of both is hot on both sides."""
+    events = table(spark, sf_dir, "events")
+    bought = events.filter("event_type = 'purchase'").select("user_id", "event_id")
+    seen = events.filter("event_type = 'view'").select("user_id", "value")
+    return skew_join(bought, seen, "user_id").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("pairs"), F.count_distinct("event_id").alias("purchases"), F.max("value").alias("most")
+    )
+
+
 @query("""
 SELECT a.o_orderkey, a.o_totalprice, b.o_orderpriority AS priority
 FROM orders a JOIN orders b ON a.o_orderkey = b.o_orderkey
