@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwise.plans import clickstream, retail
 from tillwise.session import shared_dir
+from tillwise.sinks import versions
 from tillwise.sinks.files import write_parquet
 from tillwise.sinks.tables import append_table, load_partitioned, replace_table, truncate_table
 from tillwise.sources.files import read_parquet, read_table
@@ -107,6 +108,25 @@ def replace_partitioned(spark, sf_dir):
     return versions[0].unionByName(versions[1]).unionByName(versions[2])
 
 
+@query("""
+SELECT 'days' AS version, event_type, cast(ts AS date) AS day, count(*) AS n FROM events GROUP BY 2, 3
+UNION ALL SELECT 'types', event_type, NULL, count(*) FROM events GROUP BY 2
+""")
+def published_versions(spark, sf_dir):
+    """A published name: partitioned by day, then without days, partitioned by type, computed from the first."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("date").alias("day"))
+    name, place, kept = fresh_table(spark, "published"), shared_dir(spark, "published"), shared_dir(spark, "published-days")
+    # a name of this run: a published name of another one would be a view, which fresh_table does not drop
+    name += place.rsplit("-", 1)[-1]
+    versions.publish(events, name, place, "day", ["event_id"])
+    days = read_table(spark, name).groupBy("event_type", "day").agg(F.count(F.lit(1)).alias("n"))
+    write_parquet(days.select(F.lit("days").alias("version"), "event_type", "day", "n"), kept)
+    versions.publish(read_table(spark, name).drop("day"), name, place, "event_type")
+    types = read_table(spark, name).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    nothing = F.lit(None).cast("date").alias("day")
+    return read_parquet(spark, kept).unionByName(types.select(F.lit("types").alias("version"), "event_type", nothing, "n"))
+
+
 @query("""
 SELECT strftime(ts, '%Y-%m-%d') AS event_date, json_extract_string(props, '$.k') AS product_id,
        'purchase' AS kind, count(*) AS n
