@@ -7,7 +7,7 @@ import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tillwise.llm import ngram_join as nj
+from tillwise.llm import link_counts, ngram_join as nj
 from tillwise.llm.components import components
 
 
@@ -173,3 +173,37 @@ def test_every_link_of_special_rows_and_null_ids(spark):
     bridge = [(1, words), (None, words[5:] + ["x"] * 5), (2, words[10:] + ["x"] * 10)]
     df = spark.createDataFrame([(i, " ".join(w)) for i, w in bridge], "doc_id long, text string")
     assert check_all(spark, df, 1, 90, 100) == [1, 2, 1]
+
+
+def test_a_null_id_links_two_others(spark):
+    words = rows.words(random.Random(13), 100, 10**6).split()
+    bridge = [(1, words), (None, words[5:] + ["x"] * 5), (2, words[10:] + ["x"] * 10)]
+    check(spark, [(i, " ".join(w)) for i, w in bridge], 1, 90, 100)
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_links_of_a_large_component_over_blocks(spark, monkeypatch, block):
+    """Near copies in a chain: many are linked, many of one component are not."""
+    monkeypatch.setattr(link_counts, "BLOCK", block)
+    rng = random.Random(14)
+    words = rows.words(rng, 90, 10**6).split()
+    texts = []
+    for i in range(60):
+        words = list(words)
+        for _ in range(rng.randrange(3)):
+            words[rng.randrange(len(words))] = f"c{rng.randrange(10**6)}"
+        texts.append((i, " ".join(words)))
+    links = check_all(spark, spark.createDataFrame(texts, "doc_id long, text string"), 2, 80, 100)
+    assert max(links) < 59 and min(links) > 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.frozensets(st.integers(0, 30), max_size=12), min_size=1, max_size=20), st.lists(st.frozensets(st.integers(0, 30), max_size=12), min_size=1, max_size=20), st.sampled_from([3, 1 << 22]))
+def test_shared_elements_of_two_blocks(left, right, pairs):
+    arrays = [[np.array(sorted(s), np.uint64) for s in side] for side in (left, right)]
+    before, link_counts.PAIRS = link_counts.PAIRS, pairs
+    try:
+        found = link_counts._shared(*arrays)
+    finally:
+        link_counts.PAIRS = before
+    assert found.tolist() == [[len(a & b) for b in right] for a in left]

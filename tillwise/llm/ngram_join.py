@@ -19,10 +19,11 @@ In the others, blocks of sets of different components meet, and only pairs come
 profiles (counts of hashes in 256 cells) nor their distances to the least set rule out (the number of
 differing shingles is a metric); these are compared exactly.
 
-`link_all` wants every link: all sets of a signature meet, whatever their components, and pairs that
-distances to the least set neither rule out nor prove are compared exactly.
+`link_all` wants the number of every row's links as well. It counts them inside the components (`llm.link_counts`),
+where each two sets meet once, in blocks, and no row per pair is written.
 
-Equal sets are one class and enter once. Shingles are 64-bit hashes: two different shingles
+Equal sets are one class and enter once. A node is the 64-bit hash of a class's text; texts that share
+a hash are told apart by the digests of their sets, and a node that stands for two of them is compared by both. Shingles are 64-bit hashes: two different shingles
 within one compared pair of a million shingles are taken as equal with a chance below 10^-7.
 """
 
@@ -37,6 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm import link_counts
 from tillwise.llm.columns import WordIds
 from tillwise.llm.components import components
 from tillwise.session import shared_dir
@@ -46,6 +48,7 @@ COSTLY = 1024  # sets under one signature from which deletion neighbourhoods are
 PROFILE = 256  # cells of a set's profile
 BLOCK = 256  # sets of a signature that are compared with as many others in one place
 OPEN = 1 << 40  # more shingles than any set has
+RECORDS = 500  # rows of an Arrow batch, for rows may hold two sets of shingles
 BITMAP = 24  # log2 of the bits of the id filter: at most 2^18 rows of 64 bits are broadcast
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -194,12 +197,14 @@ def _sketched(words: int, bands: Bands):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        part.column(2),
+                        part.column(3),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                         pa.array([profile(s) for s in sets], pa.binary()),
                         _lists([signatures(s, bands) if len(s) else s for s in sets]),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "profile", "signatures"],
+                    names=["node", "own_id", "row", "n_shingles", "digest", "profile", "signatures"],
                 )
 
     return run
@@ -399,24 +404,28 @@ class _Join:
     def written(self, df: DataFrame, name: str) -> DataFrame:
         self.tables += 1
         path = f"{self.folder}/{self.tables}-{name}"
-        df.write.parquet(path)
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, RECORDS)
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(setting, before)
         return self.spark.read.parquet(path)
 
     def labels(self, edges: DataFrame) -> DataFrame:
         self.tables += 1
         return components(edges, f"{self.folder}/{self.tables}-components")
 
-    def members(self, index: DataFrame, repeats: bool = False) -> DataFrame:
-        """(signature, node, hub) of the signatures that two nodes or more have; the hub is the least.
-        Rows of the index may repeat if `repeats` says so."""
+    def members(self, index: DataFrame) -> DataFrame:
+        """(signature, node, hub) of the signatures that two nodes or more have; the hub is the least."""
         shared = (
             index.groupBy("signature")
             .agg(F.min("node").alias("hub"), F.max("node").alias("top"))
             .where("hub < top")
             .drop("top")
         )
-        found = index.join(shared, "signature")
-        return self.written(found.distinct() if repeats else found, "members")
+        return self.written(index.join(shared, "signature"), "members")
 
     def nodes(self, pairs: DataFrame) -> DataFrame:
         return self.written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
@@ -424,7 +433,8 @@ class _Join:
     def sets_of(self, nodes: DataFrame) -> DataFrame:
         """(node, shingles) of the nodes, from their texts."""
         return self.written(
-            only_ids(self.texts, "doc_id", nodes)
+            only_ids(self.texts, "node", nodes)
+            .select("node", "text")
             .mapInArrow(_set_rows(self.words), "node long, digest binary, shingles binary")
             .dropDuplicates(["node", "digest"])
             .drop("digest"),
@@ -474,13 +484,10 @@ class _Join:
     def with_hub(self, members: DataFrame) -> DataFrame:
         return members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
-    def open_members(self, members: DataFrame, to_hub: DataFrame, edges: DataFrame | None) -> DataFrame:
+    def open_members(self, members: DataFrame, to_hub: DataFrame, edges: DataFrame) -> DataFrame:
         """Members, but hubs, of signatures with two components or more: with their component, the
-        signature's largest, their size, and their distance to the hub. Without edges every node is a
-        component of its own."""
-        labelled = members.withColumn("component", F.col("node")) if edges is None else members.join(
-            self.labels(edges), "node", "left"
-        ).withColumn("component", F.coalesce("component", "node"))
+        signature's largest, their size, and their distance to the hub."""
+        labelled = members.join(self.labels(edges), "node", "left").withColumn("component", F.coalesce("component", "node"))
         largest = (
             labelled.groupBy("signature", "component")
             .agg(F.count(F.lit(1)).alias("share"))
@@ -539,37 +546,37 @@ def _with_hubs(costly: DataFrame, members: DataFrame) -> DataFrame:
     return members.join(costly.select("signature").distinct(), "signature", "left_semi").select("node").distinct()
 
 
-def _edges(join: _Join, every: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sketches of all rows, (digest, node) of the classes of equal sets, and links (a, b) between nodes:
-    as many as the components need, or every one (some of them more than once)."""
+def _edges(join: _Join) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of all rows, (digest, node) of the classes of equal sets, and links (a, b) between nodes, as many as
+    the components need."""
     words, num, den = join.words, join.num, join.den
     bands = Bands(num, den)
     sketches = join.written(
-        join.texts.mapInArrow(
+        join.texts.select("node", "text", "own_id", F.monotonically_increasing_id().alias("row")).mapInArrow(
             _sketched(words, bands),
-            "doc_id long, n_shingles long, digest binary, profile binary, signatures array<long>",
+            "node long, own_id long, row long, n_shingles long, digest binary, profile binary, signatures array<long>",
         ),
         "sketches",
     )
-    named = sketches.where("n_shingles > 0 and doc_id is not null")
-    classes = named.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    filled = sketches.where("n_shingles > 0")
+    classes = filled.groupBy("digest").agg(F.min(F.struct("node", "row")).alias("first")).select("digest", "first.*")
+    # one row of each class goes on
+    chosen = classes.select(F.col("digest").alias("class_digest"), F.col("row").alias("class_row"))
     copies = (
-        named.select("doc_id", "digest")
-        .join(classes, "digest")
-        .where("doc_id <> node")
-        .select(F.col("doc_id").alias("node"), F.col("digest").alias("copied"))
+        filled.select("row", "digest")
+        .join(chosen, F.col("digest") == F.col("class_digest"))
+        .where("row <> class_row")
+        .select(F.col("row").alias("node"))
     )
-    # an id that stands for another text of its own as well is not left out
-    copies = copies.join(classes, "node", "left_anti").select("node").distinct()
-    first = without_ids(named, "doc_id", join.written(copies, "copies")).withColumnRenamed("doc_id", "node")
+    first = without_ids(filled, "row", join.written(copies, "copies"))
     join.profiles = first.select("node", "n_shingles", "profile")
     index = first.select("node", F.explode("signatures").alias("signature"))
-    members = join.members(index, every)
+    members = join.members(index)
     linked = lambda pairs: pairs.where("linked").select("a", "b")
     to_hub = join.distances(join.with_hub(members))
     edges = linked(to_hub)
 
-    left = join.open_members(members, to_hub, None if every else edges)
+    left = join.open_members(members, to_hub, edges)
     met = join.crossing(left.where(F.col("held") <= COSTLY))
     edges = edges.unionByName(join.proven(met))
     costly = left.where(F.col("held") > COSTLY)
@@ -582,9 +589,37 @@ def _edges(join: _Join, every: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
         # all distances to the hub, near or not: they rule out most of the pairs to come
         to_hub = join.distances(join.with_hub(again), sets, exact=True)
         edges = edges.unionByName(linked(to_hub))
-        left = join.open_members(again, to_hub, None if every else edges)
+        left = join.open_members(again, to_hub, edges)
         edges = edges.unionByName(join.proven(join.crossing(left), sets))
-    return sketches, classes, edges
+    return sketches, classes.drop("row"), edges
+
+
+def _linked(docs: DataFrame, words: int, num: int, den: int, counted: bool) -> DataFrame:
+    text = F.col("text").cast("binary").alias("text")
+    join = _Join(docs.select(F.xxhash64("text").alias("node"), text, F.col("doc_id").alias("own_id")), words, num, den)
+    sketches, classes, edges = _edges(join)
+    sizes = sketches.where("n_shingles > 0").groupBy("digest").agg(F.count(F.lit(1)).alias("size"), F.min("own_id").alias("least"))
+    placed = classes.join(join.labels(edges), "node", "left").join(sizes, "digest").select(
+        "digest", "node", F.coalesce("component", "node").alias("component"), "size", "least", F.col("component").isNotNull().alias("joined")
+    )
+    placed = join.written(placed, "placed")
+    names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_class = placed.join(names, "component")
+    links = []
+    if counted:
+        # texts that share a hash are one node in the components; their own sets are counted by both
+        weights = placed.where("joined").groupBy("node", "component").agg(F.sum("size").alias("weight"))
+        differing = join.written(link_counts.differences(join.sets_of(weights.select("node")), weights), "differences")
+        others = join.written(link_counts.others(differing, num, den), "others")
+        of_class = of_class.join(others, "node", "left")
+        links = [F.when(F.col("n_shingles") > 0, F.col("size") - 1 + F.coalesce("others", F.lit(0))).otherwise(0).cast("long").alias("n_links")]
+    of_class = of_class.drop("node").withColumnRenamed("digest", "class_digest")
+    return sketches.join(of_class, F.col("digest") == F.col("class_digest"), "left").select(
+        F.col("own_id").alias("doc_id"),
+        "n_shingles",
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("own_id")).alias("component_id"),
+        *links,
+    )
 
 
 def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -594,62 +629,14 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
     Jaccard similarity of num / den or more; component_id is the least doc_id reachable by links. A
     text of fewer words has its whole sequence as its only shingle; null, empty and blank texts have
     no shingles and are linked with nothing. Every row is judged by its own text, also if rows
-    repeat a doc_id; rows with a null doc_id are linked like others but name no component (a
-    component of null ids only is null). Extra columns are not looked at. An empty table gives no rows.
+    repeat a doc_id; rows with a null doc_id are linked like others, also between two others, but name no
+    component (a component of null ids only is null). Extra columns are not looked at. An empty table
+    gives no rows.
     """
-    join = _Join(docs.select("doc_id", F.col("text").cast("binary").alias("text")), words, num, den)
-    sketches, classes, edges = _edges(join, every=False)
-    found = join.labels(edges)
-    of_class = classes.join(found, "node", "left").select(
-        F.col("digest").alias("class_digest"), F.coalesce("component", "node").alias("component")
-    )
-    return sketches.join(of_class, F.col("digest") == F.col("class_digest"), "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    return _linked(docs, words, num, den, counted=False)
 
 
 def link_all(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) for every row of `docs`: as `link`, and with how many
-    other rows the row is linked, copies included.
-
-    Every pair of different sets that share a signature and may be similar is compared, and texts are
-    nodes by their 64-bit hash and not by doc_id: so texts of a repeated or null id have links of their
-    own, and those with a null id also link others.
-    """
-    key = F.xxhash64("text")
-    texts = docs.select(key.alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    join = _Join(texts, words, num, den)
-    sketches, classes, edges = _edges(join, every=True)
-    links = join.written(edges.distinct(), "links")
-    of_key = (
-        sketches.select(F.col("doc_id").alias("key"), "n_shingles", "digest")
-        .distinct()
-        .join(classes, "digest", "left")
-        .select("key", "n_shingles", "node")
-    )
-    placed = join.written(docs.select("doc_id", key.alias("key")).join(of_key, "key").drop("key"), "placed")
-    sizes = placed.where("node is not null").groupBy("node").agg(
-        F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least")
-    )
-    sizes = join.written(sizes, "sizes")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = (
-        both.join(sizes.select(F.col("node").alias("b"), "size"), "b")
-        .groupBy(F.col("a").alias("node"))
-        .agg(F.sum("size").alias("others"))
-    )
-    labelled = sizes.join(join.labels(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_node = (
-        labelled.join(named, "component")
-        .join(others, "node", "left")
-        .select("node", "component_id", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    )
-    return placed.join(of_node, "node", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-    )
+    other rows the row is linked, copies included."""
+    return _linked(docs, words, num, den, counted=True)
