@@ -6,7 +6,7 @@ and read again as the next stage's `docs`. All stages but the last return the co
 What becomes of special rows, stage by stage: null and blank texts go with the quality rules. Rows that
 repeat a doc_id with one text are one document from the third stage on; with different texts they
 are different documents. Rows with a null doc_id pass the second and third stage as they are, for
-nothing can name them. Extra columns are carried along to the mix.
+nothing can name them; they still link others in the third. Extra columns are carried along to the mix.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import line_dedup, mixing, ngram_join, pieces, quality
-from tillwise.llm.columns import WORD
+from tillwise.llm.columns import WORD, free_name
 from tillwise.session import shared_dir
 
 
@@ -36,10 +36,11 @@ def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8 the one with the least id."""
     links = ngram_join.link(docs)
-    stay = links.where("doc_id = component_id").select(F.col("doc_id").alias("stay_id")).distinct()
-    named = docs.where("doc_id is not null").join(stay, F.col("doc_id") == F.col("stay_id"), "left_semi")
-    digest = F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull())
-    once = named.withColumn("stay_digest", digest).dropDuplicates(["doc_id", "stay_digest"]).drop("stay_digest")
+    stay_id, digest = free_name(docs, "stay_id"), free_name(docs, "stay_digest")
+    stay = links.where("doc_id = component_id").select(F.col("doc_id").alias(stay_id)).distinct()
+    named = docs.where("doc_id is not null").join(stay, F.col("doc_id") == F.col(stay_id), "left_semi")
+    marked = named.withColumn(digest, F.sha2(F.concat(F.col("text").isNull().cast("string"), F.coalesce("text", F.lit(""))), 256))
+    once = marked.dropDuplicates(["doc_id", digest]).drop(digest)
     return once.unionByName(docs.where("doc_id is null"))
 
 

@@ -106,3 +106,14 @@ def test_one_of_each_group_keeps_different_texts_of_one_id(spark):
     got = cp.one_of_each_group(spark, df, "").collect()
     assert sorted(map(str, map(tuple, got))) == ["(1, 'a b c d e f')", "(1, 'other words of it')", "(None, 'x')"]
     assert ngram_join.link(df).count() == 5
+
+
+def test_stages_keep_columns_with_any_name(spark):
+    names = "stay_id stay_digest gone_id GONE_digest gone_kept gone_lines kept best found_host removed_lines node own_id row digest component"
+    df = spark.createDataFrame(corpus()[:30], COLUMNS)
+    for name in names.split():
+        df = df.selectExpr("*", f"concat('{name}', doc_id) AS {name}")
+    for name, stage in cp.STAGES[:4]:
+        out = stage(spark, df, "")
+        assert out.columns == df.columns or sorted(out.columns) == sorted(df.columns), name
+        assert all(r.stay_id == f"stay_id{r.doc_id}" and r.gone_lines == f"gone_lines{r.doc_id}" for r in out.collect())

@@ -57,3 +57,13 @@ def test_equal_rules_and_bad_rules(spark):
     assert [r.verdict for r in url_filter.judge(pages, twice).collect()] == ["block"]
     with pytest.raises(Exception, match="does not end in a slash"):
         url_filter.judge(pages, spark.createDataFrame([("net", "/de", "block")], "host string, path string, action string")).collect()
+
+
+def test_columns_with_any_name_stay(spark):
+    df = spark.createDataFrame([("http://www.example.net/en/1",), (None,)], "url string")
+    for name in ("best", "found_host", "Found_path", "digest", "short", "expression", "rule_action"):
+        df = df.selectExpr("*", f"'{name}' AS {name}")
+    rules = spark.createDataFrame(list(workload.URL_RULES), "host string, path string, action string")
+    for row in url_filter.judge(df, rules).collect():
+        assert row.best == "best" and row.found_host == "found_host" and row.Found_path == "Found_path"
+        assert row.rule == ("example.net/en/" if row.url else None)

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.columns import free_name
 from tillwise.session import shared_dir
 
 MIN_WORDS = 8  # of a block that is deleted
@@ -283,17 +284,14 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     block they have to agree as well. A column
     `removed_lines` in `docs` is replaced; other extra columns are kept. An empty table stays empty.
     """
-    gone = plan(docs, min_words).select(
-        F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest"), "kept",
-        F.col("removed_lines").alias("gone_lines"),
-    )
-    here = (F.col("doc_id") == F.col("gone_id")) & (_digest(F.col("text")) == F.col("gone_digest"))
-    rest = F.array_join(
-        F.filter(F.split("text", "\n", -1), lambda _, i: F.coalesce(F.get("kept", i), F.lit(True))), "\n"
-    )
     own = docs.drop("removed_lines")
+    names = {name: free_name(own, name) for name in ("gone_id", "gone_digest", "gone_kept", "gone_lines")}
+    doc_id, digest, kept, lines = (F.col(name) for name in names.values())
+    gone = plan(docs, min_words).toDF(*names.values())
+    here = (F.col("doc_id") == doc_id) & (_digest(F.col("text")) == digest)
+    rest = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: F.coalesce(F.get(kept, i), F.lit(True))), "\n")
     return own.join(gone, here, "left").select(
-        *(F.when(F.col("kept").isNull(), F.col("text")).otherwise(rest).alias("text") if c == "text" else F.col(f"`{c}`")
+        *(F.when(kept.isNull(), F.col("text")).otherwise(rest).alias("text") if c == "text" else F.col(f"`{c}`")
           for c in own.columns),
-        F.coalesce("gone_lines", F.lit(0)).alias("removed_lines"),
+        F.coalesce(lines, F.lit(0)).alias("removed_lines"),
     )

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.columns import ascii_lower
+from tillwise.llm.columns import ascii_lower, free_name
 
 SHORT = 8  # hex digits of the join key: 32 bits
 
@@ -112,15 +112,17 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
             ).alias("best")
         )
     )
+    names = {name: free_name(base, name) for name in ("found_host", "found_path", "best")}
+    host, path, best = names.values()
     return (
         base.join(
-            found, (F.col("host") == F.col("found_host")) & (F.col("path") == F.col("found_path")), "left"
+            found.withColumnsRenamed(names), (F.col("host") == F.col(host)) & (F.col("path") == F.col(path)), "left"
         )
         .withColumns(
             {
-                "rule": F.col("best.rule"),
-                "verdict": F.coalesce(F.col("best.rule_action"), F.lit(default)),
+                "rule": F.col(f"{best}.rule"),
+                "verdict": F.coalesce(F.col(f"{best}.rule_action"), F.lit(default)),
             }
         )
-        .drop("found_host", "found_path", "best")
+        .drop(host, path, best)
     )
