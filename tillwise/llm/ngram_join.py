@@ -425,7 +425,10 @@ class _Join:
             .where("hub < top")
             .drop("top")
         )
-        return self.written(index.join(shared, "signature"), "members")
+        shared = self.written(shared, "shared")
+        # few signatures are shared; the bitmap keeps most rows of the others out of the shuffle
+        hits = marked(index, "signature", shared.select(F.col("signature").alias("node"))).where("hit").drop("hit")
+        return self.written(hits.join(shared, "signature"), "members")
 
     def nodes(self, pairs: DataFrame) -> DataFrame:
         return self.written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
