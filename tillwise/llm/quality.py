@@ -3,7 +3,8 @@
 A text is compressed whole and in fixed chunks. Repetitive or templated text compresses too well,
 random text hardly at all; what is usual depends on the length, because a short text has no past to
 refer to. The limits are parameters, one band for each range of lengths. They were set from labelled
-documents so that nearly all documents of good quality lie inside.
+documents so that nearly all documents of good quality lie inside. A long text has many chunks, and one
+of thousands may be odd by chance, so a text goes only if more than a share of its chunks are odd.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tillwise.llm.columns import WordIds, map_batches
 
 LEVEL = 3  # zstd level
-CHUNK = 1024  # bytes; only full chunks are judged
+CHUNK = 1024  # bytes; the last chunk of a longer text reaches back to be a full one
 # Fixed values: (bytes below this, lowest and highest ratio of the whole text)
 BANDS = (
     (256, 0.30, 1.20),
@@ -28,9 +29,12 @@ BANDS = (
     (2048, 0.470, 0.72),
     (4096, 0.449, 0.68),
     (16384, 0.411, 0.65),
-    (None, 0.384, 0.65),
+    (262144, 0.384, 0.65),
+    (1048576, 0.370, 0.65),
+    (None, 0.355, 0.65),
 )
 CHUNK_BAND = (0.485, 0.75)  # lowest and highest ratio of a full chunk
+MOST_ODD = 2  # percent of chunks outside the band; below 50 chunks none may be
 MIN_WORDS = 50
 MOST_REPEATED = 50  # percent of words in repeated windows
 WINDOW = 3
@@ -38,7 +42,8 @@ SYMBOLS = b"#*$%&|<>"
 
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "base_failed boolean, kept boolean, zstd_ratio double, lowest_chunk double, highest_chunk double"
+    "base_failed boolean, kept boolean, zstd_ratio double, lowest_chunk double, highest_chunk double, "
+    "odd_chunks long"
 )
 
 
@@ -71,19 +76,22 @@ def duplicate_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def ratios(text: bytes, packer: zstandard.ZstdCompressor) -> tuple[float, float | None, float | None]:
-    """Compressed share of the whole text, and the lowest and highest share of its full chunks."""
-    chunks = [
-        len(packer.compress(text[at : at + CHUNK])) / CHUNK for at in range(0, len(text) - CHUNK + 1, CHUNK)
-    ]
+def chunks(text: bytes, size: int = CHUNK) -> list[bytes]:
+    """All of a text in chunks of `size` bytes, the last one reaching back; a shorter text has none, for it
+    would be compressed whole a second time."""
+    starts = [*range(0, len(text) - size, size), len(text) - size] if len(text) >= size else []
+    return [text[at : at + size] for at in starts]
+
+
+def ratios(text: bytes, packer: zstandard.ZstdCompressor) -> tuple[float, list[float]]:
+    """Compressed share of the whole text, and of each chunk."""
     whole = len(packer.compress(text)) / len(text) if text else 1.0
-    return whole, min(chunks, default=None), max(chunks, default=None)
+    return whole, [len(packer.compress(chunk)) / CHUNK for chunk in chunks(text)]
 
 
-def in_bands(size: int, whole: float, low: float | None, high: float | None, bands=BANDS, chunk=CHUNK_BAND) -> bool:
+def in_band(size: int, whole: float, bands=BANDS) -> bool:
     floor, ceiling = next((a, b) for below, a, b in bands if below is None or size < below)
-    inside = floor <= whole <= ceiling
-    return inside and (low is None or (chunk[0] <= low and high <= chunk[1]))
+    return floor <= whole <= ceiling
 
 
 def judge(doc_id, text: bytes | None, packer: zstandard.ZstdCompressor) -> tuple:
@@ -91,7 +99,8 @@ def judge(doc_id, text: bytes | None, packer: zstandard.ZstdCompressor) -> tuple
     words = text.split()
     repeated = repeated_words(words)
     failed = len(words) < MIN_WORDS or 100 * repeated > MOST_REPEATED * len(words)
-    whole, low, high = ratios(text, packer)
+    whole, parts = ratios(text, packer)
+    odd = sum(not CHUNK_BAND[0] <= part <= CHUNK_BAND[1] for part in parts)
     return (
         doc_id,
         len(words),
@@ -100,10 +109,11 @@ def judge(doc_id, text: bytes | None, packer: zstandard.ZstdCompressor) -> tuple
         duplicate_lines(text),
         repeated,
         failed,
-        not failed and in_bands(len(text), whole, low, high),
+        not failed and in_band(len(text), whole) and 100 * odd <= MOST_ODD * len(parts),
         whole,
-        low,
-        high,
+        min(parts, default=None),
+        max(parts, default=None),
+        odd,
     )
 
 
@@ -120,7 +130,7 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-ARROW = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.float64()] * 3
+ARROW = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.float64()] * 3 + [pa.int64()]
 
 
 def rules(docs: DataFrame) -> DataFrame:
