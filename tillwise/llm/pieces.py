@@ -21,7 +21,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
+from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,7 @@ BLANK = "▁"
 CHUNK = 32_768  # characters; longer texts are giants
 NEVER = float("-inf")
 CACHE = 300_000  # units, and neighbours, remembered per worker
+LETTER = "[A-Za-zÀ-ÖØ-öø-ɏ]"
 MERGED = 48  # characters; longer units are walked through the lattice, in linear time
 
 
@@ -41,13 +45,21 @@ class Vocabulary:
 
     def __init__(self, pieces: dict[str, tuple[int, float]], spelled: list[bytes], bytes_: list[int]):
         self.pieces, self.spelled, self.bytes = pieces, spelled, bytes_
+        self.scores = {piece: score for piece, (_, score) in pieces.items()}
         self.longest = max(map(len, pieces))
         self.stable_pairs: dict[tuple[str, str], bool] = {}
         if any(BLANK in p.lstrip(BLANK) for p in pieces):
             raise ValueError("a piece runs from a non-blank into a blank")
         self.ends = {p[-n:] for p in pieces for n in range(1, len(p) + 1)}
         alone = "".join(c for c in "\n\r\t" if not any(c in p and len(p) > 1 for p in pieces))
-        self.units = re.compile(f"{BLANK}*[^{BLANK}{alone}]+|{BLANK}+" + (f"|[{alone}]" if alone else ""))
+        # signs that no piece has directly after a Latin letter: a word of such letters ends before them
+        joined = {b for p in pieces for a, b in pairwise(p) if re.match(LETTER, a)}
+        signs = "".join(re.escape(c) for c in string.punctuation if c in pieces and c not in joined)
+        self.units = re.compile(
+            (f"{BLANK}*{LETTER}++(?=[{signs}])|" if signs else "")
+            + f"{BLANK}*[^{BLANK}{alone}]+|{BLANK}+"
+            + (f"|[{alone}]" if alone else "")
+        )
 
     @classmethod
     def load(cls, path: str = MODEL) -> Vocabulary:
@@ -69,16 +81,19 @@ class Vocabulary:
 
     def merged(self, text: str) -> list[str]:
         """Characters merged pair by pair, the best-scored piece first, the leftmost among equals."""
-        parts, pieces = list(text), self.pieces
-        while len(parts) > 1:
-            best, at = NEVER, -1
-            for i in range(len(parts) - 1):
-                found = pieces.get(parts[i] + parts[i + 1])
-                if found and found[1] > best:
-                    best, at = found[1], i
-            if at < 0:
+        parts, score = list(text), self.scores.get
+        weights = [score(a + b, NEVER) for a, b in pairwise(parts)]
+        while weights:
+            best = max(weights)
+            if best == NEVER:
                 break
+            at = weights.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del weights[at]  # only the neighbours of the new part weigh anything else now
+            if at < len(weights):
+                weights[at] = score(parts[at] + parts[at + 1], NEVER)
+            if at:
+                weights[at - 1] = score(parts[at - 1] + parts[at], NEVER)
         return parts
 
     def stable(self, left: str, right: str) -> bool:
@@ -127,7 +142,7 @@ def trace(text: str, before: list[int], start: int, end: int) -> list[str]:
 
 
 def packed(parts: list[str], vocabulary: Vocabulary) -> bytes:
-    return np.array([i for part in parts for i in vocabulary.ids_of(part)], np.int32).tobytes()
+    return array("i", [i for part in parts for i in vocabulary.ids_of(part)]).tobytes()
 
 
 class Units(dict):
