@@ -1,4 +1,5 @@
 import json
+import textwrap
 
 import rows
 
@@ -55,3 +56,22 @@ def test_whole_texts_of_common_licences(spark):
     without_title = apache[apache.index("TERMS AND CONDITIONS") :]
     untitled = scan(spark, [without_title, without_title[: without_title.index("END OF TERMS")], "x\n" + " ".join(first["Apache-2.0", "notice"].split())])
     assert untitled == [("Apache-2.0", None)] * 2 + [(None, "Apache-2.0")]
+
+
+def test_wrapping_does_not_count(spark):
+    known = [r for r in json.loads(licenses.WHOLE.read_text(encoding="utf-8")) if r["kind"] == "text"]
+    names, wrapped = [], []
+    for row in known:
+        paragraphs = row["text"].split("\n\n")
+        for width in (40, 56, 68, 72, 100, 10**9):
+            text = "\n\n".join(textwrap.fill(" ".join(p.split()), width, break_long_words=False) for p in paragraphs)
+            wrapped += [text, "Copyright (c) 2019, 2021 The Authors\nAll rights reserved.\n\n" + text]
+            names += [row["licence"]] * 2
+    assert len({r["licence"] for r in known}) >= 18
+    assert [x[0] for x in scan(spark, wrapped)] == names
+
+
+def test_words_of_a_clause_are_no_statement(spark):
+    changed = licenses.MIT.replace("COPYRIGHT HOLDERS", "\nCOPYRIGHT HOLDERS").replace("above copyright", "above\ncopyright")
+    clause = licenses.MIT + "\n(c) one more clause of the licence"
+    assert [x[0] for x in scan(spark, [changed, clause, licenses.MIT + "\n(c) 2020 Somebody"])] == ["MIT", None, "MIT"]

@@ -1,13 +1,16 @@
 """Licence scan: canonical texts, digests, and a hash join with known licence digests.
 
-The canonical form of a text has A-Z lower-cased, lines that begin with a copyright statement taken
-out, everything but ASCII letters, digits and non-ASCII characters turned into blanks, blanks
-joined, and equivalent spellings made one. Whole texts and single lines (for one-line notices) are
-digested and joined with the digests of the known texts.
+The canonical form of a text has A-Z lower-cased, everything but ASCII letters, digits and non-ASCII
+characters turned into blanks, blanks joined, and equivalent spellings made one. Lines count only for
+copyright statements (a line that begins with "copyright" and a year, a sign or a holder's placeholder,
+or with "all rights reserved"). A text has up to four forms: with all its words, without
+statements, without the statements at its head, and without those of the head's first paragraph. The
+first does not depend on how a text is wrapped, the last two stand for a wrapped text below
+somebody's statement. Known texts have the same
+forms; a text is known if any two of them are equal. Single lines are looked up as one-line notices.
 
 The known texts are the short table `KNOWN` and the whole licence texts and header notices of
-`licences.json`, each as it is wrapped, with a line per paragraph and on one line (a line that begins with
-"copyright" is taken out, so the wrapping counts).
+`licences.json`, one wrapping each.
 
 A canonical text longer than the longest known one cannot be equal to any, so its spellings are not
 rewritten and it is not digested: the bound comes from the known table and loses nothing.
@@ -48,7 +51,8 @@ SPELLINGS = (
 
 SMALL = 20_000  # known texts (some 100 bytes each) up to which their digests are broadcast; beyond, a shuffle join
 
-COPYRIGHT = r"(^|\n)[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*"
+YEAR = r"[ \t]*[0-9<\[{]"
+STATEMENT = rf"^[ \t]*(?:copyright(?:{YEAR}|[ \t]*(?:\(c\)|©|$))|©|\(c\)(?:{YEAR}|[ \t]*copyright)|all rights reserved)"
 NOT_TEXT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F ‐-‟]+"
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software
@@ -107,10 +111,34 @@ def known_licences(spark) -> DataFrame:
     return spark.createDataFrame([*KNOWN, *whole], "licence string, text string")
 
 
-def plain(text: Column) -> Column:
-    """Lower case, no copyright lines, no punctuation, single blanks."""
-    without = F.regexp_replace(ascii_lower(text), COPYRIGHT, "$1")
-    return F.trim(F.regexp_replace(without, NOT_TEXT, " "))
+def canonical_lines(text: Column) -> Column:
+    """Lines of a text as (words in lower case with single blanks, whether it is a copyright statement)."""
+    return F.transform(
+        F.split(ascii_lower(text), "\n"),
+        lambda line: F.struct(
+            F.trim(F.regexp_replace(line, NOT_TEXT, " ")).alias("words"), line.rlike(STATEMENT).alias("statement")
+        ),
+    )
+
+
+def forms(lines: Column) -> Column:
+    """The different forms of a text: all words, without statements, without the statements at its head,
+    and without those of the head's first paragraph."""
+
+    def joined(some: Column) -> Column:
+        return F.array_join(F.transform(F.filter(some, lambda x: x["words"] != ""), lambda x: x["words"]), " ")
+
+    def first(some: Column, test) -> Column:
+        return F.greatest(F.array_position(F.transform(some, test), True), F.lit(1)).cast("int")
+
+    ordinary = first(lines, lambda x: ~x["statement"] & (x["words"] != ""))
+    begin = first(lines, lambda x: x["words"] != "")
+    rest = F.slice(lines, begin, F.size(lines))
+    gap = begin + first(rest, lambda x: x["words"] == "") - 1
+    below = F.slice(lines, ordinary, F.size(lines))
+    below_gap = F.slice(lines, F.least(gap, ordinary), F.size(lines))
+    without = F.filter(lines, lambda x: ~x["statement"])
+    return F.array_distinct(F.array(joined(lines), joined(without), joined(below), joined(below_gap)))
 
 
 def one_spelling(canonical: Column) -> Column:
@@ -126,13 +154,25 @@ def _digest(canonical: Column) -> Column:
     return F.sha2(one_spelling(canonical), 256)
 
 
+def first_word(canonical: Column) -> Column:
+    """First word of a form with one spelling; two words tell it, for no spelling has more."""
+    return F.substring_index(F.trim(one_spelling(F.substring_index(canonical, " ", 3))), " ", 1)
+
+
 def digests(licences: DataFrame) -> DataFrame:
-    """(licence, digest, length) of known texts; of one text under two names the first by code point."""
+    """(licence, digest, first word, length) of all forms of known texts; of one form under two names the
+    first by code point."""
     return (
-        licences.select("licence", plain(F.col("text")).alias("canonical"))
-        .where("canonical <> '' and licence is not null")
+        licences.where("licence is not null and text is not null")
+        .select("licence", F.explode(F.array(canonical_lines(F.col("text")))).alias("lines"))
+        .select("licence", F.explode(forms(F.col("lines"))).alias("canonical"))
+        .where("canonical <> ''")
         .groupBy(_digest(F.col("canonical")).alias("known_digest"))
-        .agg(F.min("licence").alias("licence"), F.max(F.length("canonical")).alias("known_length"))
+        .agg(
+            F.min("licence").alias("licence"),
+            F.min(first_word(F.col("canonical"))).alias("known_first"),
+            F.max(F.length("canonical")).alias("known_length"),
+        )
     )
 
 
@@ -150,16 +190,25 @@ def scan(docs: DataFrame, licences: DataFrame) -> DataFrame:
         known = F.broadcast(known)
     # a rewritten word is at most twice as long or half as long as before
     fits = F.length("canonical").between(1, 2 * longest)
-    # below a generator, so that filters above it do not compute the expression again
-    def digested(unit: Column, whole: bool) -> DataFrame:
-        return (
-            docs.select("doc_id", F.explode(unit).alias("unit"))
-            .select("doc_id", F.explode(F.array(plain(F.col("unit")))).alias("canonical"))
-            .where(fits)
-            .select("doc_id", F.lit(whole).alias("whole"), _digest(F.col("canonical")).alias("digest"))
-        )
-
-    units = digested(F.array("text"), True).unionByName(digested(F.split("text", "\n"), False))
+    if size.n <= SMALL:  # texts that begin with no known first word are not digested
+        begins = [row.known_first for row in known.select("known_first").distinct().collect()]
+        fits &= first_word(F.col("canonical")).isin(begins)
+    # below generators, so that filters above them do not compute the expressions again
+    lines = F.col("lines")
+    unit = F.concat(
+        F.transform(forms(lines), lambda form: F.struct(F.lit(True).alias("whole"), form.alias("canonical"))),
+        F.transform(
+            F.filter(lines, lambda x: ~x["statement"]),
+            lambda x: F.struct(F.lit(False).alias("whole"), x["words"].alias("canonical")),
+        ),
+    )
+    units = (
+        docs.where("text is not null")
+        .select("doc_id", F.explode(F.array(canonical_lines(F.col("text")))).alias("lines"))
+        .select("doc_id", F.inline(unit))
+        .where(fits)
+        .select("doc_id", "whole", _digest(F.col("canonical")).alias("digest"))
+    )
     found = (
         units.join(known, F.col("digest") == F.col("known_digest"))
         .groupBy(F.col("doc_id").alias("found_id"))
