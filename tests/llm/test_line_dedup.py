@@ -100,6 +100,49 @@ def test_all_runs_of_any_earlier_document(spark):
         assert [x for x in kept if x and x not in seen] == [x for x in rest if x and x not in seen], i
 
 
+def test_passage_with_changed_lines_needs_the_alignment(spark):
+    """Runs of six words each, which no lookup of eight-word runs finds, are one block in order only."""
+    rng = random.Random(8)
+    parts = [[line(rng, 3), line(rng, 3)] for _ in range(4)]
+    a = [x for p in parts for x in (*p, line(rng, 3))]
+    b = [x for p in parts for x in (*p, line(rng, 3))]
+    moved = [x for p in parts[::-1] for x in (*p, line(rng, 3))]
+    got = run(spark, [(1, "\n".join(a)), (2, "\n".join(b)), (3, "\n".join(moved))])
+    assert got[2] == ("\n".join(b[2::3]), 8) and got[3] == ("\n".join(moved), 0)
+
+
+def test_alignment_is_in_order_and_fits_equal_neighbours():
+    rng = random.Random(9)
+    for _ in range(300):
+        a, b = (rng.choices(range(8), k=rng.randrange(0, 12)) for _ in range(2))
+        got = ld.patience(a, b)
+        assert all(a[i] == b[j] for i, j in got)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
+        assert ld.patience(a, a) == [(i, i) for i in range(len(a))]
+        assert len(got) >= len({*a[:1]} & {*b[:1]})
+
+
+def test_same_for_any_bound_of_rare_lines(spark):
+    """Pairs with first owners find all long runs that pairs of all texts find; cells of one pair, too."""
+    rng = random.Random(10)
+    pool = [line(rng, n) for n in (4, 5, 5, 6, 9, 12)]
+    texts = [(i, "\n".join(rng.choices(pool, k=rng.randrange(1, 7)))) for i in range(40)]
+    frame, lost = spark.createDataFrame(texts, "doc_id long, text string"), brute(texts)
+    for rare in (1, 100):
+        gone = {r.doc_id: {k for k, kept in enumerate(r.kept) if not kept} for r in ld.plan(frame, rare=rare).collect()}
+        assert all(lost[i] <= gone.get(i, set()) for i, _ in texts)
+
+
+def test_copies_and_near_copies_of_a_large_group(spark):
+    rng = random.Random(11)
+    base = [line(rng) for _ in range(6)]
+    texts = [(i, "\n".join(base if i % 3 else [*base[:3], line(rng), *base[3:]])) for i in range(1, 700)]
+    got = run(spark, texts)
+    assert got[1] == (texts[0][1], 0)
+    for i, text in texts[1:]:
+        assert got[i] == (("", 6) if i % 3 else (text.split("\n")[3], 6)), i
+
+
 def test_special_rows(spark):
     df = rows.special(spark)
     got = ld.dedup(df)

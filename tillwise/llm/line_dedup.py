@@ -1,21 +1,21 @@
 """Line deduplication by pairwise alignment of overlapping documents.
 
-The first document with a line (least doc_id) owns it. A later document overlaps with the owners of
-its lines; so the pairs to align come from the lines themselves, one owner for each shared line, and
-a line that a third of all documents share costs one row per occurrence, not one per pair of
-documents. Each pair is aligned by patience diff: lines that occur once in the later document are
-anchors, the longest increasing run of anchors is kept, repeated lines are fitted between them. Runs
-of lines that follow each other in both documents are blocks; blocks of at least `min_words` words are
-deleted from the later document, and what is left of it is aligned again until nothing more is
-found, so that moved blocks are found too.
-
-A line's first owner need not be the document with which a passage of short lines is shared. So runs of
-adjacent lines (blank ones included) have owners of their own: every shortest run of `min_words`
-words, from each line forwards and from each line backwards. Any block that a document has in common
-with any earlier one, wherever it stands there, is covered by such runs, and a run that an earlier
-document has is a block; so all blocks of all pairs are deleted, at no more than two rows a line.
-
-A shorter line that is shared with an earlier document is deleted as well if it stands between
+Documents that overlap are found through the hashes of their lines, and of every shortest run of
+lines with `min_words` words. A rare hash (at most `RARE` different texts have it) makes a pair of
+every two of them; a frequent one that is long enough to be deleted alone makes a pair of each later
+text with the first that has it, so that a passage which a third of all documents share costs one
+pair a document. Equal texts are one class and are aligned once; the copies lose all of their lines.
+
+Each pair is aligned by patience diff on all lines with words: lines that occur once in both are
+anchors, the longest increasing run of anchors is kept, equal lines next to an anchor are fitted to
+it, and what lies between two anchors is aligned by itself. Aligned lines that follow each other in both are a
+block; two blocks of two lines or more are one if a single line between them is changed, put in or left
+out. Blocks of at least `min_words` words are deleted from the later document, and what is left of it is aligned again until nothing more is found, so that
+moved blocks are found too; at last, runs that alignment has no anchor for (repeated in both
+documents) are looked up. So every run of `min_words` words that any earlier document has too goes,
+and so does a passage with single changed lines, but for these, from pairs that share a rare line or a long run.
+
+A shorter line that a document shares with one it was aligned with is deleted as well if it stands between
 deleted lines (or at an end of the text beside one): it is a remainder of the same passage.
 """
 
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,10 @@ from tillwise.llm.columns import free_name
 from tillwise.session import shared_dir
 
 MIN_WORDS = 8  # of a block that is deleted
+RARE = 8  # texts that share a hash of which every two are a pair; beyond it, each with the first
+BETWEEN = 1  # other lines inside a block
+CELL = 256  # pairs of one text that are aligned together; plans only
+BATCH = 4 << 20  # bytes of an Arrow batch that leaves a task
 
 
 def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -55,44 +60,60 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return run[::-1]
 
 
-def patience(matches: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Aligned (later, earlier) positions: anchors first, then repeated lines between anchors.
-
-    A line has one place in the earlier document (its first), so `matches` has each later position
-    once, and lines repeated in the later document share the earlier position.
-    """
-    times = Counter(earlier for _, earlier in matches)
-    anchors = increasing([m for m in matches if times[m[1]] == 1])
-    rest = [m for m in matches if times[m[1]] > 1]
-    if not rest:
-        return anchors
-    aligned, i = [], 0
-    for low, high in zip([(-1, -1), *anchors], [*anchors, (1 << 62, 1 << 62)], strict=True):
-        gap = []
-        while i < len(rest) and rest[i][0] < high[0]:
-            if low[1] < rest[i][1] < high[1]:
-                gap.append(rest[i])
-            i += 1
-        aligned += increasing(gap)
-        aligned.append(high)
-    return aligned[:-1]
+def _once(lines: list, low: int, high: int) -> dict:
+    """Lines that occur once from `low` to `high`, with their places."""
+    times = Counter(lines[low:high])
+    return {x: i for i, x in enumerate(lines[low:high], low) if times[x] == 1}
+
+
+def patience(later: list, earlier: list) -> list[tuple[int, int]]:
+    """Aligned (later, earlier) positions, increasing in both."""
+    out, todo = [], [(0, len(later), 0, len(earlier))]
+    while todo:
+        a, a_end, b, b_end = todo.pop()
+        while a < a_end and b < b_end and later[a] == earlier[b]:
+            out.append((a, b))
+            a, b = a + 1, b + 1
+        while a < a_end and b < b_end and later[a_end - 1] == earlier[b_end - 1]:
+            a_end, b_end = a_end - 1, b_end - 1
+            out.append((a_end, b_end))
+        if a == a_end or b == b_end:
+            continue
+        places = _once(earlier, b, b_end)
+        anchors = increasing([(i, places[x]) for x, i in _once(later, a, a_end).items() if x in places])
+        if not anchors:
+            continue
+        out += anchors
+        for i, j in anchors:
+            todo.append((a, i, b, j))
+            a, b = i + 1, j + 1
+        todo.append((a, a_end, b, b_end))
+    return sorted(out)
 
 
 def blocks(aligned: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
-    """Runs that go on by one line in both documents."""
-    run: list[tuple[int, int]] = []
+    """Runs that go on by one line in both documents. Runs of two lines or more are one with the next such run
+    if at most `BETWEEN` other lines are in between, in each document."""
+    runs: list[list[tuple[int, int]]] = []
     for pair in aligned:
-        if run and (pair[0] != run[-1][0] + 1 or pair[1] != run[-1][1] + 1):
-            yield run
-            run = []
-        run.append(pair)
-    if run:
-        yield run
+        if runs and pair[0] == runs[-1][-1][0] + 1 and pair[1] == runs[-1][-1][1] + 1:
+            runs[-1].append(pair)
+        else:
+            runs.append([pair])
+    block: list[tuple[int, int]] = []
+    for run in runs:
+        far = block and max(run[0][0] - block[-1][0], run[0][1] - block[-1][1]) > BETWEEN + 1
+        if block and (far or len(run) == 1 or len(block) == 1):
+            yield block
+            block = []
+        block = block + run
+    if block:
+        yield block
 
 
 def least_runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
     """(first, last) line of the shortest runs of `min_words` words and two lines or more, from each
-    line with words forwards and from each backwards."""
+    line forwards and from each backwards."""
     runs: set[tuple[int, int]] = set()
     first, total = 0, 0
     for last, n in enumerate(words):  # the shortest that end at `last`
@@ -100,7 +121,7 @@ def least_runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
         while first < last and total - words[first] >= min_words:
             total -= words[first]
             first += 1
-        if n and total >= min_words and first < last:
+        if total >= min_words and first < last:
             runs.add((first, last))
     last, total = len(words) - 1, 0
     for first in range(len(words) - 1, -1, -1):  # the shortest that begin at `first`
@@ -108,181 +129,295 @@ def least_runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
         while last > first and total - words[last] >= min_words:
             total -= words[last]
             last -= 1
-        if words[first] and total >= min_words and first < last:
+        if total >= min_words and first < last:
             runs.add((first, last))
     return runs
 
 
-def deleted_lines(
-    matches: dict, words: dict[int, int], blank: set[int], n_lines: int, min_words: int, runs: list[range] = ()
-) -> set[int]:
-    """Positions to delete from one document. `matches`: owner -> [(position, owner's position)];
-    `runs`: lines that follow each other in an earlier document too, with `min_words` words or more."""
-    gone: set[int] = set()
-    for owner in sorted(matches):
-        left = sorted(set(matches[owner]))
-        while left:
-            found = {
-                later
-                for run in blocks(patience(left))
-                if sum(words[later] for later, _ in run) >= min_words
-                for later, _ in run
-            }
-            if not found:
-                break
-            gone |= found
-            left = [m for m in left if m[0] not in found]
-    gone.update(*runs)
-    if not gone:
-        return gone
-    loose = set(words) - gone | blank
+class Lines:
+    """The lines with words of one text: their hashes, and their words counted up to `min_words`."""
+
+    def __init__(self, hashes: bytes, words: bytes, min_words: int):
+        self.hashes, self.min_words = hashes, min_words
+        self.all = np.frombuffer(hashes, np.int64).tolist()
+        self.words = np.frombuffer(words, np.int32).tolist()
+        self._places, self._runs = None, None
+
+    @property
+    def places(self) -> dict[int, list[int]]:
+        if self._places is None:
+            self._places = {}
+            for i, x in enumerate(self.all):
+                self._places.setdefault(x, []).append(i)
+        return self._places
+
+    @property
+    def runs(self) -> dict[tuple[int, int], bytes]:
+        """What can be deleted alone: long lines and the shortest runs, with their hashes."""
+        if self._runs is None:
+            spans = least_runs(self.words, self.min_words) if self.min_words > 1 else set()
+            spans.update((i, i) for i, n in enumerate(self.words) if n >= self.min_words)
+            self._runs = {(i, j): self.hashes[8 * i : 8 * (j + 1)] for i, j in spans}
+        return self._runs
+
+    @property
+    def run_set(self) -> set[bytes]:
+        if not hasattr(self, "_run_set"):
+            self._run_set = set(self.runs.values())
+        return self._run_set
+
+
+def shared_lines(later: Lines, earlier: Lines) -> tuple[set[int], set[int]]:
+    """Numbers of the later text's lines that are deleted, and of all that the earlier one has as well."""
+    small, large = sorted((later, earlier), key=lambda x: len(x.all))
+    common = small.places.keys() & large.places.keys()
+    at_later = sorted(i for x in common for i in later.places[x])
+    at_earlier = sorted(i for x in common for i in earlier.places[x])
+    shared, gone = set(at_later), set()
+    ends = [earlier.all[i] for i in at_earlier]
+    while sum(later.words[i] for i in at_later) >= later.min_words:
+        aligned = patience([later.all[i] for i in at_later], ends)
+        found = {
+            i
+            for run in blocks([(at_later[i], at_earlier[j]) for i, j in aligned])
+            if sum(later.words[i] for i, _ in run) >= later.min_words
+            for i, _ in run
+        }
+        if not found:
+            runs = earlier.run_set
+            for (first, last), key in later.runs.items():
+                if key in runs:
+                    gone.update(range(first, last + 1))
+            break
+        gone |= found
+        at_later = [i for i in at_later if i not in found]
+    return gone, shared
+
+
+def removed(gone: set[int], shared: set[int], places: list[int], n_lines: int) -> set[int]:
+    """Places in the text that are deleted: `gone`, and shared or blank lines between them."""
+    out = {places[i] for i in gone}
+    with_words = set(places)
+    loose = {places[i] for i in shared - gone}
     at = 0
-    while at < n_lines:  # runs of shared short or blank lines between deleted ones
-        if at in loose:
-            end = at
-            while end in loose:
-                end += 1
-            if (at == 0 or at - 1 in gone) and (end == n_lines or end in gone):
-                gone.update(range(at, end))
-            at = end
-        else:
-            at += 1
-    return gone
+    while at < n_lines:
+        end = at
+        while end < n_lines and (end in loose or end not in with_words):
+            end += 1
+        if end > at and (at == 0 or at - 1 in out) and (end == n_lines or end in out):
+            out.update(range(at, end))
+        at = max(end, at + 1)
+    return out
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def _rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
-
-def _aligned(min_words: int):
-    """Rows sorted by (doc_id, digest): all shared lines of a document in one run."""
-
-    def finish(key, matches, words, blank, n_lines, runs):
-        gone = deleted_lines(matches, words, blank, n_lines, min_words, runs)
-        return (*key, [i not in gone for i in range(max(gone) + 1)], len(gone)) if gone else None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done, key, state = [], None, None
-        for doc_id, digest, at, span, words, blank, end, n_lines, owner, owner_at in _rows(batches):
-            if (doc_id, digest) != key:
-                if key is not None:
-                    done.append(finish(key, *state))
-                key, state = (doc_id, digest), ({}, {}, set(range(end, n_lines)), n_lines, [])
-                if len(done) >= 2000:
-                    yield _batch(done)
-                    done = []
-            if span > 1:
-                state[4].append(range(at, at + span))
-            else:
-                state[0].setdefault(owner, []).append((at, owner_at))
-                state[1][at] = words
-                state[2].update(range(at - blank, at))
-        if key is not None:
-            done.append(finish(key, *state))
-        yield _batch(done)
-
-    return run
-
-
-LINES = "doc_id long, digest long, at int, span int, words int, blank int, end int, n_lines int, hash long"
-BLANK = bytes(8)
-FULL = 50_000  # rows of a batch
-
-
-def _lines(min_words: int):
-    """(doc_id, digest, text) -> the lines with words (span 1) and the shortest runs of `min_words` words.
-
-    `words` is counted up to `min_words`; `blank` is the number of blank lines just before a line, `end`
-    the place after the last line with words."""
-
-    def out(docs: list, rows: list, hashes: list) -> pa.RecordBatch:
-        times = np.array([d[-1] for d in docs], np.int64)
-        doc_id, digest, end, n_lines = (np.repeat(np.array([d[k] for d in docs], np.int64), times) for k in range(4))
-        at, span, words, blank = np.array(rows, np.int32).reshape(-1, 4).T
-        columns = [doc_id, digest, at, span, words, blank, end.astype(np.int32), n_lines.astype(np.int32),
-                   np.array(hashes, np.uint64).view(np.int64)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(c)) for c in columns], names=[part.split()[0] for part in LINES.split(", ")]
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, of_run = xxhash.xxh3_64_digest, xxhash.xxh3_64_intdigest
-        docs, rows, hashes = [], [], []
-        for doc_id, digest, text in _rows(batches):
-            lines, before = text.split(b"\n"), len(rows)
+        yield from zip(*(batch.column(c).to_pylist() for c in names), strict=True)
+
+
+def _batches(rows: Iterator[tuple], types: dict[str, pa.DataType], size=lambda row: 64) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of about `BATCH` bytes."""
+
+    def batch(part: list) -> pa.RecordBatch:
+        columns = zip(*part, strict=True) if part else [[]] * len(types)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=list(types))
+
+    part, held = [], 0
+    for row in rows:
+        part.append(row)
+        held += size(row)
+        if held >= BATCH:
+            yield batch(part)
+            part, held = [], 0
+    yield batch(part)
+
+
+LONG, INT, BYTES = pa.int64(), pa.int32(), pa.binary()
+TEXTS = {"row": LONG, "doc_id": LONG, "digest": BYTES, "n": INT, "n_words": INT, "n_lines": INT, "hashes": BYTES,
+         "words": BYTES, "places": BYTES}
+TEXTS_SQL = ("row long, doc_id long, digest binary, n int, n_words int, n_lines int, hashes binary, words binary, "
+             "places binary")
+KEYS = {"hash": LONG, "row": LONG, "doc_id": LONG, "n": INT, "strong": pa.bool_()}
+
+
+def _texts(min_words: int):
+    """(doc_id, digest, text) -> the lines with words: hashes, words up to `min_words`, places in the text.
+
+    `row` is a number of the row, `n` that of the lines, `n_words` that of all words up to `min_words`."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        row = TaskContext.get().partitionId() << 36
+        for doc_id, digest, text in _rows(batches, "doc_id", "digest", "text"):
+            lines = text.split(b"\n")
             words = [len(x.split(None, min_words)[:min_words]) for x in lines]
-            digests = b"".join([of(x) if n else BLANK for x, n in zip(lines, words, strict=True)])
-            end = 0
-            for i, (n, value) in enumerate(zip(words, np.frombuffer(digests, ">u8").tolist(), strict=True)):
-                if n:
-                    rows.append((i, 1, n, i - end))
-                    hashes.append(value)
-                    end = i + 1
-            for first, last in least_runs(words, min_words) if min_words > 1 else ():
-                rows.append((first, last - first + 1, min_words, 0))
-                hashes.append(of_run(digests[8 * first : 8 * (last + 1)], 1))
-            docs.append((doc_id, digest, end, len(lines), len(rows) - before))
-            if len(rows) >= FULL:
-                yield out(docs, rows, hashes)
-                docs, rows, hashes = [], [], []
-        yield out(docs, rows, hashes)
-
-    return run
-
-
-SCHEMA = "doc_id long, digest long, kept array<boolean>, removed_lines int"
-
-
-def _batch(done: list) -> pa.RecordBatch:
-    rows = [r for r in done if r]
-    types = (pa.int64(), pa.int64(), pa.list_(pa.bool_()), pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)],
-        names=[part.split()[0] for part in SCHEMA.split(", ")],
-    )
+            places = np.flatnonzero(words).astype(np.int32)
+            hashes = np.array([xxhash.xxh3_64_intdigest(lines[i]) for i in places], np.uint64)
+            words = np.array(words, np.int32)[places]
+            n_words = min(min_words, int(words.sum()))
+            yield (row, doc_id, digest, len(places), n_words, len(lines), hashes.tobytes(), words.tobytes(), places.tobytes())
+            row += 1
+
+    return lambda batches: _batches(rows(batches), TEXTS, lambda r: 100 + 16 * r[3])
+
+
+def _keys(min_words: int):
+    """Texts -> the hashes they are found by, once each; `strong` if what it stands for can be deleted alone."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for row, doc_id, n, hashes, words in _rows(batches, "row", "doc_id", "n", "hashes", "words"):
+            lines = Lines(hashes, words, min_words)
+            # a run has a seed of its own, so that it is no line's hash
+            found = {xxhash.xxh3_64_intdigest(x, 1) - (1 << 63): True for (i, j), x in lines.runs.items() if i < j}
+            for x, w in zip(lines.all, lines.words, strict=True):
+                found[x] = w >= min_words
+            for x, strong in found.items():
+                yield x, row, doc_id, n, strong
+
+    return lambda batches: _batches(rows(batches), KEYS)
+
+
+def _compared(min_words: int):
+    """Cells sorted with their hub first -> (row of the later text, number of a line, whether it goes)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        hub = None
+        for guest, row, hub_is_later, hashes, words, hub_row in _rows(
+            batches, "guest", "row", "hub_is_later", "hashes", "words", "hub"
+        ):
+            lines = Lines(hashes, words, min_words)
+            if guest == 0:
+                hub = lines
+                continue
+            later, earlier = (hub, lines) if hub_is_later else (lines, hub)
+            gone, shared = shared_lines(later, earlier)
+            for i in shared:
+                if i in gone or later.words[i] < min_words:
+                    yield (hub_row if hub_is_later else row), i, i in gone
+
+    return lambda batches: _batches(rows(batches), {"later": LONG, "line": INT, "goes": pa.bool_()}, lambda r: 16)
+
+
+def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[tuple]:
+        names = ("doc_id", "digest", "n_lines", "places", "gone", "shared")
+        for doc_id, digest, n_lines, places, gone, shared in _rows(batches, *names):
+            out = removed(set(gone), set(shared), np.frombuffer(places, np.int32).tolist(), n_lines)
+            yield doc_id, digest, [i not in out for i in range(max(out) + 1)], len(out)
+
+    types = {"doc_id": LONG, "digest": BYTES, "kept": pa.list_(pa.bool_()), "removed_lines": INT}
+    return _batches(rows(), types, lambda r: 100 + len(r[2]))
+
+
+SCHEMA = "doc_id long, digest binary, kept array<boolean>, removed_lines int"
 
 
 def _digest(text: Column) -> Column:
-    return F.xxhash64(text)
+    """128 bits of SHA-256: the identity of a text."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
-def plan(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def pairs(keys: DataFrame, rare: int = RARE) -> DataFrame:
+    """(later, earlier, n_later, n_earlier): different texts to align, each two once; `later` and `earlier` are rows."""
+    spark, folder = keys.sparkSession, shared_dir(keys.sparkSession, "line-hashes")
+    text = F.struct("doc_id", "row", "n")
+    # a table of its own, so that Spark can split the rows of a frequent line in the join
+    keys.groupBy("hash").agg(
+        F.count("*").alias("texts"), F.min(text).alias("first"), F.max("doc_id").alias("last"),
+        F.bool_or("strong").alias("long"),
+    ).where((F.col("first.doc_id") < F.col("last")) & (F.col("long") | (F.col("texts") <= rare))).select(
+        "hash", "texts", "first"
+    ).write.parquet(folder)
+    found = keys.join(spark.read.parquet(folder), "hash")
+    frequent = found.where((F.col("texts") > rare) & (F.col("doc_id") > F.col("first.doc_id"))).select(
+        text.alias("a"), F.col("first").alias("b")
+    )
+    few = found.where(F.col("texts") <= rare).groupBy("hash").agg(F.collect_list(text).alias("all"))  # `rare` at most
+    every = few.select("all", F.explode("all").alias("a")).select("a", F.explode("all").alias("b")).where(
+        "b.doc_id < a.doc_id"
+    )
+    return every.unionByName(frequent).select(
+        F.col("a.row").alias("later"), F.col("b.row").alias("earlier"), F.col("a.n").alias("n_later"),
+        F.col("b.n").alias("n_earlier"),
+    ).distinct()
+
+
+def plan(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
     """(doc_id, digest, kept, removed_lines) of documents that lose lines; `digest` is of their text."""
-    lines = (
+    spark = docs.sparkSession
+    folder = shared_dir(spark, "lines")
+
+    def table(name: str, frame: DataFrame) -> DataFrame:
+        frame.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    rows = table(
+        "rows",
         docs.where("doc_id is not null and text is not null")
         .select("doc_id", _digest(F.col("text")).alias("digest"), F.col("text").cast("binary").alias("text"))
-        .mapInArrow(_lines(min_words), LINES)
+        .mapInArrow(_texts(min_words), TEXTS_SQL),
     )
-    owners = (
-        lines.groupBy("hash")
-        .agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"))
-        .where("first.doc_id < last")
-        .select("hash", F.col("first.doc_id").alias("owner"), F.col("first.at").alias("owner_at"))
+    classes = table("classes", rows.groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.max("doc_id").alias("last")))
+    firsts = classes.select(F.col("first.row").alias("row"))
+    texts = table("texts", rows.join(firsts, "row", "left_semi"))
+    keys = table("keys", texts.mapInArrow(_keys(min_words), "hash long, row long, doc_id long, n int, strong boolean"))
+
+    # the text with more lines is the hub: it is sent once for `CELL` guests, a guest once for a pair
+    hub_is_later = F.col("n_later") > F.col("n_earlier")
+    met = table(
+        "pairs",
+        pairs(keys, rare).select(
+            F.when(hub_is_later, F.col("later")).otherwise(F.col("earlier")).alias("hub"),
+            F.when(hub_is_later, F.col("earlier")).otherwise(F.col("later")).alias("row"),
+            hub_is_later.alias("hub_is_later"),
+        ),
     )
-    # a table of its own, so that Spark can split the rows of a frequent line in the join
-    folder = shared_dir(docs.sparkSession, "line-owners")
-    owners.write.parquet(folder)
-    owners = docs.sparkSession.read.parquet(folder)
-    return (
-        lines.join(owners, "hash")
-        .where("owner < doc_id")
-        .select("doc_id", "digest", "at", "span", "words", "blank", "end", "n_lines", "owner", "owner_at")
-        .repartition("doc_id", "digest")
-        .sortWithinPartitions("doc_id", "digest", "at")
-        .mapInArrow(_aligned(min_words), SCHEMA)
+    hubs = table("hubs", met.groupBy("hub").agg(F.ceil(F.count("*") / CELL).cast("int").alias("cells")))
+    lines = texts.select("row", "hashes", "words")
+    guests = (
+        met.join(hubs, "hub")
+        .withColumn("cell", F.pmod(F.xxhash64("row"), F.col("cells")).cast("int"))
+        .join(lines, "row")
+        .select("hub", "cell", F.lit(1).alias("guest"), "row", "hub_is_later", "hashes", "words")
+    )
+    hosts = hubs.join(lines.withColumnRenamed("row", "hub"), "hub").select(
+        "hub", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), F.lit(0).alias("guest"),
+        F.col("hub").alias("row"), F.lit(False).alias("hub_is_later"), "hashes", "words",
+    )
+    found = (
+        hosts.unionByName(guests)
+        .repartition("hub", "cell")
+        .sortWithinPartitions("hub", "cell", "guest")
+        .mapInArrow(_compared(min_words), "later long, line int, goes boolean")
+    )
+    lost = (
+        found.groupBy("later", "line").agg(F.bool_or("goes").alias("goes"))
+        .groupBy(F.col("later").alias("row"))
+        .agg(F.collect_list(F.when(F.col("goes"), F.col("line"))).alias("gone"),
+             F.collect_list(F.when(~F.col("goes"), F.col("line"))).alias("shared"))
+        .where(F.size("gone") > 0)
+    )
+    # rows that repeat a row of the least doc_id lose what it loses
+    first = (
+        texts.select("row", "doc_id", "digest", "n_lines", "places").join(lost, "row").mapInArrow(_finished, SCHEMA)
+    )
+    copies = (
+        rows.select("doc_id", "digest", "n_words", "n_lines")
+        .join(classes.where("first.doc_id < last").select("digest", F.col("first.doc_id").alias("kept_id")), "digest")
+        .where((F.col("doc_id") > F.col("kept_id")) & (F.col("n_words") >= min_words))
+        .select("doc_id", "digest", F.array_repeat(F.lit(False), F.col("n_lines")).alias("kept"), F.col("n_lines").alias("removed_lines"))
+        .dropDuplicates(["doc_id", "digest"])
     )
+    return first.unionByName(copies)
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """All rows of `docs` with shared blocks deleted from `text`, and `removed_lines` (0 if none).
 
     Only documents with a lower doc_id count as earlier. Null texts and rows with a null doc_id
-    stay as they are and own nothing. Rows that share a doc_id are not compared with each other;
-    each loses what its own text shares with earlier documents. A copy of an earlier document loses
-    all of its lines of which blocks are long enough. Blank lines alone never make a pair; inside a
-    block they have to agree as well. A column
-    `removed_lines` in `docs` is replaced; other extra columns are kept. An empty table stays empty.
+    stay as they are and take nothing from others. Rows that share a doc_id are not compared with each
+    other; each loses what its own text shares with earlier documents. A copy of an earlier document loses
+    all of its lines if they have `min_words` words. Blank lines are not compared; those between deleted
+    lines go with them. A column `removed_lines` in `docs` is replaced; other extra columns are kept. An empty table stays empty.
     """
     own = docs.drop("removed_lines")
     names = {name: free_name(own, name) for name in ("gone_id", "gone_digest", "gone_kept", "gone_lines")}
