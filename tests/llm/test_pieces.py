@@ -1,3 +1,4 @@
+import functools
 import os
 import random
 
@@ -86,4 +87,16 @@ def test_giants_and_special_rows(spark, library):
 def test_text_without_blanks_over_many_chunks(spark, library):
     text = "thelyingstationerthe" * 300 + "漢" + "a" * 50
     df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
-    assert [r.ids for r in pc.encode(df, chunk=100).collect()] == [library.encode(text)] * 2
+    for block in (1, 3, pc.BLOCK):  # however the products of matrices are grouped
+        assert [r.ids for r in pc.encode(df, chunk=100, block=block).collect()] == [library.encode(text)] * 2
+
+
+def test_states_inside_a_block_follow_from_those_at_its_ends():
+    rng = np.random.default_rng(4)
+    sizes = [1, 3, 2, 4, 3, 1]
+    matrices = [np.where(rng.random(m) < 0.2, pc.NEVER, -rng.random(m)) for m in zip(sizes, sizes[1:])]
+    path = pc.boundary_states(matrices)
+    for cut in range(1, len(matrices)):
+        halves = [matrices[:cut], matrices[cut:]]
+        _, middle, _ = pc.boundary_states([functools.reduce(pc.multiply, h) for h in halves])
+        assert pc.boundary_states(halves[0], 0, middle) + pc.boundary_states(halves[1], middle, 0)[1:] == path

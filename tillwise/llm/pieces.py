@@ -7,9 +7,10 @@ transitions all weigh more than minus infinity; the weights are the piece scores
 
 In the (max, +) semiring a chunk of text is a matrix from the states at its start to those at its end,
 a state being the piece that covers or ends at the boundary. Matrices multiply associatively, so a
-giant document is cut anywhere into chunks, the chunks' matrices are worked out in different tasks,
-one pass over the matrices gives every chunk its entry and exit state, and each chunk is then traced
-back alone.
+giant document is cut anywhere into chunks, the chunks' matrices are worked out in different tasks and
+multiplied block by block of chunks; the best path through the blocks' products gives every block
+its entry and exit state, that through a block's matrices those of its chunks, and each chunk is
+then traced back alone.
 
 No piece runs from a non-blank into a blank, so every path goes through the points before blanks, and
 what follows does not depend on what came before. Between such points a text is a series of units, merged
@@ -19,6 +20,7 @@ the first and after the last such point depend on the boundary states.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import string
@@ -31,9 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.session import shared_dir
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 CHUNK = 32_768  # characters; longer texts are giants
+BLOCK = 256  # chunks of a giant whose matrices are multiplied in one task
 NEVER = float("-inf")
 CACHE = 300_000  # units, and neighbours, remembered per worker
 LETTER = "[A-Za-zÀ-ÖØ-öø-ɏ]"
@@ -261,12 +266,12 @@ def multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
 
-def boundary_states(matrices: list[np.ndarray]) -> list[int]:
-    """States at the chunk boundaries of the best path; one more than chunks."""
-    reached = [np.zeros(1)]
+def boundary_states(matrices: list[np.ndarray], entry: int = 0, leave: int = 0) -> list[int]:
+    """States at the boundaries of the best path from `entry` to `leave`; one more than matrices."""
+    reached = [np.where(np.arange(len(matrices[0])) == entry, 0.0, NEVER)]
     for matrix in matrices:
         reached.append((reached[-1][:, None] + matrix).max(axis=0))
-    path = [0]
+    path = [leave]
     for vector, matrix in zip(reached[-2::-1], matrices[::-1], strict=True):
         path.append(int(np.argmax(vector + matrix[:, path[-1]])))
     return path[::-1]
@@ -324,18 +329,48 @@ def _matrices(path: str, vocabulary):
     return run
 
 
-def _states(table: pa.Table) -> pa.Table:
+def _in_order(table: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
     table = table.sort_by("k")
-    matrices = [
-        np.frombuffer(m, np.float64).reshape(-1, w)
-        for m, w in zip(table["matrix"].to_pylist(), table["width"].to_pylist(), strict=True)
-    ]
-    path = boundary_states(matrices)
+    columns = (table["matrix"].to_pylist(), table["width"].to_pylist())
+    return table, [np.frombuffer(m, np.float64).reshape(-1, w) for m, w in zip(*columns, strict=True)]
+
+
+def _product(table: pa.Table) -> pa.Table:
+    """The matrices of one block -> their product; `k` is the block."""
+    table, matrices = _in_order(table)
+    whole = functools.reduce(multiply, matrices)
+    return pa.table(
+        {
+            "giant": table["giant"][:1], "k": table["block"][:1], "width": pa.array([whole.shape[1]], pa.int32()),
+            "matrix": pa.array([whole.tobytes()], pa.binary()),
+        }
+    )
+
+
+def _states(table: pa.Table) -> pa.Table:
+    """Matrices that follow each other, and the states at both ends -> the states at both ends of each."""
+    table, matrices = _in_order(table)
+    path = boundary_states(matrices, table["entry"][0].as_py(), table["leave"][0].as_py())
     return pa.table(
         {"giant": table["giant"], "k": table["k"], "entry": pa.array(path[:-1], pa.int32()), "leave": pa.array(path[1:], pa.int32())}
     )
 
 
+def chunk_states(matrices: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(giant, k, width, matrix) -> (giant, k, entry, leave): the best path at the boundaries of every chunk.
+
+    The matrices of `block` chunks meet in one task, and then the products of a giant's blocks."""
+    spark, folder = matrices.sparkSession, shared_dir(matrices.sparkSession, "chunk-matrices")
+    matrices.withColumn("block", F.expr(f"k div {block}")).write.parquet(folder)
+    held, states = spark.read.parquet(folder), "giant string, k long, entry int, leave int"
+    ends = (
+        held.groupBy("giant", "block").applyInArrow(_product, "giant string, k long, width int, matrix binary")
+        .withColumns({"entry": F.lit(0), "leave": F.lit(0)})  # a text has one state in front and one behind
+        .groupBy("giant").applyInArrow(_states, states)
+    )
+    return held.join(ends.withColumnRenamed("k", "block"), ["giant", "block"]).groupBy("giant", "block").applyInArrow(_states, states)
+
+
 def _traced(path: str, vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = units_of(path, vocabulary)
@@ -349,13 +384,15 @@ def _traced(path: str, vocabulary):
     return run
 
 
-def encode(docs: DataFrame, path: str = MODEL, chunk: int = CHUNK, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str = MODEL, chunk: int = CHUNK, keep: tuple[str, ...] = ("doc_id",), block: int = BLOCK
+) -> DataFrame:
     """The columns `keep` of every row of `docs`, and `ids` (array of int).
 
     Null and empty texts have no ids. Repeated rows get equal ids. Texts of more than `chunk` characters
     go through the scan: their chunks are spread over tasks by (text digest, chunk number), a text
-    that occurs again is encoded once, and one text's matrices (at most 2^31 / chunk of some
-    kilobytes) meet in one task. All other texts are encoded where they are read, without a
+    that occurs again is encoded once, and the matrices of `block` chunks (some kilobytes each) meet
+    in one task, then a text's products (at most 2^31 / chunk / block). All other texts are encoded where they are read, without a
     shuffle. Extra columns are not looked at; `ids` must not be among `keep`. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -389,10 +426,8 @@ def encode(docs: DataFrame, path: str = MODEL, chunk: int = CHUNK, keep: tuple[s
         )
         .repartition("giant", "k")
     )
-    states = (
-        chunks.mapInArrow(_matrices(path, vocabulary), "giant string, k long, width int, matrix binary")
-        .groupBy("giant")
-        .applyInArrow(_states, "giant string, k long, entry int, leave int")
+    states = chunk_states(
+        chunks.mapInArrow(_matrices(path, vocabulary), "giant string, k long, width int, matrix binary"), block
     )
     ids = (
         chunks.join(states, ["giant", "k"])
