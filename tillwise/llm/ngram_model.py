@@ -18,13 +18,13 @@ neighbours, training counts, and in which of its documents they occur. A word wi
 all words is dealt over several shards by its neighbours; a sample finds such words, and only the
 routing depends on it. A shard sends back one partial sum per document.
 
-As a shard cannot see the words of the others, it takes V to be its own number of words times the
-number of shards (base scores use the exact V).
+V is counted before, so that scores do not depend on how words and documents are dealt.
 """
 
 from __future__ import annotations
 
 import pickle
+import string
 import tempfile
 import zlib
 from collections.abc import Iterator
@@ -231,13 +231,13 @@ class Trie:
 SHIFT = 14.0  # counts reach 10^15; logs are kept below 1
 
 
-def _answered(shards: int):
-    """All messages to one shard -> partial sums per block, and the shard's number of words."""
+def _answered(n_words: int):
+    """All messages to one shard -> partial sums per block."""
 
     def run(table: pa.Table) -> pa.Table:
         kind = table["kind"][0].as_py()
         if kind < 0:  # the documents of the blocks pass through
-            return table.select(["block", "payload"]).append_column("n_words", pa.array([-1] * table.num_rows, pa.int64()))
+            return table.select(["block", "payload"]).append_column("kind", pa.array([-1] * table.num_rows, pa.int64()))
         order = np.argsort(table["block"].to_numpy())
         blocks = table["block"].to_numpy()[order]
         messages = [_unpack(table["payload"][int(i)].as_py()) for i in order]
@@ -264,8 +264,7 @@ def _answered(shards: int):
             return_inverse=True,
         )
         pair_counts = np.bincount(inverse, trained[train], len(keys))
-        own = own_words(words[seen], kind, shards)
-        base = total + own * shards + 1.0
+        base = total + n_words + 1.0
         places = [m[8] for m in messages]
         with tempfile.TemporaryDirectory() as folder:
             trie = Trie(
@@ -296,22 +295,16 @@ def _answered(shards: int):
             {
                 "block": pa.array(blocks, pa.int64()),
                 "payload": pa.array(payloads, pa.binary()),
-                # counted once per shard
-                "n_words": pa.array([own] + [0] * (len(blocks) - 1), pa.int64()),
+                "kind": pa.array([kind] * len(blocks), pa.int64()),
             }
         )
 
     return run
 
 
-def own_words(words: np.ndarray, shard: int, shards: int) -> int:
-    """Words whose first shard this is."""
-    return int((((words >> np.uint64(17)) % np.uint64(shards)).astype(np.int64) == shard).sum())
-
-
 def _summed(table: pa.Table) -> pa.Table:
     """All rows of one block -> one row per document."""
-    kinds = table["n_words"].to_pylist()
+    kinds = table["kind"].to_pylist()
     at = kinds.index(-1)
     ids, held_out, lengths = _unpack(table["payload"][at].as_py())
     base, score, known = np.zeros(len(ids)), np.zeros(len(ids)), np.zeros(len(ids), np.int64)
@@ -329,17 +322,24 @@ def _summed(table: pa.Table) -> pa.Table:
     )
 
 
+def _words(texts: DataFrame) -> DataFrame:
+    lower = F.translate(F.col("text").cast("string"), string.ascii_uppercase, string.ascii_lowercase)
+    return texts.select(F.explode(F.split(lower, r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''")
+
+
+def vocabulary_size(texts: DataFrame) -> int:
+    """V: different tokens of all training documents, the end among them."""
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS
+    train = texts.where(fold != HELD_OUT)
+    words = _words(train).select(F.xxhash64("word").alias("word")).distinct().count()
+    return words + (0 if train.isEmpty() else 1)
+
+
 def routing_for(texts: DataFrame) -> Routing:
     """Number of shards from the bytes of all texts; frequent words from a sample of documents."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(8, -(-size // BLOCK_BYTES))
-    words = (
-        texts.sample(SAMPLE, seed=11)
-        .select(F.explode(F.split(F.translate(F.col("text").cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x20\x09-\x0D]+")).alias("word"))
-        .where("word <> ''")
-        .groupBy("word")
-        .count()
-    )
+    words = _words(texts.sample(SAMPLE, seed=11)).groupBy("word").count()
     total = words.agg(F.sum("count")).first()[0] or 0
     if not total:
         return Routing(shards, {})
@@ -360,14 +360,14 @@ def score(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    routing = routing_for(texts)
+    routing, n_words = routing_for(texts), vocabulary_size(texts)
     folder = shared_dir(spark, "ngram-model")
     # documents of a block go to a group of their own, all others to their shard
     messages = texts.mapInArrow(_blocks(routing), "kind int, block long, payload binary").withColumn(
         "group", F.when(F.col("kind") < 0, -1 - F.col("block") % routing.shards).otherwise(F.col("kind"))
     )
     messages.groupBy("group").applyInArrow(
-        _answered(routing.shards), "block long, payload binary, n_words long"
+        _answered(n_words), "block long, payload binary, kind long"
     ).write.parquet(f"{folder}/sums")
     sums = spark.read.parquet(f"{folder}/sums")
     rows = sums.groupBy("block").applyInArrow(
@@ -379,7 +379,6 @@ def score(docs: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(~F.col("held_out"), F.col("n_tokens"))), F.lit(0)).alias("tokens"),
         F.count(F.when(~F.col("held_out"), 1)).alias("docs"),
     ).first()
-    n_words = sums.where("n_words > 0").agg(F.sum("n_words")).first()[0] or 0
     base = float(np.log10(whole.tokens + n_words + 1.0))
     start = float(np.log10(whole.docs + MASS))
     return rows.select(
