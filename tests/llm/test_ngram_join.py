@@ -207,3 +207,18 @@ def test_shared_elements_of_two_blocks(left, right, pairs):
     finally:
         link_counts.PAIRS = before
     assert found.tolist() == [[len(a & b) for b in right] for a in left]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 60), st.integers(0, 20), st.integers(0, 20), st.sampled_from([60, 80, 90]), st.integers(0, 9))
+def test_similar_short_sets_share_a_signature(size, more, less, num, seed):
+    test_similar_sets_share_a_signature.hypothesis.inner_test(size, more, less, num, seed)
+
+
+def test_unlike_sets_of_one_band_share_no_signature():
+    """Large sets leave segments empty; they are no reason to compare them."""
+    rng, bands = np.random.default_rng(5), nj.Bands(80, 100)
+    sets = [np.unique(rng.integers(0, 2**63, 4000).astype(np.uint64)) for _ in range(12)]
+    found = np.concatenate([np.unique(nj.signatures(s, bands)) for s in sets])
+    assert len(np.unique(found)) == len(found)
+    assert all(len(nj.signatures(s, bands)) < 1.1 * sum(bands.differing(b) + 1 for b in bands.schemes(len(s))) for s in sets)

@@ -5,6 +5,8 @@ the smaller. Sizes fall into bands; every band cuts the universe of shingle hash
 segments (H for the band's largest set), so two such sets agree on all of at least one segment. Every
 set is indexed by one signature per segment, under its own band and every lower band whose sets it
 can still match. Only sets that share a signature are compared, exactly, on their whole sets.
+A segment that is empty says little, and sets of one band would all meet under it. So there are some segments more: a set with
+H + 1 filled ones agrees with every similar set on a filled one, and is indexed by these only.
 
 Cost-based allocation: a signature with few sets is worked off pair by pair. One with many sets (a
 passage that thousands of documents share, or a segment that is empty in them) costs more than
@@ -44,7 +46,7 @@ from tillwise.llm.components import components
 from tillwise.session import shared_dir
 
 GROWTH = 1.25  # of the sizes in a band
-COSTLY = 1024  # sets under one signature from which deletion neighbourhoods are cheaper than comparing profiles
+COSTLY = 4096  # sets under one signature from which deletion neighbourhoods are cheaper than comparing profiles
 PROFILE = 256  # cells of a set's profile
 BLOCK = 256  # sets of a signature that are compared with as many others in one place
 OPEN = 1 << 40  # more shingles than any set has
@@ -107,7 +109,7 @@ class Bands:
     """Size bands and the segment numbers that a similarity of num / den needs."""
 
     def __init__(self, num: int, den: int):
-        self.num, self.den = num, den
+        self.num, self.den, self.counts = num, den, {}
         low, self.lows, self.highs = 1, [], []
         while low < 2**31:
             after = max(low + 1, int(low * GROWTH))
@@ -118,6 +120,20 @@ class Bands:
     def differing(self, band: int) -> int:
         return self.highs[band] * (self.den - self.num) // self.num
 
+    def segments(self, band: int) -> int:
+        """At least H + 1, and so many that few sets of the band fill less than H + 1 of them."""
+        if band not in self.counts:
+            low, need = self.lows[band], self.differing(band) + 1
+            count = need
+            while count < 2 * need + 8:
+                empty, both = (1 - 1 / count) ** low, max(0.0, 1 - 2 / count) ** low
+                spread = max(0.0, count * empty * (1 - empty) + count * (count - 1) * (both - empty**2)) ** 0.5
+                if min(count * (1 - empty) - 2 * spread, low) >= need:
+                    break
+                count += 1 + count // 100
+            self.counts[band] = count
+        return self.counts[band]
+
     def schemes(self, size: int) -> list[int]:
         """Bands under which a set of this size is indexed: its own and lower ones it can match."""
         own = int(np.searchsorted(self.lows, size, side="right")) - 1
@@ -137,12 +153,17 @@ def _sums(shingles: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """One signature per segment of every scheme of the set."""
+    """One signature per filled segment of every scheme of the set; also of empty ones if it fills H or less.
+
+    If one of two similar sets fills H + 1, the other has one of these segments equal and filled; if neither does, they
+    agree on one of all."""
     found = []
     for band in bands.schemes(len(shingles)):
-        segments = bands.differing(band) + 1
-        total = _sums(shingles, segments)[2]
-        found.append(mix(total + _ODD * (np.arange(segments, dtype=np.uint64) + np.uint64((band + 1) << 32))))
+        segments = bands.segments(band)
+        where, _, total = _sums(shingles, segments)
+        named = mix(total + _ODD * (np.arange(segments, dtype=np.uint64) + np.uint64((band + 1) << 32)))
+        filled = np.bincount(where.astype(np.int64), minlength=segments) > 0
+        found.append(named[filled] if int(filled.sum()) > bands.differing(band) else named)
     return np.concatenate(found)
 
 
@@ -340,13 +361,13 @@ def _compared(num: int, den: int):
         for batch in batches:
             sets = [
                 (np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+                for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist(), strict=True)
             ]
             far = [apart(x, y) for x, y in sets]
             good = [d * (den + num) <= (len(x) + len(y)) * (den - num) for d, (x, y) in zip(far, sets, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(far, pa.int64()), pa.array(good, pa.bool_())],
-                names=["a", "b", "apart", "linked"],
+                [*(batch.column(c) for c in ("a", "b", "n_b", "least", "most")), pa.array(far, pa.int64()), pa.array(good, pa.bool_())],
+                names=["a", "b", "n_b", "least", "most", "apart", "linked"],
             )
 
     return run
@@ -419,19 +440,30 @@ class _Join:
 
     def members(self, index: DataFrame) -> DataFrame:
         """(signature, node, hub) of the signatures that two nodes or more have; the hub is the least."""
+        # few signatures are shared: the first shuffle has signatures alone, and the bitmap keeps most of the others out of
+        # the second, which decides
+        often = index.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        hits = marked(index, "signature", often.select(F.col("signature").alias("node"))).where("hit").drop("hit")
+        hits = self.written(hits, "hits")
         shared = (
-            index.groupBy("signature")
+            hits.groupBy("signature")
             .agg(F.min("node").alias("hub"), F.max("node").alias("top"))
             .where("hub < top")
             .drop("top")
         )
-        shared = self.written(shared, "shared")
-        # few signatures are shared; the bitmap keeps most rows of the others out of the shuffle
-        hits = marked(index, "signature", shared.select(F.col("signature").alias("node"))).where("hit").drop("hit")
         return self.written(hits.join(shared, "signature"), "members")
 
     def nodes(self, pairs: DataFrame) -> DataFrame:
-        return self.written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+        return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
+    def known_profiles(self, nodes: DataFrame) -> DataFrame:
+        """(node, of) of the nodes, and of a few more that the bitmap does not tell from them."""
+        return (
+            marked(self.profiles, "node", nodes)
+            .where("hit")
+            .groupBy("node")
+            .agg(F.collect_set(F.struct("n_shingles", "profile")).alias("of"))  # one, or one per text of an id
+        )
 
     def sets_of(self, nodes: DataFrame) -> DataFrame:
         """(node, shingles) of the nodes, from their texts."""
@@ -446,12 +478,7 @@ class _Join:
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """(a, b, least, most, near, n_b): what sizes and profiles say of the pairs (a, b)."""
-        known = (
-            only_ids(self.profiles, "node", self.nodes(pairs))
-            .groupBy("node")
-            .agg(F.collect_set(F.struct("n_shingles", "profile")).alias("of"))  # one, or one per text of an id
-        )
-        known = self.written(known, "profiles")
+        known = self.written(self.known_profiles(self.nodes(pairs)), "profiles")
         side = lambda c: known.select(F.col("node").alias(c), F.col("of").alias(f"of_{c}"))
         rows = pairs.join(side("a"), "a").join(side("b"), "b")
         return self.written(
@@ -463,34 +490,34 @@ class _Join:
         """(a, b, least, most, linked, n_b) of the pairs (a, b): exact distances for those that may be
         similar (with `exact` for all), bounds for the others."""
         bounded = self.bounded(self.written(pairs, "pairs"))
-        near = bounded.where(F.lit(exact) | F.col("near")).select("a", "b")
+        near, far = bounded.where(F.lit(exact) | F.col("near")), bounded.where(~(F.lit(exact) | F.col("near")))
         sets = self.sets_of(self.nodes(near)) if sets is None else sets
         left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
         right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-        exact = (
-            near.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
-            .mapInArrow(_compared(self.num, self.den), "a long, b long, apart long, linked boolean")
+        compared = (
+            near.drop("near").join(left, "a").join(right, "b")
+            .mapInArrow(_compared(self.num, self.den), "a long, b long, n_b long, least long, most long, apart long, linked boolean")
             .groupBy("a", "b")
-            .agg(F.min("apart").alias("apart"), F.bool_or("linked").alias("linked"), F.count(F.lit(1)).alias("texts"))
+            .agg(
+                *(F.min(c).alias(c) for c in ("n_b", "least", "most", "apart")),
+                F.bool_or("linked").alias("linked"), F.count(F.lit(1)).alias("texts"),
+            )
         )
         only = F.when(F.col("texts") == 1, F.col("apart"))
+        compared = compared.select(
+            "a", "b", "n_b", F.coalesce(only, "least").alias("least"), F.coalesce(only, "most").alias("most"), "linked"
+        )
         return self.written(
-            bounded.join(exact, ["a", "b"], "left").select(
-                "a", "b", "n_b",
-                F.coalesce(only, "least").alias("least"),
-                F.coalesce(only, "most").alias("most"),
-                F.coalesce("linked", F.lit(False)).alias("linked"),
-            ),
-            "distances",
+            compared.unionByName(far.select("a", "b", "n_b", "least", "most", F.lit(False).alias("linked"))), "distances"
         )
 
     def with_hub(self, members: DataFrame) -> DataFrame:
         return members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
-    def open_members(self, members: DataFrame, to_hub: DataFrame, edges: DataFrame) -> DataFrame:
+    def open_members(self, members: DataFrame, to_hub: DataFrame, labels: DataFrame) -> DataFrame:
         """Members, but hubs, of signatures with two components or more: with their component, the
         signature's largest, their size, and their distance to the hub."""
-        labelled = members.join(self.labels(edges), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         largest = (
             labelled.groupBy("signature", "component")
             .agg(F.count(F.lit(1)).alias("share"))
@@ -513,12 +540,8 @@ class _Join:
 
         The members of a signature are dealt into blocks; a block meets each block in one place, and
         only pairs that may be similar come out."""
-        nodes = self.written(open_members.select("node").distinct(), "nodes")
-        known = (
-            only_ids(self.profiles, "node", nodes)
-            .groupBy("node")
-            .agg(F.collect_set("profile").alias("of"))
-            .select("node", F.when(F.size("of") == 1, F.col("of")[0]).alias("profile"))
+        known = self.known_profiles(open_members.select("node")).select(
+            "node", F.when(F.size("of") == 1, F.col("of")[0]["profile"]).alias("profile")
         )
         blocks = F.ceil(F.col("held") / BLOCK).cast("int")
         meets = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -572,14 +595,16 @@ def _edges(join: _Join) -> tuple[DataFrame, DataFrame, DataFrame]:
         .select(F.col("row").alias("node"))
     )
     first = without_ids(filled, "row", join.written(copies, "copies"))
-    join.profiles = first.select("node", "n_shingles", "profile")
+    join.profiles = filled.select("node", "n_shingles", "profile")
     index = first.select("node", F.explode("signatures").alias("signature"))
     members = join.members(index)
     linked = lambda pairs: pairs.where("linked").select("a", "b")
     to_hub = join.distances(join.with_hub(members))
-    edges = linked(to_hub)
+    labels = join.labels(linked(to_hub))
+    # what follows starts from the components found
+    edges = labels.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
 
-    left = join.open_members(members, to_hub, edges)
+    left = join.open_members(members, to_hub, labels)
     met = join.crossing(left.where(F.col("held") <= COSTLY))
     edges = edges.unionByName(join.proven(met))
     costly = left.where(F.col("held") > COSTLY)
@@ -592,7 +617,7 @@ def _edges(join: _Join) -> tuple[DataFrame, DataFrame, DataFrame]:
         # all distances to the hub, near or not: they rule out most of the pairs to come
         to_hub = join.distances(join.with_hub(again), sets, exact=True)
         edges = edges.unionByName(linked(to_hub))
-        left = join.open_members(again, to_hub, edges)
+        left = join.open_members(again, to_hub, join.labels(edges))
         edges = edges.unionByName(join.proven(join.crossing(left), sets))
     return sketches, classes.drop("row"), edges
 
