@@ -222,3 +222,23 @@ def test_unlike_sets_of_one_band_share_no_signature():
     found = np.concatenate([np.unique(nj.signatures(s, bands)) for s in sets])
     assert len(np.unique(found)) == len(found)
     assert all(len(nj.signatures(s, bands)) < 1.1 * sum(bands.differing(b) + 1 for b in bands.schemes(len(s))) for s in sets)
+
+
+def test_few_steps_for_many_edges(spark, tmp_path):
+    """Chains whose edges lie in few tasks are stars before the first shuffle."""
+    edges = [(1000 * c + i, 1000 * c + i + 1) for c in range(5) for i in range(200)] * 2
+    folder = tmp_path / "c"
+    found = components(spark.createDataFrame(edges, "a long, b long").coalesce(1), str(folder)).collect()
+    assert sorted(map(tuple, found)) == [(1000 * c + i, 1000 * c) for c in range(5) for i in range(201)]
+    assert [p.name for p in folder.iterdir()] == ["step0"]
+
+
+def test_components_if_tasks_start_again(spark, tmp_path, monkeypatch):
+    from tillwise.llm import components as module
+
+    rng = random.Random(6)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)]
+    whole = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long"), str(tmp_path / "a")).collect()}
+    monkeypatch.setattr(module, "HELD", 3)
+    spread = spark.createDataFrame(edges, "a long, b long").repartition(9)
+    assert {tuple(r) for r in components(spread, str(tmp_path / "b")).collect()} == whole
